@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from shelfwise.functions.retail import date_key
 from shelfwise.operators.keys import number_rows, require_unique
@@ -23,7 +22,7 @@ DIMENSION_SOURCE = {"dim_product": "stg_products", "dim_store": "stg_stores", "d
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], StructType.fromDDL(SCHEMAS[name]))
+    return spark.createDataFrame([], SCHEMAS[name])
 
 
 def calendar(day: Column | str) -> list[Column]:

@@ -23,7 +23,7 @@ from shelfwise.sources.star_tables import STORES
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The pair the dashboard questions ask for.
-PRODUCT, STORE = "P006", "S006"
+PRODUCT, STORE = "P006", "S015"
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def _decided(*makers: Query) -> Query:
         inventory = sample_warehouse(spark, folder, dirty=False).linked["inventory.inventory"]
         requests = linked.union_all(make(spark, folder) for make in makers)
         decisions = stock.adjudicate(requests, inventory)
-        return decisions.select("request_id", "kind", "success", "reason", "error", "applied")
+        return decisions.select("request_id", "kind", F.col("success").cast("string"), "reason", "error", "applied")
 
     return query
 
@@ -278,7 +278,7 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     placed = stock.place_orders(order_requests(spark, folder), _request_sources(spark, folder))
     orders = placed["ecommerce.online_order"].select("order_id", "order_total")
-    items = placed["ecommerce.order_item"].select("order_id", "product_id", "quantity", "line_amount")
+    items = placed["ecommerce.order_item"].select("order_id", "product_id", F.col("quantity").cast("double"), "line_amount")
     accepted = placed["answers"].join(orders, "order_id").join(items, "order_id").withColumn("error", F.lit(None).cast("string"))
     return _plain(accepted.unionByName(placed["refused"], allowMissingColumns=True))
 
@@ -288,7 +288,7 @@ def _sales(spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sold = stock.attempt_sales(order_requests(spark, folder).drop("customer_id"), _request_sources(spark, folder))
     tills = sold["pos.pos_transaction"].select("transaction_id", "store_id", "total_amount")
-    items = sold["pos.pos_transaction_item"].select("transaction_id", "product_id", "quantity", "line_amount")
+    items = sold["pos.pos_transaction_item"].select("transaction_id", "product_id", F.col("quantity").cast("double"), "line_amount")
     stored = sold["answers"].join(tills, "transaction_id").join(items, "transaction_id").withColumn("error", F.lit(None).cast("string"))
     return _plain(stored.unionByName(sold["refused"], allowMissingColumns=True))
 

@@ -1,0 +1,106 @@
+"""The load job: check, stage, clean, load, validate, publish.
+
+Every run writes its own version folder. Readers find the newest complete one through the
+``published`` log, so a run that fails leaves the previous version in place. The inventory snapshot
+keeps its history in one table, partitioned by date.
+"""
+
+from __future__ import annotations
+
+import argparse
+import uuid
+from collections.abc import Mapping
+from dataclasses import dataclass
+from datetime import date, datetime
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from shelfwise.operators.dimensions import DIMENSION_SOURCE
+from shelfwise.operators.facts import FACTS
+from shelfwise.plans import quality
+from shelfwise.plans.warehouse import Run, Warehouse
+from shelfwise.session import build_session, store
+from shelfwise.sources.linked import bad_status, contract_check, link_folder
+
+PUBLISHED = "version bigint, folder string, run_date date, started_at timestamp"
+DIMENSIONS = ("dim_date", *DIMENSION_SOURCE)
+RESULTS = ("etl_reject_log", "qa_checks", "qa_scoreboard", "bad_status")
+
+
+class LoadError(RuntimeError):
+    """The loaded tables break a declared constraint; nothing was published."""
+
+
+@dataclass(frozen=True)
+class Published:
+    """Tables of one published version."""
+
+    spark: SparkSession
+    out: str
+    version: int
+    folder: str
+
+    def __getitem__(self, name: str) -> DataFrame:
+        shared = name in ("fact_inventory_snapshot", "etl_run_log")
+        return self.spark.read.parquet(f"{self.out if shared else self.folder}/{name}")
+
+
+def current(spark: SparkSession, out: str) -> Published | None:
+    """The newest published version, if there is one."""
+    try:
+        log = spark.read.schema(PUBLISHED).json(f"{out}/published")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    newest = log.orderBy(F.col("version").desc()).first()
+    return newest and Published(spark, out, newest["version"], newest["folder"])
+
+
+def run(spark: SparkSession, linked: Mapping[str, DataFrame], out: str, run: Run) -> Published:
+    """One load. Raises ``LoadError`` before anything is published if a constraint is broken."""
+    last = current(spark, out)
+    version = last.version + 1 if last else 1
+    folder = f"{out}/versions/{version:06d}-{uuid.uuid4().hex[:8]}"
+    previous = {name: last[name] for name in DIMENSIONS} if last else {}
+    dw = Warehouse(spark, dict(linked), run, folder, previous, f"{out}/fact_inventory_snapshot")
+
+    store(bad_status(dw.linked), f"{folder}/bad_status")
+    log = dw.reject_log().withColumn("rejected_at", F.lit(run.started_at).cast("timestamp"))
+    store(log.withColumn("reject_id", F.monotonically_increasing_id() + 1), f"{folder}/etl_reject_log")
+
+    loaded = {name: dw[name] for name in (*DIMENSIONS, *FACTS)}
+    loaded["fact_inventory_snapshot"] = dw.snapshot_day()
+    broken = quality.violations(loaded).limit(5).collect()
+    if broken:
+        raise LoadError(f"not published, broken constraints: {broken}")
+
+    dw["fact_inventory_snapshot"]
+    checks = store(quality.qa_checks(dw, dw.linked), f"{folder}/qa_checks")
+    store(quality.qa_scoreboard(checks), f"{folder}/qa_scoreboard")
+    steps = dw.run_log().withColumn("run_id", F.lit(version) * 100 + F.col("step_no"))
+    steps.coalesce(1).write.mode("append").parquet(f"{out}/etl_run_log")
+    entry = spark.createDataFrame([(version, folder, run.run_date, run.started_at)], PUBLISHED)
+    entry.coalesce(1).write.mode("append").json(f"{out}/published")
+    return Published(spark, out, version, folder)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Load the retail warehouse from linked source tables.")
+    parser.add_argument("--sources", required=True, help="folder with <schema>/<table> parquet tables")
+    parser.add_argument("--out", required=True, help="warehouse folder")
+    parser.add_argument("--run-date", type=date.fromisoformat, default=None)
+    options = parser.parse_args(arguments)
+
+    spark = build_session()
+    linked = link_folder(spark, options.sources)
+    contract_check(spark, linked).show(100, truncate=False)
+    bad_status(linked).show(100, truncate=False)
+    started = datetime.now()
+    published = run(spark, linked, options.out, Run(options.run_date or started.date(), started))
+    published["qa_scoreboard"].orderBy("item").show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

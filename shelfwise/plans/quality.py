@@ -14,7 +14,9 @@ from shelfwise.sources.schemas import ORDER_STATUSES, POS_REASONS, POS_STATUSES,
 
 Tables = Mapping[str, DataFrame]
 
-ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
 
 # Checklist items and the tests behind each.
 CHECKLIST = (
@@ -95,10 +97,10 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
     parts = []
     for name, source in DIMENSION_SOURCE.items():
         natural = dw[name].columns[1]
-        parts.append(_measure(dw[name], name, rows=ROWS, repeats=ROWS - F.countDistinct(natural)))
-        parts.append(_measure(dw[source], source, rows=ROWS))
+        parts.append(_measure(dw[name], name, rows=_rows(), repeats=_rows() - F.countDistinct(natural)))
+        parts.append(_measure(dw[source], source, rows=_rows()))
     for source in ("stg_pos_items", "stg_order_items", "stg_reservations", "stg_inventory"):
-        parts.append(_measure(dw[source], source, rows=ROWS))
+        parts.append(_measure(dw[source], source, rows=_rows()))
 
     completed = F.col("transaction_status") == "COMPLETED"
     blocked = F.col("transaction_status") == "BLOCKED"
@@ -106,7 +108,7 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
         _measure(
             dw["fact_pos_activity"],
             "pos",
-            rows=ROWS,
+            rows=_rows(),
             revenue=F.coalesce(F.sum(F.when(completed, F.col("line_amount"))), F.lit(0)),
             null_keys=_any_null("product_key", "store_key", "date_key"),
             no_reason=F.count_if(blocked & F.col("rejection_reason").isNull()),
@@ -117,7 +119,7 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
         _measure(
             dw["fact_online_order"],
             "order",
-            rows=ROWS,
+            rows=_rows(),
             null_keys=_any_null("product_key", "store_key", "customer_key", "date_key"),
             unclean=F.count_if(F.col("order_status") != standard_word("order_status")),
         )
@@ -126,7 +128,7 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
         _measure(
             dw["fact_reservation"],
             "hold",
-            rows=ROWS,
+            rows=_rows(),
             null_keys=_any_null("product_key", "store_key", "customer_key", "date_key"),
             cancelled=F.count_if(F.col("reservation_status") == "CANCELLED"),
         )
@@ -138,7 +140,7 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
         _measure(
             stock_against_activity(dw),
             "stock",
-            rows=ROWS,
+            rows=_rows(),
             on_hand=F.sum("on_hand_quantity"),
             wrong_ats=F.count_if(F.col("available_to_sell") != F.col("on_hand_quantity") - F.col("reserved_quantity")),
             negative=F.count_if(F.col("available_to_sell") < 0),
@@ -221,7 +223,7 @@ def qa_scoreboard(checks: DataFrame) -> DataFrame:
         .groupBy("item", "qa_checklist_item")
         .agg(
             F.when(F.bool_and(passed), "PASS").otherwise("FAIL").alias("result"),
-            F.concat(F.count_if(passed).cast("string"), F.lit(" of "), ROWS.cast("string")).alias("tests_passed"),
+            F.concat(F.count_if(passed).cast("string"), F.lit(" of "), _rows().cast("string")).alias("tests_passed"),
             F.array_join(F.transform(failed, lambda t: t["check_name"]), "; ").alias("failed_tests"),
         )
         .orderBy("item")
@@ -249,7 +251,7 @@ def duplicate_natural_keys(tables: Tables) -> DataFrame:
     return union_all(
         tables[source]
         .groupBy(F.col(column).alias("natural_key"))
-        .agg(ROWS.alias("row_count"))
+        .agg(_rows().alias("row_count"))
         .where(F.col("row_count") > 1)
         .select(F.lit(source).alias("table_name"), "natural_key", "row_count")
         for source, column in (("stg_products", "product_id"), ("stg_stores", "store_id"), ("stg_customers", "customer_id"))
@@ -362,7 +364,7 @@ def row_violations(name: str, df: DataFrame) -> DataFrame:
 def unique_violations(name: str, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """One output row per value that occurs more than once; NULL is not a value."""
     present = df.select(*columns).dropna()
-    repeated = present.groupBy(*columns).agg(ROWS.alias("copies")).where(F.col("copies") > 1)
+    repeated = present.groupBy(*columns).agg(_rows().alias("copies")).where(F.col("copies") > 1)
     return repeated.select(
         F.lit(name).alias("table_name"), F.lit(f"UNIQUE ({', '.join(columns)})").alias("rule"), _record(columns).alias("record_id")
     )
@@ -392,4 +394,4 @@ def violations(tables: Tables) -> DataFrame:
 
 
 def violation_counts(tables: Tables) -> DataFrame:
-    return violations(tables).groupBy("table_name", "rule").agg(ROWS.alias("row_count")).orderBy("table_name", "rule")
+    return violations(tables).groupBy("table_name", "rule").agg(_rows().alias("row_count")).orderBy("table_name", "rule")

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DecimalType,
+    IntegerType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # Column names and types of the ten source tables.
-_DDL = {
+_COLUMNS = {
     "inventory.product": "product_id string, sku string, product_name string, category string, "
     "unit_price decimal(10,2), active_flag boolean",
     "inventory.store": "store_id string, store_name string, location string, active_flag boolean",
@@ -28,7 +36,25 @@ _DDL = {
     "quantity int, unit_price decimal(10,2), line_amount decimal(10,2)",
 }
 
-SOURCES: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+_TYPES = {
+    "string": StringType(),
+    "int": IntegerType(),
+    "boolean": BooleanType(),
+    "decimal(10,2)": DecimalType(10, 2),
+    "timestamp": TimestampType(),
+    "timestamp_ntz": TimestampNTZType(),
+}
+
+
+def _schema(columns: str) -> StructType:
+    schema = StructType()
+    for column in columns.split(", "):
+        name, kind = column.split(" ")
+        schema = schema.add(name, _TYPES[kind])
+    return schema
+
+
+SOURCES: dict[str, StructType] = {name: _schema(columns) for name, columns in _COLUMNS.items()}
 
 # Status words agreed with the source owners.
 ORDER_STATUSES = ("CONFIRMED", "CANCELLED", "COLLECTED", "READY_FOR_COLLECTION")
