@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.retail import MONEY, id_number, line_amount, movement_effect, shared_id
+from shelfwise.operators.cleaning import known_ids
 from shelfwise.operators.keys import number_rows, require_unique
 from shelfwise.operators.shelf import OUT_OF_STOCK, RELEASE, RESERVE, SELL, Shelf
 from shelfwise.session import fresh_folder, store
@@ -206,65 +207,68 @@ def _slices(busy: DataFrame, slice_rows: int, folder: str) -> DataFrame:
     offsets = offsets.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
     position = F.col("_before") + F.col("_slot") - F.col("_first")
     numbered = slotted.join(offsets, [*PAIR, "_part"]).withColumn("slice", F.floor(position / slice_rows).cast("bigint"))
-    return store(numbered.drop("_slot", "_part", "_first", "_before"), f"{folder}/slices")
+    path, columns = f"{folder}/slices", [*REQUEST, "slice"]
+    numbered.select(*columns).write.partitionBy("slice").parquet(path)
+    return busy.sparkSession.read.schema(numbered.select(*columns).schema).parquet(path)
 
 
 def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | None, slice_rows: int, folder: str) -> DataFrame:
-    """Decide hot pairs wave by wave. Each wave is written; the next one starts from those files."""
+    """Decide hot pairs wave by wave: wave n serves slice n of every pair that is still serial.
+
+    Each wave is written and the next one starts from those files. A wave reads only its own slice;
+    what lies ahead of a pair is known from one summary row per slice.
+    """
     spark = busy.sparkSession
-    waiting = _slices(busy, slice_rows, folder)
-    longest = waiting.groupBy(*PAIR, "reference").agg(F.count(F.lit(1)).alias("n"))
+    slices = _slices(busy, slice_rows, folder)
+    takes, units = F.col("kind") != RELEASE, F.col("quantity").cast("bigint")
+    summary = slices.groupBy(*PAIR, "slice").agg(
+        F.min(F.when(takes, units)).alias("least"),
+        F.coalesce(F.sum(F.when(takes, units)), F.lit(0)).alias("wanted"),
+        F.coalesce(F.sum(F.when(~takes, units)), F.lit(0)).alias("released"),
+    )
+    summary = store(summary, f"{folder}/summary")
+    longest = slices.groupBy(*PAIR, "reference").agg(F.count(F.lit(1)).alias("n"))
     longest = longest.groupBy(*PAIR).agg(F.max("n").alias("longest_reference"))
-    stock = store(stock.join(longest, PAIR), f"{folder}/state-0")
-    if movements is not None:
-        movements = movements.join(stock.select(*PAIR), PAIR, "left_semi").select(
-            *PAIR, "movement_type", "quantity_change", "source_system", "source_reference_id"
-        )
-    done: list[DataFrame] = []
-    takes = F.col("kind") != RELEASE
-    while True:
-        wave = len(done)
-        outlook = waiting.groupBy(*PAIR).agg(
-            F.min("slice").alias("next_slice"),
-            F.min(F.when(takes, F.col("quantity"))).alias("least"),
-            F.coalesce(F.sum(F.when(takes, F.col("quantity").cast("bigint"))), F.lit(0)).alias("wanted"),
-            F.coalesce(F.sum(F.when(~takes, F.col("quantity").cast("bigint"))), F.lit(0)).alias("released"),
-        )
-        free = F.col("on_hand") - F.col("reserved")
-        closed_out = (F.col("released") == 0) & (free < F.col("least"))
-        plentiful = (
-            (free >= F.col("wanted"))
-            & (F.col("reserved") >= F.col("released"))
-            & (F.col("longest_reference") <= slice_rows)
-        )
-        plan = stock.join(outlook, PAIR).select(
-            *PAIR,
-            "on_hand",
-            "reserved",
-            "next_slice",
-            F.when(closed_out, "slice").when(plentiful, "reference").otherwise("serial").alias("apart_by"),
-        )
-        plan = store(plan, f"{folder}/plan-{wave}")
-        ready = waiting.join(plan, PAIR).where((F.col("apart_by") != "serial") | (F.col("slice") == F.col("next_slice")))
-        ready = ready.withColumn(
-            "lane",
-            F.when(F.col("apart_by") == "reference", F.col("reference")).otherwise(F.col("slice").cast("string")),
-        )
-        written = [movements] if movements is not None else []
-        written += [movements_of(d) for d in done]
+    state = store(stock.join(longest, PAIR), f"{folder}/state-0")
+    moved = ["movement_type", "quantity_change", "source_system", "source_reference_id"]
+    written = [] if movements is None else [movements.join(state.select(*PAIR), PAIR, "left_semi").select(*PAIR, *moved)]
+
+    done: list[str] = []
+    for wave in range(summary.agg(F.max("slice")).first()[0] + 1):
+        plan = store(_outlook(state, summary.where(F.col("slice") >= wave), slice_rows), f"{folder}/plan-{wave}")
+        serial, apart = plan.where("apart_by = 'serial'"), plan.where("apart_by <> 'serial'")
+        ready = slices.where(F.col("slice") == wave).join(serial, PAIR)
+        if not apart.isEmpty():
+            ready = ready.unionByName(slices.where(F.col("slice") >= wave).join(apart, PAIR))
+        lane = F.when(F.col("apart_by") == "reference", F.col("reference")).otherwise(F.col("slice").cast("string"))
         ledger = None
         if written:
-            facts = union_all(w.select(*PAIR, "movement_type", "quantity_change", "source_system", "source_reference_id") for w in written)
-            ledger = store(_per_reference(facts), f"{folder}/ledger-{wave}")
-        decisions = store(_decide(_with_priors(ready, ledger), [*PAIR, "lane"]), f"{folder}/decided-{wave}")
-        done.append(decisions)
-
-        rest = plan.where(F.col("apart_by") == "serial").select(*PAIR, "next_slice")
-        waiting = waiting.join(rest, PAIR).where(F.col("slice") > F.col("next_slice")).drop("next_slice")
-        waiting = store(waiting, f"{folder}/waiting-{wave}")
-        if waiting.isEmpty():
-            return spark.read.schema(decisions.schema).parquet(*[f"{folder}/decided-{i}" for i in range(len(done))])
-        stock = store(_moved(stock, decisions, "on_hand", "reserved"), f"{folder}/state-{wave + 1}")
+            ledger = store(_per_reference(union_all(written)), f"{folder}/ledger-{wave}")
+        rows = _with_priors(ready.withColumn("lane", lane), ledger)
+        decisions = store(_decide(rows, [*PAIR, "lane"]), f"{folder}/decided-{wave}")
+        done.append(f"{folder}/decided-{wave}")
+        if serial.isEmpty():
+            break
+        written.append(movements_of(decisions).select(*PAIR, *moved))
+        state = _moved(state.join(serial.select(*PAIR), PAIR, "left_semi"), decisions, "on_hand", "reserved")
+        state = store(state, f"{folder}/state-{wave + 1}")
+    return spark.read.schema(decisions.schema).parquet(*done)
+
+
+def _outlook(state: DataFrame, ahead: DataFrame, slice_rows: int) -> DataFrame:
+    """How the rows ahead of each pair may be decided: one slice at a time, or side by side.
+
+    By ``slice`` when nothing fits any more and nothing comes back, so the stock stays as it is; by
+    ``reference`` when even accepting everything cannot run short.
+    """
+    ahead = ahead.groupBy(*PAIR).agg(F.min("least").alias("least"), F.sum("wanted").alias("wanted"), F.sum("released").alias("released"))
+    free = F.col("on_hand") - F.col("reserved")
+    closed = (F.col("released") == 0) & (free < F.col("least"))
+    plentiful = (
+        (free >= F.col("wanted")) & (F.col("reserved") >= F.col("released")) & (F.col("longest_reference") <= slice_rows)
+    )
+    apart_by = F.when(closed, "slice").when(plentiful, "reference").otherwise("serial")
+    return state.join(ahead, PAIR).select(*PAIR, "on_hand", "reserved", apart_by.alias("apart_by"))
 
 
 def _moved(stock: DataFrame, decisions: DataFrame, on_hand: str, reserved: str) -> DataFrame:
@@ -336,20 +340,20 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
     Input: request_id, request_ts, customer_id, store_id, product_id, quantity. Ids count up from the
     highest in use, in request order, over accepted requests only.
     """
-    customers = linked["ecommerce.customer"].select("customer_id").where("customer_id IS NOT NULL").distinct()
-    asked = _priced(requests, linked["inventory.product"]).join(
-        customers.withColumn("known", F.lit(True)), "customer_id", "left"
-    )
+    spark = requests.sparkSession
+    customers = store(known_ids(linked["ecommerce.customer"], "customer_id"), fresh_folder(spark, "known-customers"))
+    customers = customers.select(F.col("known_id").alias("customer_id"), F.lit(True).alias("known"))
+    asked = _priced(requests, linked["inventory.product"]).join(customers, "customer_id", "left")
     error = (
         F.when(F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero"))
         .when(F.col("known").isNull(), F.concat(F.lit("Unknown customer "), F.coalesce("customer_id", F.lit("<NULL>"))))
         .when(F.col("unit_price").isNull(), F.concat(F.lit("Unknown product "), F.coalesce("product_id", F.lit("<NULL>"))))
     )
-    asked = store(asked.withColumn("error", error).drop("known"), fresh_folder(requests.sparkSession, "orders"))
+    asked = store(asked.withColumn("error", error).drop("known"), fresh_folder(spark, "orders"))
     valid = asked.where(F.col("error").isNull()).drop("error")
     holds = valid.withColumns({"kind": F.lit(RESERVE), "reference": F.col("request_id")})
     decided = adjudicate(holds, linked["inventory.inventory"], slice_rows=slice_rows)
-    decided = store(decided, fresh_folder(requests.sparkSession, "order-holds")).select("request_id", "success")
+    decided = store(decided, fresh_folder(spark, "order-holds")).select("request_id", "success")
     accepted = valid.join(decided.where("success").select("request_id"), "request_id")
     numbered = number_rows(accepted, ORDER, "n")
     numbered = numbered.select(
