@@ -10,7 +10,14 @@ from shelfwise.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+    # A few rows per plan: compiling generated code would cost more than running without it.
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "6g",
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+    }
+    session = build_session("local[4]", "tests", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
