@@ -11,7 +11,7 @@ from shelfwise.operators import cleaning, dimensions
 from shelfwise.operators.keys import number_rows
 from shelfwise.plans import pipeline, quality, reports
 from shelfwise.plans.warehouse import Run, Warehouse
-from shelfwise.sources.linked import bad_status, contract_check, link_folder, link_summary
+from shelfwise.sources.linked import bad_status, contract_check, link_folder, link_summary, register_views
 from shelfwise.sources.schemas import STAGED
 
 RUN = Run(date(2025, 5, 12), datetime(2025, 5, 12, 4))
@@ -177,27 +177,32 @@ def test_faulty_data_fails_the_right_tests(faulty):
     assert failed == {8, 9, 18}
 
 
-@pytest.mark.parametrize(
-    "table, row",
-    [
-        ("ecommerce.order_item", ("OI099", "O001", "P001", None, Decimal("1.00"), None)),
-        ("ecommerce.online_order", ("O003", "C002", "S002", "CANCELLED", Decimal("45.25"), DAY, DAY)),
-        ("ecommerce.reservation", ("R099", "O001", "P001", "S001", 1, None, DAY, None, None)),
-    ],
-)
-def test_broken_constraints_stop_before_publishing(spark, tmp_path, table, row):
+def test_broken_constraints_stop_before_publishing(spark, tmp_path):
     rows = clean_rows()
-    rows[table].append(row)
+    rows["ecommerce.order_item"].append(("OI099", "O001", "P001", None, Decimal("1.00"), None))
+    rows["ecommerce.online_order"].append(("O003", "C002", "S002", "CANCELLED", Decimal("45.25"), DAY, DAY))
+    rows["ecommerce.reservation"].append(("R099", "O001", "P001", "S001", 1, None, DAY, None, None))
+    warehouse = Warehouse(spark, linked(spark, rows), RUN, f"{tmp_path}/tables")
+    broken = {(r.rule, r.record_id) for r in quality.violations({n: warehouse[n] for n in FACTS}).collect()}
+    assert broken == {
+        ("quantity IS NOT NULL", "OI099"),
+        ("line_amount IS NOT NULL", "OI099"),
+        ("UNIQUE (order_item_id)", "OI003"),
+        ("UNIQUE (reservation_id)", "R003"),
+        ("reservation_status IS NOT NULL", "R099"),
+    }
     with pytest.raises(pipeline.LoadError):
-        pipeline.run(spark, linked(spark, rows), str(tmp_path), RUN)
-    assert pipeline.current(spark, str(tmp_path)) is None
+        pipeline.run(spark, linked(spark, rows), f"{tmp_path}/out", RUN)
+    assert pipeline.current(spark, f"{tmp_path}/out") is None
 
 
-def test_job_reads_linked_folders(spark, tmp_path):
+def test_linked_folders_are_read_as_they_are(spark, tmp_path):
     for name, df in linked(spark, clean_rows()).items():
-        df.write.parquet(f"{tmp_path}/sources/{name.replace('.', '/')}")
-    loaded = pipeline.run(spark, link_folder(spark, f"{tmp_path}/sources"), f"{tmp_path}/out", RUN)
-    assert loaded["fact_online_order"].count() == 3
+        df.write.parquet(f"{tmp_path}/{name.replace('.', '/')}")
+    tables = link_folder(spark, str(tmp_path))
+    assert contract_check(spark, tables).count() == 0
+    register_views(tables)
+    assert spark.sql("SELECT * FROM ecommerce_order_item WHERE product_id = :p", {"p": "P001"}).count() == 2
 
 
 def test_declared_rules_find_each_fault(spark):
