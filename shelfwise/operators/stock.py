@@ -54,7 +54,7 @@ _MOVEMENT = {
 # ---- ledger ----
 
 
-def _per_reference(movements: DataFrame) -> DataFrame:
+def per_reference(movements: DataFrame) -> DataFrame:
     """What the ledger says about each reference of a pair."""
     online, moved = F.col("source_system") == "ECOMMERCE", F.col("movement_type")
     change = F.col("quantity_change")
@@ -74,7 +74,7 @@ def _per_reference(movements: DataFrame) -> DataFrame:
 
 def reservation_balance(movements: DataFrame) -> DataFrame:
     """Units each reservation reference still holds."""
-    known = _per_reference(movements).where(F.col("balance").isNotNull())
+    known = per_reference(movements).where(F.col("balance").isNotNull())
     return known.select(*PAIR, "reference", F.col("balance").cast("bigint").alias("balance"))
 
 
@@ -103,7 +103,7 @@ def _by_kind(texts: dict[str, str]) -> Column:
     return F.coalesce(*[F.when(F.col("kind") == kind, F.lit(text)) for kind, text in texts.items()])
 
 
-def _invalid() -> Column:
+def invalid_request() -> Column:
     """Message for a request that is refused whatever the stock, else NULL."""
     blank = F.col("reference").isNull() | (F.btrim("reference") == "")
     return F.when(F.col("quantity").isNull() | (F.col("quantity") <= 0), _by_kind(_QUANTITY_ERROR)).when(
@@ -169,9 +169,9 @@ def adjudicate(
     )
     stock = store(stock, f"{folder}/stock")
     require_unique(stock, PAIR, "inventory")
-    ledger = None if movements is None else store(_per_reference(movements), f"{folder}/ledger")
+    ledger = None if movements is None else store(per_reference(movements), f"{folder}/ledger")
 
-    asked = requests.select(*REQUEST).withColumn("error", _invalid())
+    asked = requests.select(*REQUEST).withColumn("error", invalid_request())
     asked = store(asked.join(stock, PAIR, "left"), f"{folder}/requests")
     undecided = F.col("error").isNull() & F.col("on_hand").isNotNull()
     direct = asked.where(~undecided).select(
@@ -243,7 +243,7 @@ def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | Non
         lane = F.when(F.col("apart_by") == "reference", F.col("reference")).otherwise(F.col("slice").cast("string"))
         ledger = None
         if written:
-            ledger = store(_per_reference(union_all(written)), f"{folder}/ledger-{wave}")
+            ledger = store(per_reference(union_all(written)), f"{folder}/ledger-{wave}")
         rows = _with_priors(ready.withColumn("lane", lane), ledger)
         decisions = store(_decide(rows, [*PAIR, "lane"]), f"{folder}/decided-{wave}")
         done.append(f"{folder}/decided-{wave}")
