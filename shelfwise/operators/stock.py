@@ -6,9 +6,9 @@ task walks its sorted rows once. A pair with more than ``slice_rows`` requests i
 so that no task ever holds a whole hot pair:
 
 * a slice is decided from the stock and ledger that earlier slices left;
-* once nothing more can be accepted for a pair (too little stock, no release to come), or once
-  stock can no longer run short, its remaining rows do not depend on each other through the stock
-  and are all decided side by side.
+* slices that cannot exhaust the stock even if every request is accepted, and all that follow once
+  nothing can be accepted any more, do not depend on each other through the stock: they are decided
+  side by side in one wave.
 """
 
 from __future__ import annotations
@@ -111,32 +111,25 @@ def invalid_request() -> Column:
     )
 
 
-def _walk(group: list[str]):
-    """Decide sorted rows; a new shelf starts whenever the ``group`` columns change."""
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, shelf = None, Shelf(0, 0)
-        for batch in batches:
-            column = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            groups = zip(*[column[name] for name in group])
-            asks = zip(column["kind"], column["quantity"], column["reference"])
-            stock = zip(column["on_hand"], column["reserved"])
-            priors = zip(*[column[name] for name in PRIOR])
-            results = []
-            for key, ask, start, prior in zip(groups, asks, stock, priors):
-                if key != current:
-                    current, shelf = key, Shelf(*start)
-                shelf.learn(ask[2], *prior)
-                results.append(shelf.decide(*ask))
-            columns = [batch.column(name) for name in REQUEST] + [
-                pa.array([r.success for r in results], pa.bool_()),
-                pa.array([r.reason for r in results], pa.string()),
-                pa.array([r.error for r in results], pa.string()),
-                pa.array([r.applied for r in results], pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=DECISION)
-
-    return decide
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decide sorted rows; a new shelf starts at the first row of each group."""
+    needed = ("_seq", "kind", "quantity", "reference", "on_hand", "reserved", *PRIOR)
+    shelf = Shelf(0, 0)
+    for batch in batches:
+        rows = zip(*[batch.column(name).to_pylist() for name in needed])
+        results = []
+        for seq, kind, quantity, reference, on_hand, reserved, held, balance, closed, sold in rows:
+            if seq == 1:
+                shelf = Shelf(on_hand, reserved)
+            shelf.learn(reference, held, balance, closed, sold)
+            results.append(shelf.decide(kind, quantity, reference))
+        columns = [batch.column(name) for name in REQUEST] + [
+            pa.array([r.success for r in results], pa.bool_()),
+            pa.array([r.reason for r in results], pa.string()),
+            pa.array([r.error for r in results], pa.string()),
+            pa.array([r.applied for r in results], pa.bool_()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=DECISION)
 
 
 def _decide(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -144,7 +137,7 @@ def _decide(rows: DataFrame, group: list[str]) -> DataFrame:
     sort after it costs nothing and rows of a group meet in one task."""
     schema = ", ".join(f"{name} {kind}" for name, kind in rows.select(*REQUEST).dtypes)
     ordered = rows.withColumn("_seq", F.row_number().over(Window.partitionBy(*group).orderBy(*ORDER)))
-    return ordered.sortWithinPartitions(*group, *ORDER).mapInArrow(_walk(group), f"{schema}, success boolean, reason string, error string, applied boolean")
+    return ordered.sortWithinPartitions(*group, *ORDER).mapInArrow(_walk, f"{schema}, success boolean, reason string, error string, applied boolean")
 
 
 def _with_priors(rows: DataFrame, ledger: DataFrame | None) -> DataFrame:
@@ -213,10 +206,10 @@ def _slices(busy: DataFrame, slice_rows: int, folder: str) -> DataFrame:
 
 
 def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | None, slice_rows: int, folder: str) -> DataFrame:
-    """Decide hot pairs wave by wave: wave n serves slice n of every pair that is still serial.
+    """Decide hot pairs wave by wave, each from the next slice that is still open for it.
 
-    Each wave is written and the next one starts from those files. A wave reads only its own slice;
-    what lies ahead of a pair is known from one summary row per slice.
+    Each wave is written and the next one starts from those files. What lies ahead of a pair is known
+    from one summary row per slice, so a wave reads only the slices it decides.
     """
     spark = busy.sparkSession
     slices = _slices(busy, slice_rows, folder)
@@ -224,51 +217,74 @@ def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | Non
     summary = slices.groupBy(*PAIR, "slice").agg(
         F.min(F.when(takes, units)).alias("least"),
         F.coalesce(F.sum(F.when(takes, units)), F.lit(0)).alias("wanted"),
-        F.coalesce(F.sum(F.when(~takes, units)), F.lit(0)).alias("released"),
+        F.count_if(~takes).alias("releases"),
     )
     summary = store(summary, f"{folder}/summary")
     longest = slices.groupBy(*PAIR, "reference").agg(F.count(F.lit(1)).alias("n"))
-    longest = longest.groupBy(*PAIR).agg(F.max("n").alias("longest_reference"))
-    state = store(stock.join(longest, PAIR), f"{folder}/state-0")
+    state = stock.join(longest.groupBy(*PAIR).agg(F.max("n").alias("longest_reference")), PAIR)
     moved = ["movement_type", "quantity_change", "source_system", "source_reference_id"]
-    written = [] if movements is None else [movements.join(state.select(*PAIR), PAIR, "left_semi").select(*PAIR, *moved)]
+    written, covered = [], F.lit(True)
+    if movements is not None:
+        written = [movements.join(stock.select(*PAIR), PAIR, "left_semi").select(*PAIR, *moved)]
+        booked = per_reference(written[0]).groupBy(*PAIR).agg(F.sum(F.greatest("balance", F.lit(0))).alias("booked"))
+        state, covered = state.join(booked, PAIR, "left"), F.col("reserved") >= F.coalesce("booked", F.lit(0))
+    # Where the reserved stock covers all open references, releases never fail for lack of it.
+    state = state.select(
+        *PAIR,
+        "on_hand",
+        "reserved",
+        (covered & (F.col("longest_reference") <= slice_rows)).alias("separable"),
+        F.lit(0).cast("bigint").alias("next_slice"),
+    )
+    state = store(state, f"{folder}/state-0")
 
     done: list[str] = []
-    for wave in range(summary.agg(F.max("slice")).first()[0] + 1):
-        plan = store(_outlook(state, summary.where(F.col("slice") >= wave), slice_rows), f"{folder}/plan-{wave}")
-        serial, apart = plan.where("apart_by = 'serial'"), plan.where("apart_by <> 'serial'")
-        ready = slices.where(F.col("slice") == wave).join(serial, PAIR)
-        if not apart.isEmpty():
-            ready = ready.unionByName(slices.where(F.col("slice") >= wave).join(apart, PAIR))
+    while not state.isEmpty():
+        wave = len(done)
+        plan = store(_outlook(state, summary), f"{folder}/plan-{wave}")
+        first, last = plan.agg(F.min("next_slice"), F.max("until")).first()
+        ready = slices.where(F.col("slice").between(first, last)).join(plan, PAIR)
+        ready = ready.where(F.col("slice").between(F.col("next_slice"), F.col("until")))
         lane = F.when(F.col("apart_by") == "reference", F.col("reference")).otherwise(F.col("slice").cast("string"))
-        ledger = None
-        if written:
-            ledger = store(per_reference(union_all(written)), f"{folder}/ledger-{wave}")
+        ledger = store(per_reference(union_all(written)), f"{folder}/ledger-{wave}") if written else None
         rows = _with_priors(ready.withColumn("lane", lane), ledger)
         decisions = store(_decide(rows, [*PAIR, "lane"]), f"{folder}/decided-{wave}")
         done.append(f"{folder}/decided-{wave}")
-        if serial.isEmpty():
-            break
         written.append(movements_of(decisions).select(*PAIR, *moved))
-        state = _moved(state.join(serial.select(*PAIR), PAIR, "left_semi"), decisions, "on_hand", "reserved")
-        state = store(state, f"{folder}/state-{wave + 1}")
+        state = state.drop("next_slice").join(
+            plan.where(F.col("until") < F.col("final")).select(*PAIR, (F.col("until") + 1).alias("next_slice")), PAIR
+        )
+        state = store(_moved(state, decisions, "on_hand", "reserved"), f"{folder}/state-{wave + 1}")
     return spark.read.schema(decisions.schema).parquet(*done)
 
 
-def _outlook(state: DataFrame, ahead: DataFrame, slice_rows: int) -> DataFrame:
-    """How the rows ahead of each pair may be decided: one slice at a time, or side by side.
+def _outlook(state: DataFrame, summary: DataFrame) -> DataFrame:
+    """Which slices of each pair come next, up to ``until``, and how they may be decided.
 
-    By ``slice`` when nothing fits any more and nothing comes back, so the stock stays as it is; by
-    ``reference`` when even accepting everything cannot run short.
+    All that are left, each ``slice`` apart, when nothing fits any more and nothing comes back; the
+    longest run that cannot exhaust the stock, each ``reference`` apart; else one slice in order.
     """
-    ahead = ahead.groupBy(*PAIR).agg(F.min("least").alias("least"), F.sum("wanted").alias("wanted"), F.sum("released").alias("released"))
     free = F.col("on_hand") - F.col("reserved")
-    closed = (F.col("released") == 0) & (free < F.col("least"))
-    plentiful = (
-        (free >= F.col("wanted")) & (F.col("reserved") >= F.col("released")) & (F.col("longest_reference") <= slice_rows)
+    in_order = Window.partitionBy(*PAIR).orderBy("slice")
+    ahead = summary.join(state, PAIR).where(F.col("slice") >= F.col("next_slice"))
+    ahead = ahead.withColumn("running", F.sum("wanted").over(in_order))
+    ahead = ahead.groupBy(*PAIR, "on_hand", "reserved", "separable", "next_slice").agg(
+        F.max("slice").alias("final"),
+        F.min("least").alias("least"),
+        F.sum("releases").alias("releases"),
+        F.max(F.when(F.col("running") <= free, F.col("slice"))).alias("enough"),
+    )
+    closed = (F.col("releases") == 0) & (free < F.col("least"))
+    plentiful = F.col("separable") & F.col("enough").isNotNull()
+    return ahead.select(
+        *PAIR,
+        "on_hand",
+        "reserved",
+        "next_slice",
+        "final",
+        F.when(closed, F.col("final")).when(plentiful, F.col("enough")).otherwise(F.col("next_slice")).alias("until"),
+        F.when(closed, "slice").when(plentiful, "reference").otherwise("serial").alias("apart_by"),
     )
-    apart_by = F.when(closed, "slice").when(plentiful, "reference").otherwise("serial")
-    return state.join(ahead, PAIR).select(*PAIR, "on_hand", "reserved", apart_by.alias("apart_by"))
 
 
 def _moved(stock: DataFrame, decisions: DataFrame, on_hand: str, reserved: str) -> DataFrame:
