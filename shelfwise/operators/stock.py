@@ -152,6 +152,8 @@ def adjudicate(
 ) -> DataFrame:
     """Decide RESERVE, SELL and RELEASE requests against the stock, in (request_ts, request_id) order.
 
+    ``request_id`` must be unique. The result is computed when used: write it before using it twice.
+
     ``success`` is NULL where ``error`` says why the request is not valid. ``applied`` marks the
     requests that changed stock; a repeated reference succeeds without being applied again.
     """
@@ -344,6 +346,13 @@ def _priced(requests: DataFrame, products: DataFrame) -> DataFrame:
     return requests.join(products.select("product_id", "unit_price"), "product_id", "left")
 
 
+def _booked(decided: DataFrame, numbered: DataFrame, new_id: str) -> DataFrame:
+    """Ledger rows that refer to the new id instead of the request."""
+    ids = numbered.select(F.col("request_id").alias("source_reference_id"), F.col(new_id).alias("_new_id"))
+    moves = movements_of(decided).join(ids, "source_reference_id")
+    return moves.withColumn("source_reference_id", F.col("_new_id")).drop("_new_id")
+
+
 def next_shared_id(linked: dict[str, DataFrame], table: str, column: str, prefix: str) -> DataFrame:
     """The id the next row of a table gets: highest number in use plus one."""
     following = (F.coalesce(F.max(id_number(column)), F.lit(0)) + 1).cast("decimal(38,0)")
@@ -354,7 +363,8 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
     """Online orders for one product each: accepted only if the whole quantity can be reserved.
 
     Input: request_id, request_ts, customer_id, store_id, product_id, quantity. Ids count up from the
-    highest in use, in request order, over accepted requests only.
+    highest in use, in request order, over accepted requests only. Output: the rows to append to each
+    source table, the stock afterwards, and per request its ``answers`` row or why it was ``refused``.
     """
     spark = requests.sparkSession
     customers = store(known_ids(linked["ecommerce.customer"], "customer_id"), fresh_folder(spark, "known-customers"))
@@ -369,7 +379,7 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
     valid = asked.where(F.col("error").isNull()).drop("error")
     holds = valid.withColumns({"kind": F.lit(RESERVE), "reference": F.col("request_id")})
     decided = adjudicate(holds, linked["inventory.inventory"], slice_rows=slice_rows)
-    decided = store(decided, fresh_folder(spark, "order-holds")).select("request_id", "success")
+    decided = store(decided, fresh_folder(spark, "order-holds"))
     accepted = valid.join(decided.where("success").select("request_id"), "request_id")
     numbered = number_rows(accepted, ORDER, "n")
     numbered = numbered.select(
@@ -416,6 +426,8 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
             F.lit("ACTIVE").alias("reservation_status"),
         ),
         "refused": refused.unionByName(unserved),
+        "inventory.inventory": stock_after(linked["inventory.inventory"], decided),
+        "inventory.inventory_movement": _booked(decided, numbered, "reservation_id"),
     }
 
 
@@ -432,8 +444,9 @@ def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
     valid = asked.where(F.col("error").isNull()).drop("error")
     sales = valid.withColumns({"kind": F.lit(SELL), "reference": F.col("request_id")})
     decided = adjudicate(sales, linked["inventory.inventory"], slice_rows=slice_rows)
-    decided = decided.select("request_id", "success", "reason")
-    numbered = number_rows(valid.join(decided, "request_id"), ORDER, "n")
+    decided = store(decided, fresh_folder(requests.sparkSession, "sale-decisions"))
+    answered = valid.join(decided.select("request_id", "success", "reason"), "request_id")
+    numbered = number_rows(answered, ORDER, "n")
     numbered = numbered.select(
         "*",
         _new_id("T", _highest(linked, "pos.pos_transaction", "transaction_id")).alias("transaction_id"),
@@ -456,4 +469,6 @@ def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
         ),
         "answers": numbered.select("request_id", "transaction_id", "transaction_status", "rejection_reason"),
         "refused": asked.where(F.col("error").isNotNull()).select("request_id", "error"),
+        "inventory.inventory": stock_after(linked["inventory.inventory"], decided),
+        "inventory.inventory_movement": _booked(decided, numbered, "transaction_id"),
     }

@@ -333,6 +333,25 @@ ROW_RULES = {
     "fact_inventory_snapshot": (_ats,),
 }
 
+# Longest text each source column may hold.
+MAX_LENGTH = {
+    "inventory.product": {"product_id": 20, "sku": 50, "product_name": 150, "category": 50},
+    "inventory.store": {"store_id": 20, "store_name": 100, "location": 150},
+    "inventory.inventory": {"inventory_id": 20, "product_id": 20, "store_id": 20},
+    "inventory.inventory_movement": {
+        "movement_id": 50, "product_id": 20, "store_id": 20, "movement_type": 30, "source_system": 30,
+        "source_reference_id": 100,
+    },
+    "ecommerce.customer": {"customer_id": 20, "customer_name": 100, "email": 150},
+    "ecommerce.online_order": {"order_id": 20, "customer_id": 20, "fulfilment_store_id": 20, "order_status": 30},
+    "ecommerce.order_item": {"order_item_id": 20, "order_id": 20, "product_id": 20},
+    "ecommerce.reservation": {
+        "reservation_id": 20, "order_id": 20, "product_id": 20, "store_id": 20, "reservation_status": 30,
+    },
+    "pos.pos_transaction": {"transaction_id": 20, "store_id": 20, "transaction_status": 20, "rejection_reason": 255},
+    "pos.pos_transaction_item": {"transaction_item_id": 20, "transaction_id": 20, "product_id": 20},
+}
+
 FACT_ID = {
     "fact_pos_activity": ("transaction_item_id",),
     "fact_online_order": ("order_item_id",),
@@ -349,11 +368,16 @@ def _required(name: str, df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in NULLABLE.get(name, ()) and not c.endswith("_fact_key")]
 
 
+def value_rules(name: str) -> list[str]:
+    lengths = [f"length({column}) <= {most}" for column, most in MAX_LENGTH.get(name, {}).items()]
+    return [*ROW_RULES.get(name, ()), *lengths]
+
+
 def row_violations(name: str, df: DataFrame) -> DataFrame:
     """Rows that break a value rule of their table, one output row per broken rule, in one scan."""
     record = FACT_ID.get(name) or (SOURCES[name].fieldNames()[0],)
     broken = [F.when(F.col(c).isNull(), F.lit(f"{c} IS NOT NULL")) for c in _required(name, df)]
-    broken += [F.when(~F.expr(rule), F.lit(rule)) for rule in ROW_RULES.get(name, ())]
+    broken += [F.when(~F.expr(rule), F.lit(rule)) for rule in value_rules(name)]
     return df.select(
         F.lit(name).alias("table_name"),
         F.explode(F.array_compact(F.array(*broken))).alias("rule"),

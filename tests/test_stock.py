@@ -198,6 +198,9 @@ def test_orders_take_ids_in_request_order_and_leave_no_gap(spark):
         ("q3", "O043", "R002", "CONFIRMED", "ACTIVE"),
     ]
     assert {r.order_item_id: str(r.line_amount) for r in placed["ecommerce.order_item"].collect()} == {"OI1000": "19.00", "OI1001": "9.50"}
+    moves = placed["inventory.inventory_movement"].select("source_reference_id", "movement_type", "quantity_change")
+    assert sorted(tuple(r) for r in moves.collect()) == [("R001", "ONLINE_RESERVATION", -2), ("R002", "ONLINE_RESERVATION", -1)]
+    assert {r.product_id: (r.reserved_quantity, r.available_to_sell) for r in placed["inventory.inventory"].collect()} == {"P001": (3, 0), "P002": (2, 0)}
     hold = placed["ecommerce.reservation"].orderBy("reservation_id").first()
     assert hold.expires_at == START + timedelta(1)
     assert {r.request_id: r.error for r in placed["refused"].collect()} == {
@@ -225,6 +228,8 @@ def test_every_valid_sale_attempt_is_stored(spark):
         ("T052", "BLOCKED", "OUT_OF_STOCK", "0.00"),
         ("T053", "BLOCKED", "RESERVED_STOCK", "0.00"),
     ]
+    moves = sold["inventory.inventory_movement"].select("source_reference_id", "movement_type", "quantity_change")
+    assert [tuple(r) for r in moves.collect()] == [("T051", "POS_SALE", -3)]
     items = sold["pos.pos_transaction_item"].orderBy("transaction_item_id").collect()
     assert [str(r.line_amount) for r in items] == ["28.50", "9.50", "20.00"]
     assert [tuple(r) for r in sold["refused"].collect()] == [("q4", "Unknown product P404")]
