@@ -2,6 +2,9 @@
 
 A tagged frame keeps every staged row and adds ``reject_reason``: the first rule the row breaks, or
 NULL. It is written once, so the kept rows and the reject log always describe the same rows.
+
+The lookup that shows whether an id is known also brings what a fact needs from it (surrogate keys,
+header fields), so large tables meet each lookup once and facts need no further join.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.functions.retail import line_amount, pos_reason, pos_status, standard_word
+from shelfwise.functions.retail import date_key, line_amount, pos_reason, pos_status, standard_word
 from shelfwise.sources.linked import union_all
 
 REASON = "reject_reason"
@@ -24,14 +27,17 @@ def _first_reason(*rules: tuple[Column, str]) -> Column:
 
 
 def known_ids(cleaned: DataFrame, column: str) -> DataFrame:
-    """The distinct ids of a cleaned table. Write it before use: AQE splits a hot id of a left join
-    only when nothing sits between the other side's shuffle and the join."""
+    """The distinct ids of a table. Write it before joining: AQE splits a hot id of a left join only
+    when nothing sits between the other side's shuffle and the join."""
     return cleaned.select(F.col(column).alias("known_id")).where(F.col(column).isNotNull()).distinct()
 
 
-def _with_match(df: DataFrame, column: str, known: DataFrame, flag: str) -> DataFrame:
-    """Add ``flag``: TRUE where ``column`` is a known id, else NULL. Distinct ids cannot add rows."""
-    return df.join(known.select(F.col("known_id").alias(column), F.lit(True).alias(flag)), column, "left")
+def _look_up(df: DataFrame, column: str, known: DataFrame, flag: str, *wanted: str) -> DataFrame:
+    """Add ``flag``, TRUE where ``column`` is a known id and else NULL, and the ``wanted`` columns.
+
+    ``known`` has one row per ``known_id``, so no rows are added.
+    """
+    return df.join(known.select(F.col("known_id").alias(column), F.lit(True).alias(flag), *wanted), column, "left")
 
 
 def _negative(*columns: str) -> Column:
@@ -68,18 +74,19 @@ def tag_stores(staged: DataFrame) -> DataFrame:
 
 def tag_online_orders(staged: DataFrame, stores: DataFrame, customers: DataFrame) -> DataFrame:
     tagged = staged.withColumn("order_status", standard_word("order_status"))
-    tagged = _with_match(tagged, "customer_id", customers, "has_customer")
-    tagged = _with_match(tagged, "fulfilment_store_id", stores, "has_store")
+    tagged = _look_up(tagged, "customer_id", customers, "has_customer", "customer_key")
+    tagged = _look_up(tagged, "fulfilment_store_id", stores, "has_store", "store_key")
     unknown = F.col("has_store").isNull() | F.col("has_customer").isNull()
-    return _tag(staged, tagged, (unknown, "Unknown store_id or customer_id"))
+    return _tag("stg_online_orders", staged, tagged, (unknown, "Unknown store_id or customer_id"))
 
 
 def tag_pos_transactions(staged: DataFrame, stores: DataFrame) -> DataFrame:
     tagged = staged.withColumns(
         {"transaction_status": pos_status("transaction_status"), "rejection_reason": pos_reason("rejection_reason")}
     )
-    tagged = _with_match(tagged, "store_id", stores, "has_store")
+    tagged = _look_up(tagged, "store_id", stores, "has_store", "store_key")
     return _tag(
+        "stg_pos_transactions",
         staged,
         tagged,
         (F.col("transaction_status") == "PENDING", "PENDING (not final) - skipped this run"),
@@ -88,9 +95,10 @@ def tag_pos_transactions(staged: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def tag_inventory(staged: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    tagged = _with_match(staged, "product_id", products, "has_product")
-    tagged = _with_match(tagged, "store_id", stores, "has_store")
+    tagged = _look_up(staged, "product_id", products, "has_product", "product_key")
+    tagged = _look_up(tagged, "store_id", stores, "has_store", "store_key")
     return _tag(
+        "stg_inventory",
         staged,
         tagged,
         (F.col("has_product").isNull() | F.col("has_store").isNull(), "Unknown product_id or store_id"),
@@ -98,45 +106,83 @@ def tag_inventory(staged: DataFrame, products: DataFrame, stores: DataFrame) ->
     )
 
 
-def _tag_items(staged: DataFrame, products: DataFrame, parents: DataFrame, parent_id: str, orphan: str) -> DataFrame:
-    tagged = _with_match(staged, "product_id", products, "has_product")
-    tagged = _with_match(tagged, parent_id, parents, "has_parent")
+def _tag_items(name: str, staged: DataFrame, products: DataFrame, headers: DataFrame, header_id: str, orphan: str) -> DataFrame:
+    tagged = _look_up(staged, "product_id", products, "has_product", "product_key")
+    tagged = _look_up(tagged, header_id, headers, "has_header", *[c for c in headers.columns if c != "known_id"])
     return _tag(
+        name,
         staged,
         tagged,
         (F.col("has_product").isNull(), "Unknown product_id"),
         (_negative("quantity", "unit_price"), "Negative quantity or price"),
-        (F.col("has_parent").isNull(), orphan),
+        (F.col("has_header").isNull(), orphan),
     ).withColumn("line_amount", F.when(F.col(REASON).isNull(), line_amount()).otherwise(F.col("line_amount")))
 
 
 def tag_order_items(staged: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
-    return _tag_items(staged, products, orders, "order_id", "Parent order missing")
+    return _tag_items("stg_order_items", staged, products, orders, "order_id", "Parent order missing")
 
 
 def tag_pos_items(staged: DataFrame, products: DataFrame, transactions: DataFrame) -> DataFrame:
-    return _tag_items(staged, products, transactions, "transaction_id", "Parent transaction missing")
+    return _tag_items("stg_pos_items", staged, products, transactions, "transaction_id", "Parent transaction missing")
 
 
 def tag_reservations(staged: DataFrame, products: DataFrame, stores: DataFrame, orders: DataFrame) -> DataFrame:
     tagged = staged.withColumn("reservation_status", standard_word("reservation_status"))
-    tagged = _with_match(tagged, "product_id", products, "has_product")
-    tagged = _with_match(tagged, "store_id", stores, "has_store")
-    tagged = _with_match(tagged, "order_id", orders, "has_parent")
+    tagged = _look_up(tagged, "product_id", products, "has_product", "product_key")
+    tagged = _look_up(tagged, "store_id", stores, "has_store", "store_key")
+    tagged = _look_up(tagged, "order_id", orders, "has_header", "customer_key")
     return _tag(
+        "stg_reservations",
         staged,
         tagged,
         (F.col("has_product").isNull() | F.col("has_store").isNull(), "Unknown product_id or store_id"),
-        (F.col("has_parent").isNull(), "Parent order missing"),
+        (F.col("has_header").isNull(), "Parent order missing"),
     )
 
 
-def _tag(staged: DataFrame, tagged: DataFrame, *rules: tuple[Column, str]) -> DataFrame:
-    return tagged.select(*staged.columns, _first_reason(*rules).alias(REASON))
+# staged name -> columns its lookups add for the facts
+RESOLVED = {
+    "stg_online_orders": ("store_key", "customer_key"),
+    "stg_pos_transactions": ("store_key",),
+    "stg_inventory": ("product_key", "store_key"),
+    "stg_order_items": ("product_key", "store_key", "customer_key", "date_key", "order_status"),
+    "stg_pos_items": ("product_key", "store_key", "date_key", "transaction_status", "rejection_reason"),
+    "stg_reservations": ("product_key", "store_key", "customer_key"),
+}
+
 
+def _tag(name: str, staged: DataFrame, tagged: DataFrame, *rules: tuple[Column, str]) -> DataFrame:
+    return tagged.select(*staged.columns, *RESOLVED[name], _first_reason(*rules).alias(REASON))
 
-def kept(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col(REASON).isNull()).drop(REASON, "copies")
+
+def kept(name: str, tagged: DataFrame) -> DataFrame:
+    """The cleaned rows of a staged table, with the staged columns only."""
+    return tagged.where(F.col(REASON).isNull()).drop(REASON, "copies", *RESOLVED.get(name, ()))
+
+
+def known_master(cleaned: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Ids of a cleaned master table with their surrogate keys."""
+    key, natural = dimension.columns[:2]
+    return cleaned.select(natural).join(dimension.select(natural, key), natural).withColumnRenamed(natural, "known_id")
+
+
+# headers lines refer to -> (id, timestamp, columns taken over)
+HEADERS = {
+    "stg_online_orders": ("order_id", "created_at", ("store_key", "customer_key", "order_status")),
+    "stg_pos_transactions": (
+        "transaction_id",
+        "transaction_timestamp",
+        ("store_key", "transaction_status", "rejection_reason"),
+    ),
+}
+
+
+def known_headers(name: str, tagged: DataFrame) -> DataFrame:
+    """Cleaned orders or till transactions by id, with the fields their lines take over."""
+    identifier, stamp, taken = HEADERS[name]
+    headers = tagged.where(F.col(REASON).isNull() & F.col(identifier).isNotNull())
+    return headers.select(F.col(identifier).alias("known_id"), date_key(stamp).alias("date_key"), *taken)
 
 
 # staged name -> column written to the log as record_id
@@ -175,7 +221,7 @@ def _duplicates(name: str, tagged: DataFrame) -> DataFrame:
     )
 
 
-# staged name -> (tagging function, tables whose ids it checks against)
+# staged name -> (tagging function, tables it looks ids up in)
 RULES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "stg_products": (tag_products, ()),
     "stg_stores": (tag_stores, ()),
@@ -188,15 +234,6 @@ RULES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "stg_reservations": (tag_reservations, ("stg_products", "stg_stores", "stg_online_orders")),
 }
 
-# tables other tables refer to -> id column
-KEY_COLUMN = {
-    "stg_products": "product_id",
-    "stg_stores": "store_id",
-    "stg_customers": "customer_id",
-    "stg_online_orders": "order_id",
-    "stg_pos_transactions": "transaction_id",
-}
-
 
 def reject_log(tagged: dict[str, DataFrame]) -> DataFrame:
     return union_all(rejects(name, df) for name, df in tagged.items())

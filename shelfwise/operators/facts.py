@@ -1,8 +1,7 @@
-"""Star-schema facts built from the cleaned tables.
+"""Star-schema facts from the tagged tables.
 
-Headers (orders, tills) are resolved against the dimensions before the lines join them, so the
-customer, store and date lookups run at header grain. No join is hinted: Spark broadcasts a
-dimension when its size allows and otherwise sorts and merges, with AQE splitting hot keys.
+Cleaning has already brought surrogate keys and header fields to every kept row, so a fact is a
+projection: no join and no shuffle. A row without a date has no calendar day and does not load.
 """
 
 from __future__ import annotations
@@ -12,83 +11,50 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions.retail import available_to_sell, date_key
+from shelfwise.operators.cleaning import REASON
 
-Tables = dict[str, DataFrame]
 
-
-def _store_key(dims: Tables, column: str) -> DataFrame:
-    return dims["dim_store"].select(F.col("store_id").alias(column), "store_key")
-
-
-def _product_key(dims: Tables) -> DataFrame:
-    return dims["dim_product"].select("product_id", "product_key")
-
-
-def _customer_key(dims: Tables) -> DataFrame:
-    return dims["dim_customer"].select("customer_id", "customer_key")
-
-
-def _with_date(df: DataFrame, dims: Tables, stamp: str) -> DataFrame:
-    days = dims["dim_date"].select(F.col("full_date").alias("_day"), "date_key")
-    return df.withColumn("_day", F.to_date(stamp)).join(days, "_day").drop("_day")
+def _keyed(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Add a fact key: unique within one load, like a restarted sequence but with gaps."""
+    return df.where(F.col("date_key").isNotNull()).select((F.monotonically_increasing_id() + 1).alias(key), *columns)
 
 
-def _keyed(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Add a fact key: unique within one load, like a restarted sequence but with gaps."""
-    return df.select((F.monotonically_increasing_id() + 1).alias(key), *columns)
+def _kept(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col(REASON).isNull())
 
 
-def fact_pos_activity(clean: Tables, dims: Tables) -> DataFrame:
-    sales = _with_date(clean["stg_pos_transactions"], dims, "transaction_timestamp")
-    sales = sales.join(_store_key(dims, "store_id"), "store_id").select(
-        "transaction_id", "store_key", "date_key", "transaction_status", "rejection_reason"
-    )
-    lines = clean["stg_pos_items"].join(sales, "transaction_id").join(_product_key(dims), "product_id")
+def fact_pos_activity(items: DataFrame) -> DataFrame:
+    """One row per product line of a till attempt, completed or blocked."""
     return _keyed(
-        lines,
-        "pos_fact_key",
-        ["transaction_id", "transaction_item_id", "product_key", "store_key", "date_key", "quantity", "unit_price",
-         "line_amount", "transaction_status", "rejection_reason"],
+        _kept(items), "pos_fact_key", "transaction_id", "transaction_item_id", "product_key", "store_key", "date_key",
+        "quantity", "unit_price", "line_amount", "transaction_status", "rejection_reason",
     )
 
 
-def fact_online_order(clean: Tables, dims: Tables) -> DataFrame:
-    orders = _with_date(clean["stg_online_orders"], dims, "created_at")
-    orders = (
-        orders.join(_store_key(dims, "fulfilment_store_id"), "fulfilment_store_id")
-        .join(_customer_key(dims), "customer_id")
-        .select("order_id", "store_key", "customer_key", "date_key", "order_status")
-    )
-    lines = clean["stg_order_items"].join(orders, "order_id").join(_product_key(dims), "product_id")
+def fact_online_order(items: DataFrame) -> DataFrame:
+    """One row per product line of an online order."""
     return _keyed(
-        lines,
-        "order_fact_key",
-        ["order_id", "order_item_id", "product_key", "store_key", "customer_key", "date_key", "quantity", "unit_price",
-         "line_amount", "order_status"],
+        _kept(items), "order_fact_key", "order_id", "order_item_id", "product_key", "store_key", "customer_key",
+        "date_key", "quantity", "unit_price", "line_amount", "order_status",
     )
 
 
-def fact_reservation(clean: Tables, dims: Tables) -> DataFrame:
-    """The customer comes from the order, the store and the date from the reservation itself."""
-    orders = clean["stg_online_orders"].join(_customer_key(dims), "customer_id").select("order_id", "customer_key")
-    holds = _with_date(clean["stg_reservations"], dims, "created_at").join(_store_key(dims, "store_id"), "store_id")
-    holds = holds.join(orders, "order_id").join(_product_key(dims), "product_id")
+def fact_reservation(reservations: DataFrame) -> DataFrame:
+    """One row per reservation; the customer comes from its order, store and date are its own."""
     return _keyed(
-        holds,
-        "reservation_fact_key",
-        ["reservation_id", "order_id", "product_key", "store_key", "customer_key", "date_key", "quantity",
-         "reservation_status"],
+        _kept(reservations).withColumn("date_key", date_key("created_at")), "reservation_fact_key", "reservation_id",
+        "order_id", "product_key", "store_key", "customer_key", "date_key", "quantity", "reservation_status",
     )
 
 
-def fact_inventory_snapshot(clean: Tables, dims: Tables, run_date: date) -> DataFrame:
-    today = dims["dim_date"].where(F.col("full_date") == F.lit(run_date)).select("date_key")
-    stock = clean["stg_inventory"].withColumn("date_key", date_key(F.lit(run_date))).join(today, "date_key")
-    stock = stock.join(_store_key(dims, "store_id"), "store_id").join(_product_key(dims), "product_id")
+def fact_inventory_snapshot(inventory: DataFrame, run_date: date) -> DataFrame:
+    """One row per product and store for the run date."""
+    stock = _kept(inventory).withColumns(
+        {"date_key": date_key(F.lit(run_date)), "available_to_sell": available_to_sell()}
+    )
     return _keyed(
-        stock.withColumn("available_to_sell", available_to_sell()),
-        "inventory_fact_key",
-        ["product_key", "store_key", "date_key", "on_hand_quantity", "reserved_quantity", "available_to_sell"],
+        stock, "inventory_fact_key", "product_key", "store_key", "date_key", "on_hand_quantity", "reserved_quantity",
+        "available_to_sell",
     )
 
 
@@ -102,8 +68,9 @@ def replace_snapshot(path: str, day: DataFrame) -> None:
     )
 
 
+# fact -> (builder, staged table it is built from)
 FACTS = {
-    "fact_pos_activity": (fact_pos_activity, ("stg_pos_items", "stg_pos_transactions")),
-    "fact_online_order": (fact_online_order, ("stg_order_items", "stg_online_orders")),
-    "fact_reservation": (fact_reservation, ("stg_reservations", "stg_online_orders")),
+    "fact_pos_activity": (fact_pos_activity, "stg_pos_items"),
+    "fact_online_order": (fact_online_order, "stg_order_items"),
+    "fact_reservation": (fact_reservation, "stg_reservations"),
 }

@@ -76,7 +76,7 @@ def _staged(name: str) -> Query:
 
 
 def _tagged(name: str) -> Query:
-    return _on_warehouse(lambda dw: dw.tagged(name).drop("extracted_at"))
+    return _on_warehouse(lambda dw: dw.tagged(name).drop("extracted_at", *cleaning.RESOLVED.get(name, ())))
 
 
 def _standardised(sources: dict[str, DataFrame]) -> DataFrame:

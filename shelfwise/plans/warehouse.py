@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.operators import cleaning, dimensions, facts
+from shelfwise.operators.keys import require_unique
 from shelfwise.operators.staging import stage
 from shelfwise.session import shared_folder, store
 from shelfwise.sources.linked import union_all
@@ -56,7 +57,7 @@ class Warehouse(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in STAGED:
-            return cleaning.kept(self.tagged(name))
+            return cleaning.kept(name, self.tagged(name))
         if name not in TABLES:
             raise KeyError(name)
         if name not in self._written:
@@ -83,9 +84,15 @@ class Warehouse(Mapping):
         return self._written[label]
 
     def known(self, name: str) -> DataFrame:
+        """One row per id of a cleaned table, with what rows that refer to it need."""
         label = f"known_{name}"
         if label not in self._written:
-            self._write(label, cleaning.known_ids(self[name], cleaning.KEY_COLUMN[name]))
+            if name in cleaning.HEADERS:
+                known = self._write(label, cleaning.known_headers(name, self.tagged(name)))
+                require_unique(known, ["known_id"], name)
+            else:
+                dimension = next(d for d, source in dimensions.DIMENSION_SOURCE.items() if source == name)
+                self._write(label, cleaning.known_master(self[name], self[dimension]))
         return self._written[label]
 
     def reject_log(self) -> DataFrame:
@@ -99,8 +106,8 @@ class Warehouse(Mapping):
             return self._existing(name).unionByName(self.new_dates())
         if name in dimensions.DIMENSION_SOURCE:
             return dimensions.upsert(self._existing(name), self[dimensions.DIMENSION_SOURCE[name]], name)
-        build, _ = facts.FACTS[name]
-        return build(self, self)
+        build, source = facts.FACTS[name]
+        return build(self.tagged(source))
 
     def new_dates(self) -> DataFrame:
         return dimensions.new_dates(self._existing("dim_date"), dimensions.date_range(self, self.run.run_date))
@@ -109,7 +116,7 @@ class Warehouse(Mapping):
         """Today's rows of the inventory snapshot."""
         name = "snapshot_today"
         if name not in self._written:
-            self._write(name, facts.fact_inventory_snapshot(self, self, self.run.run_date))
+            self._write(name, facts.fact_inventory_snapshot(self.tagged("stg_inventory"), self.run.run_date))
         return self._written[name]
 
     def run_log(self) -> DataFrame:

@@ -43,10 +43,13 @@ def test_a_hot_product_is_split_while_cleaning(spark, small_shuffles, tmp_path):
     )
     products = spark.range(500).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("product_id"))
     orders = spark.range(19_000).select(F.concat(F.lit("O"), F.col("id").cast("string")).alias("order_id"))
-    known = [
-        store(cleaning.known_ids(products, "product_id"), f"{tmp_path}/products"),
-        store(cleaning.known_ids(orders, "order_id"), f"{tmp_path}/orders"),
-    ]
+    key = lambda name: F.lit(1).cast("bigint").alias(name)
+    products = products.select(F.col("product_id").alias("known_id"), key("product_key"))
+    orders = orders.select(
+        F.col("order_id").alias("known_id"), key("store_key"), key("customer_key"), F.lit(20250101).alias("date_key"),
+        F.lit("CONFIRMED").alias("order_status"),
+    )
+    known = [store(products, f"{tmp_path}/products"), store(orders, f"{tmp_path}/orders")]
     tagged = cleaning.tag_order_items(items, *known)
     counts = {r.reject_reason: r["count"] for r in tagged.groupBy("reject_reason").count().collect()}
     assert counts == {None: 57_000, "Parent order missing": 3_000}
