@@ -69,7 +69,8 @@ class Warehouse(Mapping):
         return self._written[name]
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
-        self._written[name] = store(df, f"{self.folder}/{name}")
+        # A failed attempt may have left files behind.
+        self._written[name] = store(df, f"{self.folder}/{name}", "overwrite")
         return self._written[name]
 
     def staged(self, name: str) -> DataFrame:
