@@ -25,7 +25,6 @@ from shelfwise.sources.linked import bad_status, contract_check, link_folder
 
 PUBLISHED = "version bigint, folder string, run_date date, started_at timestamp"
 DIMENSIONS = ("dim_date", *DIMENSION_SOURCE)
-RESULTS = ("etl_reject_log", "qa_checks", "qa_scoreboard", "bad_status")
 
 
 class LoadError(RuntimeError):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fixtures import DAY, EXPECTED_REJECTS, clean_rows, faulty_rows, linked
 from shelfwise.operators import cleaning, dimensions
 from shelfwise.operators.keys import number_rows
-from shelfwise.plans import pipeline, quality, reports
+from shelfwise.plans import load, quality, reports
 from shelfwise.plans.warehouse import Run, Warehouse
 from shelfwise.sources.linked import bad_status, contract_check, link_folder, link_summary, register_views
 from shelfwise.sources.schemas import STAGED
@@ -114,11 +114,11 @@ def published(spark, tmp_path_factory):
     """Two runs on one day and a third two days later with changed stock."""
     out = str(tmp_path_factory.mktemp("warehouse"))
     tables = linked(spark, clean_rows())
-    runs = [pipeline.run(spark, tables, out, RUN), pipeline.run(spark, tables, out, RUN)]
+    runs = [load.run(spark, tables, out, RUN), load.run(spark, tables, out, RUN)]
     rows = clean_rows()
     rows["inventory.product"] = [("P000", "SKU-0", "Tin Cup", "Kitchen", Decimal("3.00"), True), *rows["inventory.product"]]
     rows["inventory.inventory"][2] = ("I003", "P001", "S002", 6, 0, 6, DAY)
-    runs.append(pipeline.run(spark, linked(spark, rows), out, Run(date(2025, 5, 14), datetime(2025, 5, 14, 4))))
+    runs.append(load.run(spark, linked(spark, rows), out, Run(date(2025, 5, 14), datetime(2025, 5, 14, 4))))
     return out, runs
 
 
@@ -131,11 +131,11 @@ def contents(df):
 
 def test_a_second_run_changes_nothing_but_the_log(spark, published):
     out, (first, second, _) = published
-    for name in (*pipeline.DIMENSIONS, *FACTS, "qa_checks"):
+    for name in (*load.DIMENSIONS, *FACTS, "qa_checks"):
         assert contents(first[name]) == contents(second[name]), name
     assert first["etl_run_log"].count() == 24
     assert first["etl_run_log"].where("run_id between 200 and 299 and step = 'DIM_DATE'").first().rows_affected == 0
-    assert pipeline.current(spark, out).version == 3
+    assert load.current(spark, out).version == 3
 
 
 def test_snapshot_history_is_kept(published):
@@ -190,17 +190,17 @@ def test_broken_constraints_stop_before_publishing(spark, tmp_path):
         ("UNIQUE (order_item_id)", "OI003"),
         ("reservation_status IS NOT NULL", "R099"),
     }
-    with pytest.raises(pipeline.LoadError):
-        pipeline.run(spark, linked(spark, rows), f"{tmp_path}/out", RUN)
-    assert pipeline.current(spark, f"{tmp_path}/out") is None
+    with pytest.raises(load.LoadError):
+        load.run(spark, linked(spark, rows), f"{tmp_path}/out", RUN)
+    assert load.current(spark, f"{tmp_path}/out") is None
 
 
 def test_repeated_order_ids_stop_the_load(spark, tmp_path):
     rows = clean_rows()
     rows["ecommerce.online_order"].append(rows["ecommerce.online_order"][0])
     with pytest.raises(ValueError, match="stg_online_orders: known_id must be unique"):
-        pipeline.run(spark, linked(spark, rows), f"{tmp_path}/out", RUN)
-    assert pipeline.current(spark, f"{tmp_path}/out") is None
+        load.run(spark, linked(spark, rows), f"{tmp_path}/out", RUN)
+    assert load.current(spark, f"{tmp_path}/out") is None
 
 
 def test_linked_folders_are_read_as_they_are(spark, tmp_path):

@@ -1,7 +1,6 @@
 """Stock requests: rules of one shelf, and bulk decisions against a one-by-one walk."""
 
 import random
-from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
