@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import packing, token_files
+from shelfwise.llm import mixing, packing, quality, token_files
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +22,20 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_documents(spark, folder)).select(
+        "doc.doc_id",
+        "mix.size",
+        "mix.source_size",
+        "mix.target",
+        (F.col("mix.size") * F.col("mix.copies")).alias("taken"),
+    )
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _documents(spark, folder).select("doc_id", quality.quality(F.col("text")).alias("q")).select("doc_id", "q.*")
+
+
 def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     rows = token_files.token_table(_documents(spark, folder), public_tokenizers.path(WORD_BPE))
     return rows.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
@@ -29,5 +43,7 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op5_mixing": op5_mixing,
+    "op8_quality": op8_quality,
     "op10_token_ids": op10_token_ids,
 }
