@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import mixing, packing, quality, token_files
+from shelfwise.llm import line_dedup, mixing, packing, quality, token_files
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -17,6 +17,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.remove_spread_lines(_documents(spark, folder)).select("doc.doc_id", "text", "n_lines", "n_removed")
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(_documents(spark, folder), public_tokenizers.path(BYTE_BPE))
     return pieces.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
@@ -42,6 +46,7 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op5_mixing": op5_mixing,
     "op8_quality": op8_quality,
