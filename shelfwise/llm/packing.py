@@ -36,7 +36,7 @@ def cut(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int, sequen
         seen = np.zeros(sequence_length + 1, dtype=np.int64)
         encode = encoder(tokenizer, keeps_blanks).encode
         for rows, texts in chunks(batches, "text"):
-            encoded = [x + end for x in encode(texts)]
+            encoded = [encode(x) + end for x in texts]
             tokens = np.array([len(x) // 4 for x in encoded], dtype=np.int64)
             counts = -(-tokens // sequence_length)
             row = np.repeat(np.arange(len(tokens)), counts)

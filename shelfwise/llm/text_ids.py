@@ -1,8 +1,8 @@
 """Token ids of whole texts with a tokenizers file, in Arrow batches.
 
-Both tokenizers used here break a text at white space, and between a letter and a sign, before they merge.
-So the ids of a text are the ids of its segments one after another. Segments repeat often; each worker
-remembers the ids of the segments it met lately and asks the tokenizers library for the others only.
+Both tokenizers used here break a text before a blank, and between a letter and a sign, before they merge. So
+the ids of a text are the ids of its pieces one after another. Pieces repeat often; each worker remembers
+the ids of those it met lately and asks the tokenizers library for the others only.
 """
 
 from __future__ import annotations
@@ -10,32 +10,34 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
-# Text handed to the library, and rows held as ids, at a time.
+# Text held as ids at a time.
 CHUNK_CHARS = 2_000_000
-# Segments remembered by a worker: two generations of this many.
+# Pieces remembered by a worker: two generations of this many.
 REMEMBERED = 250_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
 # encodes white space gets it at the start of the segment.
 _RUN = r"(?:[^\W\d_]+(?=[.,;:!?#$%&*])|[^ \n]+)"
-_WITH_BLANKS = re.compile(rf"[ \n]*{_RUN}|[ \n]+")
-_WITHOUT_BLANKS = re.compile(_RUN)
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+_WITH_BLANKS = re.compile(rf"[ \n]*{_RUN}|[ \n]+").findall
+_WITHOUT_BLANKS = re.compile(_RUN).findall
+_OTHER_SPACE = re.compile(r"[^\S \n]").search
+# A run of white space that the tokenizer would cut elsewhere than before its last blank.
+_BLANK_RUN = re.compile(r"\s (?:\s|\Z)").search
 # One word of Latin letters: nothing to normalise or split, so the merges alone are asked for.
-_PLAIN_WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+_PLAIN_WORD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 # Byte-level vocabularies write a byte without a printable Latin-1 character as one from 256 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = [b for b in range(256) if b not in _PRINTABLE]
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
-class SegmentEncoder:
+class TextEncoder:
     """Ids as little-endian unsigned 32-bit bytes.
 
-    ``keeps_blanks`` says that the tokenizer encodes white space. Such a tokenizer may join a blank with
-    other white space before it, so texts with tabs, no-break spaces and the like are encoded in one go.
+    ``keeps_blanks`` says that the tokenizer encodes white space. It then joins blanks with white space before
+    them, so the few texts with such runs are encoded in one go.
     """
 
     def __init__(self, path: str, keeps_blanks: bool) -> None:
@@ -43,51 +45,69 @@ class SegmentEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.keeps_blanks = keeps_blanks
         self.merge = self.tokenizer.model.tokenize
-        self.segments = (_WITH_BLANKS if keeps_blanks else _WITHOUT_BLANKS).findall
+        self.keeps_blanks = keeps_blanks
+        self.segments = _WITH_BLANKS if keeps_blanks else _WITHOUT_BLANKS
+        self.blank = chr(_BYTE_LETTERS[32]) if keeps_blanks else ""
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
-
-    def _merged(self, word: str) -> bytes:
-        cased = word if self.keeps_blanks else word.lower()
-        ids = [x.id for x in self.merge(cased.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+    def _ask(self, text: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn(self, wanted: set[str]) -> None:
+    def _cut(self, text: str) -> bytes:
+        """A text without runs of white space that its segments would break."""
+        if self.keeps_blanks and _OTHER_SPACE(text):
+            return self._ask(text)
+        return b"".join([self._segment(x) for x in self.segments(text)])
+
+    def _segment(self, segment: str) -> bytes:
+        start = 1 if self.keeps_blanks and segment[0] == " " else 0
+        if start == self.keeps_blanks and _PLAIN_WORD(segment, start):
+            return self._remembered(segment[start:])
+        # told apart from a word by the character in front
+        key = "\0" + segment
+        if (ids := self.recent.get(key)) is None:
+            if (ids := self.older.get(key)) is None:
+                ids = self._ask(segment)
+            self.recent[key] = ids
+        return ids
+
+    def _remembered(self, piece: str) -> bytes:
+        """Ids of a piece with the blank before it."""
+        if (ids := self.recent.get(piece)) is not None:
+            return ids
+        if (ids := self.older.get(piece)) is None:
+            if _PLAIN_WORD(piece):
+                cased = piece if self.keeps_blanks else piece.lower()
+                written = cased if cased.isascii() else cased.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                found = [x.id for x in self.merge(self.blank + written)]
+                ids = struct.pack(f"<{len(found)}I", *found)
+            else:
+                ids = self._cut(" " + piece)
         if len(self.recent) >= REMEMBERED:
             self.older, self.recent = self.recent, {}
-        missing = [x for x in wanted if x not in self.recent]
-        kept = {x: self.older[x] for x in missing if x in self.older}
-        self.recent.update(kept)
-        missing = [x for x in missing if x not in kept]
-        plain = [x for x in missing if _PLAIN_WORD(x)]
-        other = [x for x in missing if not _PLAIN_WORD(x)]
-        self.recent.update(zip(plain, map(self._merged, plain), strict=True))
-        self.recent.update(zip(other, self._ask(other), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [self.keeps_blanks and _OTHER_SPACE.search(x) is not None for x in texts]
-        cut = [[] if one else self.segments(x) for x, one in zip(texts, whole, strict=True)]
-        self._learn({s for segments in cut for s in segments})
-        ids = self.recent.__getitem__
-        return [
-            self._ask([x])[0] if one else b"".join(map(ids, segments))
-            for x, one, segments in zip(texts, whole, cut, strict=True)
-        ]
-
-
-_encoders: dict[tuple[str, bool], SegmentEncoder] = {}
-
-
-def encoder(path: str, keeps_blanks: bool) -> SegmentEncoder:
+        self.recent[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if self.keeps_blanks and _BLANK_RUN(text):
+            return self._ask(text)
+        first, *pieces = text.split(" ")
+        found = list(map(self.recent.get, pieces))
+        if None in found:
+            found = [self._remembered(p) if x is None else x for p, x in zip(pieces, found, strict=True)]
+        return self._cut(first) + b"".join(found)
+
+
+_encoders: dict[tuple[str, bool], TextEncoder] = {}
+
+
+def encoder(path: str, keeps_blanks: bool) -> TextEncoder:
     """The worker's encoder of a file; loaded once per Python worker."""
     if (path, keeps_blanks) not in _encoders:
-        _encoders[path, keeps_blanks] = SegmentEncoder(path, keeps_blanks)
+        _encoders[path, keeps_blanks] = TextEncoder(path, keeps_blanks)
     return _encoders[path, keeps_blanks]
 
 

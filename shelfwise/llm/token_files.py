@@ -40,7 +40,7 @@ def encoded(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int) ->
         part, end, before = TaskContext.get().partitionId(), np.uint32(end_id).tobytes(), 0
         encode = encoder(tokenizer, keeps_blanks).encode
         for rows, texts in chunks(batches, "text"):
-            found = [x + end for x in encode(texts)]
+            found = [encode(x) + end for x in texts]
             tokens = np.array([len(x) // 4 for x in found], dtype=np.int64)
             ends = np.concatenate([[0], np.cumsum(tokens)])
             yield pa.RecordBatch.from_arrays(
