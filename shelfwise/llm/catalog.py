@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import line_dedup, mixing, packing, quality, token_files
+from shelfwise.llm import line_dedup, mixing, packing, quality, simhash, token_files
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -36,6 +36,12 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_copies(_documents(spark, folder)).select(
+        "doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _documents(spark, folder).select("doc_id", quality.quality(F.col("text")).alias("q")).select("doc_id", "q.*")
 
@@ -49,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op5_mixing": op5_mixing,
+    "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op10_token_ids": op10_token_ids,
 }
