@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import line_dedup, mixing, packing, quality, simhash, token_files
+from shelfwise.llm import language_model, line_dedup, mixing, packing, quality, simhash, token_files
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -46,6 +46,12 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _documents(spark, folder).select("doc_id", quality.quality(F.col("text")).alias("q")).select("doc_id", "q.*")
 
 
+def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    rows = language_model.scored_documents(_documents(spark, folder))
+    perplexity = F.pow(F.lit(10.0), -F.col("lm.score") / F.col("lm.n_tokens"))
+    return rows.select("doc.doc_id", "held_out", "train_tokens", "lm.*", perplexity.alias("perplexity"))
+
+
 def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     rows = token_files.token_table(_documents(spark, folder), public_tokenizers.path(WORD_BPE))
     return rows.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
@@ -57,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op9_language_model": op9_language_model,
     "op10_token_ids": op10_token_ids,
 }
