@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import language_model, line_dedup, mixing, packing, quality, simhash, token_files
+from shelfwise.llm import embedding_dedup, language_model, line_dedup, mixing, packing, quality, simhash, token_files
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +26,11 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder)).select(
         "doc.doc_id",
@@ -60,6 +65,7 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
