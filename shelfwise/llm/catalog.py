@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import embedding_dedup, language_model, line_dedup, mixing, packing, quality, simhash, token_files
+from shelfwise.llm import chat, embedding_dedup, language_model, licenses, line_dedup, mixing, packing, quality, simhash, token_files
+from shelfwise.session import fresh_folder, store
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +27,11 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(_documents(spark, folder), licenses.known_licenses(spark))
+    return found.select("doc.doc_id", "digest", "license_id", F.array_join("notices", ",").alias("notices"))
+
+
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = embedding_dedup.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
@@ -41,6 +47,14 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = [(-1, 0, "user", control), (-1, 1, "assistant", control)]
+    messages = chat.linear_tree(turns.unionByName(spark.createDataFrame(probe, turns.schema)))
+    return chat.digests(chat.formatted(store(messages, fresh_folder(spark, "messages"))))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(_documents(spark, folder)).select(
         "doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id"
@@ -65,8 +79,10 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_licenses": op3_licenses,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
+    "op6_chat": op6_chat,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_language_model": op9_language_model,

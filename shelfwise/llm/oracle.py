@@ -2,4 +2,43 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from shelfwise.llm.license_texts import NAMED, SENTENCES, TEXTS
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_LICENSE_ROWS = ", ".join(
+    f"({_text(i)}, {_text(t)})" for i, t in [*TEXTS, *((i, s.format(name)) for i, name in NAMED for s in SENTENCES)]
+)
+
+# case, copyright lines, punctuation, then spellings
+_CANONICAL = """replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(
+    trim(regexp_replace(regexp_replace(lower(x),
+        '(?m)^[ \\t#*/;-]*(copyright[ \\t:]*(\\(c\\)|©|by |\\d{4})|(\\(c\\)|©)[ \\t]*\\d{4}|all rights reserved)[^\\n]*$', ' ', 'g'), '[^\\p{L}\\p{N}]+', ' ', 'g')),
+    'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'),
+    'non infringement', 'noninfringement'), 'merchantibility', 'merchantability'), 'organisation', 'organization'),
+    'recognise', 'recognize'), 'favour', 'favor'), 'wilful', 'willful'), 'whilst', 'while'), 'per cent', 'percent'),
+    'copyright owner', 'copyright holder')"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_licenses": f"""
+WITH raw(license_id, x) AS (VALUES {_LICENSE_ROWS}),
+known AS (
+    SELECT md5(c) AS digest, min(license_id) AS license_id
+    FROM (SELECT license_id, {_CANONICAL} AS c FROM raw) WHERE c <> '' GROUP BY 1
+),
+docs AS (SELECT doc_id, text, {_CANONICAL} AS c FROM (SELECT doc_id, text, text AS x FROM documents)),
+lines AS (
+    SELECT doc_id, {_CANONICAL} AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents)
+),
+notices AS (
+    SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS notices
+    FROM (SELECT DISTINCT doc_id, license_id FROM lines JOIN known ON digest = md5(c)) GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN c <> '' THEN md5(c) END AS digest, license_id, notices
+FROM docs LEFT JOIN known ON c <> '' AND digest = md5(c) LEFT JOIN notices USING (doc_id)
+""",
+}
