@@ -71,7 +71,8 @@ def cut(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int, sequen
 def plan_packs(histogram: dict[int, int], sequence_length: int) -> list[tuple[int, list[int]]]:
     """Patterns (number of packs, lengths in them).
 
-    A step uses up a pattern or a length, so there are at most two patterns per length.
+    A step uses up a pattern or a length, or opens one of at most two patterns per length; so there are a few
+    patterns per length at most, whatever the counts.
     """
     done: list[tuple[int, list[int]]] = []
     open_packs: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)  # by free room
@@ -86,9 +87,12 @@ def plan_packs(histogram: dict[int, int], sequence_length: int) -> list[tuple[in
                 if packs > used:
                     open_packs[room].append((packs - used, pattern))
                 pattern = [*pattern, length]
+                left -= used
             else:
-                used, pattern = left, [length]
-            left -= used
+                # a new pack is the emptiest one, until it has no room
+                most = min(left, sequence_length // length)
+                used, pattern = left // most, [length] * most
+                left -= used * most
             free = sequence_length - sum(pattern)
             if free:
                 open_packs[free].append((used, pattern))
