@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 # Text held as ids at a time.
 CHUNK_CHARS = 2_000_000
 # Pieces remembered by a worker: two generations of this many.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
 # encodes white space gets it at the start of the segment.
