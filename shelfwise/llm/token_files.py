@@ -11,8 +11,11 @@ the input are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.llm.text_ids import chunks, encoder
@@ -91,14 +94,10 @@ def read_ids(spark: SparkSession, folder: str, id_type: str = "long") -> DataFra
 def ids_crc32(ids: Column) -> Column:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
 
-    @F.pandas_udf("long")
-    def crc(ids):
-        import zlib
-
-        import numpy as np
-        import pandas as pd
-
-        return pd.Series([zlib.crc32(np.asarray(x, dtype="<u4")) for x in ids], dtype="int64")
+    @F.arrow_udf("long")
+    def crc(ids: pa.Array) -> pa.Array:
+        values, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+        return pa.array([zlib.crc32(values[lo:hi]) for lo, hi in pairwise(ends)], type=pa.int64())
 
     return crc(ids)
 
