@@ -25,9 +25,9 @@ from shelfwise.session import fresh_folder, store
 # With three words a count of this corpus would move five times the input between stages.
 ORDER = 2
 # Tokens counted before they are dealt out, and scored at a time.
-COUNTED, SCORED = 3_000_000, 1_000_000
+COUNTED, SCORED = 2_000_000, 500_000
 # Training bytes for which one more bucket is taken.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 SEED = 0
 # No word holds white space.
 END, BEGIN = b"\n", b"\n\n"
@@ -53,6 +53,12 @@ def hashes(words: list[bytes]):
     return np.frombuffer(b"".join(map(xxh64_digest, words, repeat(SEED))), dtype=np.uint64)
 
 
+def token_hashes(text: str, order: int):
+    """Hashes of begin marks, words and the end of a text."""
+    # A-Z, and the six ASCII spaces, alone
+    return hashes([*[BEGIN] * (order - 1), *text.encode().lower().split(), END])
+
+
 def chained(context, word):
     """Hash of an n-gram from the hash of its first words and its last word."""
     import numpy as np
@@ -112,28 +118,26 @@ def count(texts: Iterator[list[str]], order: int, bits: int) -> Iterator[tuple]:
     """Dealt rows of the n-grams of the highest order, and of the tokens, of a task's texts."""
     import numpy as np
 
-    begin, end = [BEGIN] * (order - 1), [END]
-    words: list[bytes] = []
+    parts: list = []
+    held = 0
 
     def flushed() -> Iterator[tuple]:
-        stream = hashes(words)
-        begins = _digest(BEGIN)
-        at = np.flatnonzero(stream != begins)
+        stream = np.concatenate(parts)
+        at = np.flatnonzero(stream != _digest(BEGIN))
         columns = [stream[at - order + 1 + k] for k in range(order)]
         key, first, (n,) = summed(whole(columns), np.ones(len(at), dtype=np.int64))
         yield from deal(f"g{order}", bits, key, [c[first] for c in columns], [n])
         key, _, (n,) = summed(stream[at], np.ones(len(at), dtype=np.int64))
         yield from deal("tokens", bits, key, [key], [n])
 
-    for part in texts:
-        for text in part:
-            words += begin
-            words += text.encode().lower().split()  # A-Z, and the six ASCII spaces, alone
-            words += end
-            if len(words) >= COUNTED:
+    for batch in texts:
+        for text in batch:
+            parts.append(token_hashes(text, order))
+            held += len(parts[-1])
+            if held >= COUNTED:
                 yield from flushed()
-                words = []
-    if words:
+                parts, held = [], 0
+    if parts:
         yield from flushed()
 
 
@@ -332,16 +336,12 @@ class Scorer:
         import numpy as np
 
         model = self.model
-        begin, end = [BEGIN] * (model.order - 1), [END]
-        words: list[bytes] = []
-        starts = []
-        for text in texts:
-            starts.append(len(words) - len(starts) * len(begin))
-            words += begin + text.encode().lower().split() + end
-        at, known, p = self.probabilities(hashes(words))
+        streams = [token_hashes(text, model.order) for text in texts]
+        sizes = np.array([len(x) - model.order + 1 for x in streams])
+        starts = np.cumsum(sizes) - sizes
+        at, known, p = self.probabilities(np.concatenate(streams))
         base = np.log10((known + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
-        sums = [np.add.reduceat(x, starts) for x in (np.ones(len(at), dtype=np.int64), (known > 0).astype(np.int64), base, np.log10(p))]
-        return sums
+        return [sizes, *[np.add.reduceat(x, starts) for x in ((known > 0).astype(np.int64), base, np.log10(p))]]
 
 
 _scorers: dict[str, Scorer] = {}
