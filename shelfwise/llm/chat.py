@@ -73,9 +73,11 @@ def chosen_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     while len(jumps) <= most and not jumps[-1].where("up is not null").isEmpty():
         low = jumps[-1]
         high = low.select(F.col("message_id").alias("up"), F.col("up").alias("upper"), F.col("score").alias("more"))
-        doubled = low.join(high, "up", "left").select(
-            "tree_id", "message_id", F.col("upper").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")
+        # only messages that still have one above them; the others are done
+        doubled = low.join(high, "up").select(
+            "tree_id", "message_id", F.col("upper").alias("up"), (F.col("score") + F.col("more")).alias("score")
         )
+        doubled = doubled.unionByName(low.where("up is null").select("tree_id", "message_id", "up", "score"))
         jumps.append(store(doubled, fresh_folder(spark, "jumps")))
     # score is now that of the whole path to the root
     parents = links.select(F.col("up").alias("message_id")).where("message_id is not null").distinct()
