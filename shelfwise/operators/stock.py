@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.retail import MONEY, id_number, line_amount, movement_effect, shared_id
 from shelfwise.operators.cleaning import known_ids
-from shelfwise.operators.keys import number_rows, require_unique
+from shelfwise.operators.keys import duplicated, number_rows, require_unique
 from shelfwise.operators.shelf import OUT_OF_STOCK, RELEASE, RESERVE, SELL, Shelf
 from shelfwise.session import fresh_folder, store
 from shelfwise.sources.linked import union_all
@@ -65,13 +65,28 @@ def per_reference(movements: DataFrame) -> DataFrame:
         .groupBy(*PAIR, F.col("source_reference_id").alias("reference"))
         .agg(
             F.max(F.when(reserved, -change)).alias("held"),
-            F.sum(F.when(touched, movement_effect("reserved"))).alias("balance"),
+            F.sum(F.when(touched, movement_effect("reserved"))).cast("bigint").alias("balance"),
             F.bool_or(online & moved.isin("RESERVATION_RELEASE", "RESERVATION_COLLECTION")).alias("closed"),
             F.max(F.when((F.col("source_system") == "POS") & (moved == "POS_SALE"), -change)).alias("sold"),
         )
     )
 
 
+def _folded(ledger: DataFrame | None, movements: DataFrame) -> DataFrame:
+    """A ledger summary with further movements added to it."""
+    added = per_reference(movements)
+    if ledger is None:
+        return added
+    return (
+        ledger.unionByName(added)
+        .groupBy(*PAIR, "reference")
+        .agg(
+            F.max("held").alias("held"), F.sum("balance").alias("balance"), F.bool_or("closed").alias("closed"),
+            F.max("sold").alias("sold"),
+        )
+    )
+
+
 def reservation_balance(movements: DataFrame) -> DataFrame:
     """Units each reservation reference still holds."""
     known = per_reference(movements).where(F.col("balance").isNotNull())
@@ -224,11 +239,11 @@ def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | Non
     summary = store(summary, f"{folder}/summary")
     longest = slices.groupBy(*PAIR, "reference").agg(F.count(F.lit(1)).alias("n"))
     state = stock.join(longest.groupBy(*PAIR).agg(F.max("n").alias("longest_reference")), PAIR)
-    moved = ["movement_type", "quantity_change", "source_system", "source_reference_id"]
-    written, covered = [], F.lit(True)
+    ledger, covered = None, F.lit(True)
     if movements is not None:
-        written = [movements.join(stock.select(*PAIR), PAIR, "left_semi").select(*PAIR, *moved)]
-        booked = per_reference(written[0]).groupBy(*PAIR).agg(F.sum(F.greatest("balance", F.lit(0))).alias("booked"))
+        earlier = movements.join(stock.select(*PAIR), PAIR, "left_semi")
+        ledger = store(_folded(None, earlier), f"{folder}/ledger-0")
+        booked = ledger.groupBy(*PAIR).agg(F.sum(F.greatest("balance", F.lit(0))).alias("booked"))
         state, covered = state.join(booked, PAIR, "left"), F.col("reserved") >= F.coalesce("booked", F.lit(0))
     # Where the reserved stock covers all open references, releases never fail for lack of it.
     state = state.select(
@@ -244,15 +259,16 @@ def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | Non
     while not state.isEmpty():
         wave = len(done)
         plan = store(_outlook(state, summary), f"{folder}/plan-{wave}")
+        # one row per slice that is due, so a wave reads a pair's own slices only
+        due = plan.withColumn("slice", F.explode(F.sequence("next_slice", "until")))
         first, last = plan.agg(F.min("next_slice"), F.max("until")).first()
-        ready = slices.where(F.col("slice").between(first, last)).join(plan, PAIR)
-        ready = ready.where(F.col("slice").between(F.col("next_slice"), F.col("until")))
+        ready = slices.where(F.col("slice").between(first, last)).join(due, [*PAIR, "slice"])
         lane = F.when(F.col("apart_by") == "reference", F.col("reference")).otherwise(F.col("slice").cast("string"))
-        ledger = store(per_reference(union_all(written)), f"{folder}/ledger-{wave}") if written else None
         rows = _with_priors(ready.withColumn("lane", lane), ledger)
         decisions = store(_decide(rows, [*PAIR, "lane"]), f"{folder}/decided-{wave}")
         done.append(f"{folder}/decided-{wave}")
-        written.append(movements_of(decisions).select(*PAIR, *moved))
+        # the ledger goes on from its last state; decisions of earlier waves are not read again
+        ledger = store(_folded(ledger, movements_of(decisions)), f"{folder}/ledger-{wave + 1}")
         state = state.drop("next_slice").join(
             plan.where(F.col("until") < F.col("final")).select(*PAIR, (F.col("until") + 1).alias("next_slice")), PAIR
         )
@@ -343,7 +359,36 @@ def _new_id(prefix: str, highest: Column) -> Column:
 
 
 def _priced(requests: DataFrame, products: DataFrame) -> DataFrame:
-    return requests.join(products.select("product_id", "unit_price"), "product_id", "left")
+    known = products.select("product_id", "unit_price").where(F.col("product_id").isNotNull())
+    known = store(known, fresh_folder(requests.sparkSession, "prices"))
+    require_unique(known, ["product_id"], "inventory.product")
+    return requests.join(known, "product_id", "left")
+
+
+def _identified(requests: DataFrame) -> DataFrame:
+    """Add ``id_error``: a request without an id of its own cannot be answered, so it is refused."""
+    repeated = duplicated(requests.where(F.col("request_id").isNotNull()), ["request_id"])
+    repeated = store(repeated.select("request_id", F.lit(True).alias("repeated")), fresh_folder(requests.sparkSession, "repeated"))
+    blank = F.col("request_id").isNull() | (F.btrim("request_id") == "")
+    return (
+        requests.join(repeated, "request_id", "left")
+        .withColumn(
+            "id_error",
+            F.when(blank, F.lit("Request id is required")).when(
+                F.col("repeated"), F.lit("Request id is used more than once")
+            ),
+        )
+        .drop("repeated")
+    )
+
+
+def _refused(asked: DataFrame, decided: DataFrame) -> DataFrame:
+    """Requests that were not valid, as asked or when they were decided."""
+    return (
+        asked.where(F.col("error").isNotNull())
+        .select("request_id", "error")
+        .unionByName(decided.where(F.col("error").isNotNull()).select("request_id", "error"))
+    )
 
 
 def _booked(decided: DataFrame, numbered: DataFrame, new_id: str) -> DataFrame:
@@ -364,18 +409,20 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
 
     Input: request_id, request_ts, customer_id, store_id, product_id, quantity. Ids count up from the
     highest in use, in request order, over accepted requests only. Output: the rows to append to each
-    source table, the stock afterwards, and per request its ``answers`` row or why it was ``refused``.
+    source table, the stock afterwards, and for every request either its ``answers`` row or why it was
+    ``refused``. Requests that share an id are all refused, since no answer could be told apart.
     """
     spark = requests.sparkSession
     customers = store(known_ids(linked["ecommerce.customer"], "customer_id"), fresh_folder(spark, "known-customers"))
     customers = customers.select(F.col("known_id").alias("customer_id"), F.lit(True).alias("known"))
-    asked = _priced(requests, linked["inventory.product"]).join(customers, "customer_id", "left")
+    asked = _priced(_identified(requests), linked["inventory.product"]).join(customers, "customer_id", "left")
     error = (
-        F.when(F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero"))
+        F.when(F.col("id_error").isNotNull(), F.col("id_error"))
+        .when(F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero"))
         .when(F.col("known").isNull(), F.concat(F.lit("Unknown customer "), F.coalesce("customer_id", F.lit("<NULL>"))))
         .when(F.col("unit_price").isNull(), F.concat(F.lit("Unknown product "), F.coalesce("product_id", F.lit("<NULL>"))))
     )
-    asked = store(asked.withColumn("error", error).drop("known"), fresh_folder(spark, "orders"))
+    asked = store(asked.withColumn("error", error).drop("known", "id_error"), fresh_folder(spark, "orders"))
     valid = asked.where(F.col("error").isNull()).drop("error")
     holds = valid.withColumns({"kind": F.lit(RESERVE), "reference": F.col("request_id")})
     decided = adjudicate(holds, linked["inventory.inventory"], slice_rows=slice_rows)
@@ -390,7 +437,6 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
         line_amount().alias("line_amount"),
     )
     short = F.format_string("Not enough available stock to reserve %d x %s at %s", "quantity", "product_id", "store_id")
-    refused = asked.where(F.col("error").isNotNull()).select("request_id", "error")
     unserved = valid.join(decided.where(~F.col("success")).select("request_id"), "request_id").select(
         "request_id", short.alias("error")
     )
@@ -425,7 +471,7 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
             F.lit("CONFIRMED").alias("order_status"),
             F.lit("ACTIVE").alias("reservation_status"),
         ),
-        "refused": refused.unionByName(unserved),
+        "refused": _refused(asked, decided).unionByName(unserved),
         "inventory.inventory": stock_after(linked["inventory.inventory"], decided),
         "inventory.inventory_movement": _booked(decided, numbered, "reservation_id"),
     }
@@ -434,25 +480,28 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
 def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows: int = SLICE_ROWS) -> dict[str, DataFrame]:
     """Till sales of one product each. Every valid attempt is stored, blocked ones with total 0.00.
 
-    Input: request_id, request_ts, store_id, product_id, quantity.
+    Input: request_id, request_ts, store_id, product_id, quantity. Every request comes back once, in
+    ``answers`` or ``refused``; those that share an id are all refused.
     """
-    error = F.when(
+    error = F.when(F.col("id_error").isNotNull(), F.col("id_error")).when(
         F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero")
     ).when(F.col("unit_price").isNull(), F.concat(F.lit("Unknown product "), F.coalesce("product_id", F.lit("<NULL>"))))
-    asked = _priced(requests, linked["inventory.product"]).withColumn("error", error)
+    asked = _priced(_identified(requests), linked["inventory.product"]).withColumn("error", error).drop("id_error")
     asked = store(asked, fresh_folder(requests.sparkSession, "sales"))
     valid = asked.where(F.col("error").isNull()).drop("error")
     sales = valid.withColumns({"kind": F.lit(SELL), "reference": F.col("request_id")})
     decided = adjudicate(sales, linked["inventory.inventory"], slice_rows=slice_rows)
     decided = store(decided, fresh_folder(requests.sparkSession, "sale-decisions"))
-    answered = valid.join(decided.select("request_id", "success", "reason"), "request_id")
+    answered = decided.where(F.col("error").isNull()).select("request_id", "success", "reason")
+    answered = valid.join(answered, "request_id")
     numbered = number_rows(answered, ORDER, "n")
     numbered = numbered.select(
         "*",
         _new_id("T", _highest(linked, "pos.pos_transaction", "transaction_id")).alias("transaction_id"),
         _new_id("TI", _highest(linked, "pos.pos_transaction_item", "transaction_item_id")).alias("transaction_item_id"),
         F.when(F.col("success"), "COMPLETED").otherwise("BLOCKED").alias("transaction_status"),
-        F.col("reason").alias("rejection_reason"),
+        # a blocked sale always has a reason
+        F.when(F.col("success"), F.col("reason")).otherwise(F.coalesce("reason", F.lit(OUT_OF_STOCK))).alias("rejection_reason"),
         line_amount().alias("line_amount"),
     )
     return {
@@ -468,7 +517,7 @@ def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
             "transaction_item_id", "transaction_id", "product_id", "quantity", "unit_price", "line_amount"
         ),
         "answers": numbered.select("request_id", "transaction_id", "transaction_status", "rejection_reason"),
-        "refused": asked.where(F.col("error").isNotNull()).select("request_id", "error"),
+        "refused": _refused(asked, decided),
         "inventory.inventory": stock_after(linked["inventory.inventory"], decided),
         "inventory.inventory_movement": _booked(decided, numbered, "transaction_id"),
     }

@@ -6,6 +6,7 @@ Money comes out as double and dates as text, so results compare the same way in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
@@ -15,7 +16,7 @@ from shelfwise.operators import cleaning, dimensions, facts, stock
 from shelfwise.operators.staging import stage_all
 from shelfwise.plans import quality, reports
 from shelfwise.plans.warehouse import SAMPLE_RUN, Warehouse, sample_warehouse
-from shelfwise.session import fresh_folder
+from shelfwise.session import fresh_folder, store
 from shelfwise.sources import linked
 from shelfwise.sources.schemas import STAGED
 from shelfwise.sources.star_tables import STORES
@@ -25,6 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The pair the dashboard questions ask for.
 PRODUCT, STORE = "P006", "S015"
 
+# So small that most pairs are decided in several slices and waves.
+SMALL_SLICE = 3
+
 
 def _plain(df: DataFrame) -> DataFrame:
     casts = {DecimalType: "double", DateType: "string"}
@@ -38,7 +42,6 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def _on_sources(build: Callable[[dict[str, DataFrame]], DataFrame], dirty: bool = True) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _plain(build(sample_warehouse(spark, folder, dirty).linked))
 
     return query
@@ -46,7 +49,6 @@ def _on_sources(build: Callable[[dict[str, DataFrame]], DataFrame], dirty: bool
 
 def _on_warehouse(build: Callable[[Warehouse], DataFrame], dirty: bool = True) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _plain(build(sample_warehouse(spark, folder, dirty)))
 
     return query
@@ -262,31 +264,56 @@ def order_requests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _decided(*makers: Query) -> Query:
+def earlier_ledger(sources: dict[str, DataFrame]) -> DataFrame:
+    """The movements that are booked before the requests come: those of even quantities."""
+    return sources["inventory.inventory_movement"].where("quantity_change % 2 = 0")
+
+
+def _decided(*makers: Query, slice_rows: int = stock.SLICE_ROWS, with_ledger: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        inventory = sample_warehouse(spark, folder, dirty=False).linked["inventory.inventory"]
+        sources = sample_warehouse(spark, folder, dirty=False).linked
         requests = linked.union_all(make(spark, folder) for make in makers)
-        decisions = stock.adjudicate(requests, inventory)
+        movements = earlier_ledger(sources) if with_ledger else None
+        decisions = stock.adjudicate(requests, sources["inventory.inventory"], movements, slice_rows)
         return decisions.select("request_id", "kind", F.col("success").cast("string"), "reason", "error", "applied")
 
     return query
 
 
-def _orders(spark: SparkSession, folder: str) -> DataFrame:
+def _after(result: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Stock or ledger after holds and returns that meet the earlier ledger, decided in small slices."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        sources = sample_warehouse(spark, folder, dirty=False).linked
+        requests = reserve_requests(spark, folder).unionByName(release_requests(spark, folder))
+        decisions = stock.adjudicate(requests, sources["inventory.inventory"], earlier_ledger(sources), SMALL_SLICE)
+        return result(sources["inventory.inventory"], store(decisions, fresh_folder(spark, "decisions")))
+
+    return query
+
+
+def faulty_ids(requests: DataFrame) -> DataFrame:
+    """Of forty requests one has a blank id, one none, and two share theirs."""
+    number = F.substring("request_id", 2, 30).cast("long") % 40
+    shared = shared_id("E", F.substring("request_id", 2, 30).cast("long") - 1)
+    broken = F.when(number == 0, F.lit(" ")).when(number == 3, shared).when(number != 1, F.col("request_id"))
+    return requests.withColumn("request_id", broken)
+
+
+def _orders(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:
     """Answer per request: the new order, or why there is none."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    placed = stock.place_orders(order_requests(spark, folder), _request_sources(spark, folder))
+    requests = order_requests(spark, folder)
+    placed = stock.place_orders(faulty_ids(requests) if faulty else requests, _request_sources(spark, folder))
     orders = placed["ecommerce.online_order"].select("order_id", "order_total")
     items = placed["ecommerce.order_item"].select("order_id", "product_id", F.col("quantity").cast("double"), "line_amount")
     accepted = placed["answers"].join(orders, "order_id").join(items, "order_id").withColumn("error", F.lit(None).cast("string"))
     return _plain(accepted.unionByName(placed["refused"], allowMissingColumns=True))
 
 
-def _sales(spark: SparkSession, folder: str) -> DataFrame:
+def _sales(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:
     """Answer per till attempt with the stored amounts, or why it was not valid."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    sold = stock.attempt_sales(order_requests(spark, folder).drop("customer_id"), _request_sources(spark, folder))
+    requests = order_requests(spark, folder).drop("customer_id")
+    sold = stock.attempt_sales(faulty_ids(requests) if faulty else requests, _request_sources(spark, folder))
     tills = sold["pos.pos_transaction"].select("transaction_id", "store_id", "total_amount")
     items = sold["pos.pos_transaction_item"].select("transaction_id", "product_id", F.col("quantity").cast("double"), "line_amount")
     stored = sold["answers"].join(tills, "transaction_id").join(items, "transaction_id").withColumn("error", F.lit(None).cast("string"))
@@ -398,6 +425,16 @@ QUERIES: dict[str, Query] = {
     "adjudicate_reserve": _decided(reserve_requests),
     "adjudicate_sell": _decided(sale_requests),
     "adjudicate_release": _decided(reserve_requests, release_requests),
+    "adjudicate_sliced": _decided(reserve_requests, release_requests, slice_rows=SMALL_SLICE),
+    "adjudicate_with_ledger": _decided(reserve_requests, release_requests, slice_rows=SMALL_SLICE, with_ledger=True),
+    "stock_after_requests": _after(
+        lambda inventory, decisions: stock.stock_after(inventory, decisions).select(
+            "inventory_id", "on_hand_quantity", "reserved_quantity", "available_to_sell"
+        )
+    ),
+    "ledger_after_requests": _after(lambda inventory, decisions: stock.movements_of(decisions)),
     "adjudicate_orders": _orders,
     "adjudicate_pos": _sales,
+    "adjudicate_orders_faulty": partial(_orders, faulty=True),
+    "adjudicate_pos_faulty": partial(_sales, faulty=True),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise.operators import cleaning, dimensions, facts
 from shelfwise.operators.keys import require_unique
 from shelfwise.operators.staging import stage
-from shelfwise.session import shared_folder, store
+from shelfwise.session import UTC, shared_folder, store
 from shelfwise.sources.linked import union_all
 from shelfwise.sources.schemas import STAGED
 from shelfwise.sources.star_tables import retail_sources
@@ -151,6 +151,7 @@ def _fingerprint(spark: SparkSession, folder: str) -> tuple:
 
 def sample_warehouse(spark: SparkSession, folder: str, dirty: bool = True) -> Warehouse:
     """The warehouse over the star-schema tables, shared by all queries of one application."""
+    spark.conf.set("spark.sql.session.timeZone", UTC)
     key = (spark.sparkContext.applicationId, folder, dirty, _fingerprint(spark, folder))
     if key not in _opened:
         label = f"warehouse-{abs(hash(key)):x}-{len(_opened)}"

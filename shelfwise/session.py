@@ -7,9 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Dates of timestamps do not depend on where a job runs.
+UTC = "UTC"
+
 # Settings the jobs rely on; sizes and parallelism are left to the cluster.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.session.timeZone": UTC,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

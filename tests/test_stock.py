@@ -246,3 +246,68 @@ def test_ledger_views(spark):
     movements = spark.createDataFrame(rows, MOVEMENT)
     assert [tuple(r) for r in stock.ledger_position(movements).collect()] == [("P1", "S1", 4, 1, 3)]
     assert [tuple(r) for r in stock.reservation_balance(movements).collect()] == [("P1", "S1", "R1", 1)]
+
+
+# ---- every request comes back once ----
+
+ODD_REQUESTS = (("q1", 1), ("q1", 2), (" ", 1), (None, 1), ("q4", 1), ("q5", 0), ("q6", 9))
+
+
+def _odd_requests(spark, columns):
+    rows = [(i, START, "C001", "S001", "P001", q) for i, q in ODD_REQUESTS]
+    schema = "request_id string, request_ts timestamp_ntz, customer_id string, store_id string, product_id string, quantity int"
+    return spark.createDataFrame(rows, schema).select(*columns)
+
+
+def _shop(spark):
+    return {
+        "inventory.product": spark.createDataFrame([("P001", 2.5), (None, 1.0), (None, 2.0)], "product_id string, unit_price double")
+        .withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)")),
+        "inventory.inventory": spark.createDataFrame(
+            [("I1", "P001", "S001", 5, 0, 5)],
+            "inventory_id string, product_id string, store_id string, on_hand_quantity int, reserved_quantity int, available_to_sell int",
+        ),
+        "ecommerce.customer": spark.createDataFrame([("C001",)], "customer_id string"),
+        "ecommerce.online_order": spark.createDataFrame([("O007",)], "order_id string"),
+        "ecommerce.order_item": spark.createDataFrame([], "order_item_id string"),
+        "ecommerce.reservation": spark.createDataFrame([], "reservation_id string"),
+        "pos.pos_transaction": spark.createDataFrame([], "transaction_id string"),
+        "pos.pos_transaction_item": spark.createDataFrame([], "transaction_item_id string"),
+    }
+
+
+def test_orders_lose_and_double_nothing(spark):
+    columns = ["request_id", "request_ts", "customer_id", "store_id", "product_id", "quantity"]
+    placed = stock.place_orders(_odd_requests(spark, columns), _shop(spark))
+    answers, refused = placed["answers"].collect(), placed["refused"].collect()
+    ids = [r.request_id for r in answers] + [r.request_id for r in refused]
+    assert sorted(ids, key=str) == sorted((i for i, _ in ODD_REQUESTS), key=str)
+    assert [(r.request_id, r.order_id) for r in answers] == [("q4", "O008")]
+    why = {(r.request_id, r.error) for r in refused}
+    assert why == {
+        ("q1", "Request id is used more than once"), (" ", "Request id is required"), (None, "Request id is required"),
+        ("q5", "Quantity must be greater than zero"), ("q6", "Not enough available stock to reserve 9 x P001 at S001"),
+    }
+    reserved = placed["inventory.inventory"].first().reserved_quantity
+    assert reserved == placed["ecommerce.order_item"].agg(F.sum("quantity")).first()[0] == 1
+    held = placed["ecommerce.reservation"].select("created_at", "expires_at").first()
+    assert (held.expires_at - held.created_at).days == 1
+
+
+def test_sales_lose_and_double_nothing(spark):
+    columns = ["request_id", "request_ts", "store_id", "product_id", "quantity"]
+    sold = stock.attempt_sales(_odd_requests(spark, columns), _shop(spark))
+    answers, refused = sold["answers"].collect(), sold["refused"].collect()
+    ids = [r.request_id for r in answers] + [r.request_id for r in refused]
+    assert sorted(ids, key=str) == sorted((i for i, _ in ODD_REQUESTS), key=str)
+    assert {(r.request_id, r.transaction_status, r.rejection_reason) for r in answers} == {
+        ("q4", "COMPLETED", "NONE"), ("q6", "BLOCKED", "RESERVED_STOCK"),
+    }
+
+
+def test_repeated_products_stop_the_requests(spark):
+    shop = _shop(spark)
+    shop["inventory.product"] = shop["inventory.product"].union(shop["inventory.product"])
+    columns = ["request_id", "request_ts", "store_id", "product_id", "quantity"]
+    with pytest.raises(ValueError, match="must be unique"):
+        stock.attempt_sales(_odd_requests(spark, columns), shop)
