@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.llm.text_ids import chunks, encoder
+from shelfwise.llm.text_ids import encoded
 from shelfwise.session import fresh_folder, store
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids array<int>, part int, slot long"
@@ -32,12 +32,9 @@ def cut(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int, sequen
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, end = TaskContext.get().partitionId(), np.uint32(end_id).tobytes()
+        part = TaskContext.get().partitionId()
         seen = np.zeros(sequence_length + 1, dtype=np.int64)
-        encode = encoder(tokenizer, keeps_blanks).encode
-        for rows, texts in chunks(batches, "text"):
-            encoded = [encode(x) + end for x in texts]
-            tokens = np.array([len(x) // 4 for x in encoded], dtype=np.int64)
+        for rows, ids, tokens in encoded(batches, tokenizer, keeps_blanks, end_id):
             counts = -(-tokens // sequence_length)
             row = np.repeat(np.arange(len(tokens)), counts)
             start = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * sequence_length
@@ -49,7 +46,6 @@ def cut(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int, sequen
             slot = np.empty(len(row), dtype=np.int64)
             slot[order] = seen[ordered] + np.arange(len(row)) - first
             seen += np.bincount(length, minlength=sequence_length + 1)
-            ids = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))
             ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -57,7 +53,7 @@ def cut(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int, sequen
                     pa.array(start),
                     pa.array(length),
                     pa.array(tokens[row]),
-                    pa.ListArray.from_arrays(pa.array(ends), ids),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.view(np.int32))),
                     pa.array(np.full(len(row), part, dtype=np.int32)),
                     pa.array(slot),
                 ],

@@ -1,8 +1,9 @@
 """Token ids of whole texts with a tokenizers file, in Arrow batches.
 
 Both tokenizers used here break a text before a blank, and between a letter and a sign, before they merge. So
-the ids of a text are the ids of its pieces one after another. Pieces repeat often; each worker remembers
-the ids of those it met lately and asks the tokenizers library for the others only.
+the ids of a text are the ids of its pieces between blanks one after another. Arrow cuts a batch of texts into
+pieces and finds the distinct ones; each worker remembers the ids of pieces it met lately and asks the tokenizers
+library for the others only; numpy puts the ids of all texts together.
 """
 
 from __future__ import annotations
@@ -10,16 +11,17 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
-# Text held as ids at a time.
-CHUNK_CHARS = 2_000_000
-# Pieces remembered by a worker: two generations of this many.
-REMEMBERED = 500_000
+# Bytes of text worked on at a time.
+CHUNK_BYTES = 8 << 20
+# Words remembered by a worker: two generations of this many.
+REMEMBERED = 200_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
 # encodes white space gets it at the start of the segment.
-_RUN = r"(?:[^\W\d_]+(?=[.,;:!?#$%&*])|[^ \n]+)"
+_SIGNS = ".,;:!?#$%&*"
+_RUN = rf"(?:[^\W\d_]+(?=[{_SIGNS}])|[^ \n]+)"
 _WITH_BLANKS = re.compile(rf"[ \n]*{_RUN}|[ \n]+").findall
 _WITHOUT_BLANKS = re.compile(_RUN).findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
@@ -49,6 +51,7 @@ class TextEncoder:
         self.keeps_blanks = keeps_blanks
         self.segments = _WITH_BLANKS if keeps_blanks else _WITHOUT_BLANKS
         self.blank = chr(_BYTE_LETTERS[32]) if keeps_blanks else ""
+        self.signs = {sign: self._ask(sign) for sign in _SIGNS}
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -65,7 +68,11 @@ class TextEncoder:
     def _segment(self, segment: str) -> bytes:
         start = 1 if self.keeps_blanks and segment[0] == " " else 0
         if start == self.keeps_blanks and _PLAIN_WORD(segment, start):
-            return self._remembered(segment[start:])
+            word = segment[start:]
+            ids = self.recent.get(word)
+            return self._word(word) if ids is None else ids
+        if (ids := self.signs.get(segment)) is not None:
+            return ids
         # told apart from a word by the character in front
         key = "\0" + segment
         if (ids := self.recent.get(key)) is None:
@@ -74,31 +81,58 @@ class TextEncoder:
             self.recent[key] = ids
         return ids
 
-    def _remembered(self, piece: str) -> bytes:
-        """Ids of a piece with the blank before it."""
-        if (ids := self.recent.get(piece)) is not None:
-            return ids
-        if (ids := self.older.get(piece)) is None:
-            if _PLAIN_WORD(piece):
-                cased = piece if self.keeps_blanks else piece.lower()
-                written = cased if cased.isascii() else cased.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                found = [x.id for x in self.merge(self.blank + written)]
-                ids = struct.pack(f"<{len(found)}I", *found)
-            else:
-                ids = self._cut(" " + piece)
+    def _word(self, word: str) -> bytes:
+        """Ids of a plain word with the blank before it, which is not among the recent ones."""
+        if (ids := self.older.get(word)) is None:
+            cased = word if self.keeps_blanks else word.lower()
+            written = cased if cased.isascii() else cased.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found = [x.id for x in self.merge(self.blank + written)]
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(self.recent) >= REMEMBERED:
             self.older, self.recent = self.recent, {}
-        self.recent[piece] = ids
+        self.recent[word] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        if self.keeps_blanks and _BLANK_RUN(text):
-            return self._ask(text)
-        first, *pieces = text.split(" ")
-        found = list(map(self.recent.get, pieces))
-        if None in found:
-            found = [self._remembered(p) if x is None else x for p, x in zip(pieces, found, strict=True)]
-        return self._cut(first) + b"".join(found)
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece with the blank before it."""
+        if _PLAIN_WORD(piece):
+            return self._word(piece)
+        if piece and (sign := self.signs.get(piece[-1])) is not None and _PLAIN_WORD(piece, 0, len(piece) - 1):
+            word = piece[:-1]
+            ids = self.recent.get(word)
+            return (self._word(word) if ids is None else ids) + sign
+        return self._cut(" " + piece)
+
+    def encode(self, texts):
+        """Ids of an Arrow array of texts one after another, and how many each text has."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        plain = texts.to_pylist()
+        whole = [i for i, x in enumerate(plain) if self.keeps_blanks and _BLANK_RUN(x)]
+        alone = {i: self._ask(plain[i]) for i in whole}
+        if alone:
+            texts = pa.array(["" if i in alone else x for i, x in enumerate(plain)], pa.string())
+        cut = pc.split_pattern(texts, " ")
+        starts = cut.offsets.to_numpy()
+        known = pc.dictionary_encode(cut.flatten())
+        pieces = known.dictionary.to_pylist()
+        ids = [self._piece(x) if y is None else y for x, y in zip(pieces, map(self.recent.get, pieces), strict=True)]
+        # the first piece of a text has no blank before it
+        at = np.array(known.indices, dtype=np.int64)
+        first = starts[:-1] - starts[0]
+        heads = [alone[i] if i in alone else self._cut(pieces[k]) for i, k in enumerate(at[first])]
+        at[first] = len(ids) + np.arange(len(first))
+        ids += heads
+
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        taken = lengths[at]
+        ends = np.cumsum(taken)
+        # where each id of the result stands among those of the distinct pieces
+        source = np.repeat((np.cumsum(lengths) - lengths)[at] - ends + taken, taken)
+        return flat[source + np.arange(len(source))], np.add.reduceat(taken, first)
 
 
 _encoders: dict[tuple[str, bool], TextEncoder] = {}
@@ -111,17 +145,24 @@ def encoder(path: str, keeps_blanks: bool) -> TextEncoder:
     return _encoders[path, keeps_blanks]
 
 
-def chunks(batches: Iterable, text: str) -> Iterator[tuple]:
-    """(rows, texts) of Arrow batches in slices of about CHUNK_CHARS; a null text is empty."""
+def encoded(
+    batches: Iterable, path: str, keeps_blanks: bool, end_id: int
+) -> Iterator[tuple]:
+    """(rows, ids, counts) of Arrow batches whose second column is the text, in slices; a null text is empty.
+
+    ``end_id`` is the last id of every text.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    encode = encoder(path, keeps_blanks).encode
     for batch in batches:
-        at = batch.schema.get_field_index(text)
-        start = size = 0
-        texts: list[str] = []
-        for value in batch.column(at):
-            texts.append(value.as_py() or "")
-            size += len(texts[-1])
-            if size >= CHUNK_CHARS:
-                yield batch.slice(start, len(texts)), texts
-                start, size, texts = start + len(texts), 0, []
-        if texts:
-            yield batch.slice(start, len(texts)), texts
+        texts = pc.fill_null(batch.column(1), "")
+        held = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(texts):
+            before = held[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(held, before + CHUNK_BYTES, side="right")))
+            ids, counts = encode(texts.slice(start, stop - start))
+            yield batch.slice(start, stop - start), np.insert(ids, np.cumsum(counts), end_id), counts + 1
+            start = stop

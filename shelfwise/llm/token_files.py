@@ -18,7 +18,7 @@ from itertools import pairwise
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from shelfwise.llm.text_ids import chunks, encoder
+from shelfwise.llm.text_ids import encoded
 from shelfwise.session import fresh_folder
 
 LAYOUT = {
@@ -32,7 +32,7 @@ LAYOUT = {
 ROWS = "doc_id {id}, part int, start_in_part long, n_tokens long, ids array<int>"
 
 
-def encoded(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int) -> DataFrame:
+def rows_with_ids(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int) -> DataFrame:
     """Ids per document in the order of the rows; ``start_in_part`` counts the ids of the task before it."""
 
     def rows_of(batches: Iterator) -> Iterator:
@@ -40,11 +40,8 @@ def encoded(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int) ->
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, end, before = TaskContext.get().partitionId(), np.uint32(end_id).tobytes(), 0
-        encode = encoder(tokenizer, keeps_blanks).encode
-        for rows, texts in chunks(batches, "text"):
-            found = [encode(x) + end for x in texts]
-            tokens = np.array([len(x) // 4 for x in found], dtype=np.int64)
+        part, before = TaskContext.get().partitionId(), 0
+        for rows, ids, tokens in encoded(batches, tokenizer, keeps_blanks, end_id):
             ends = np.concatenate([[0], np.cumsum(tokens)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -53,7 +50,7 @@ def encoded(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int) ->
                     pa.array(before + ends[:-1]),
                     pa.array(tokens),
                     pa.ListArray.from_arrays(
-                        pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(found), dtype="<i4"))
+                        pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32))
                     ),
                 ],
                 names=["doc_id", "part", "start_in_part", "n_tokens", "ids"],
@@ -69,7 +66,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, keeps_blanks: bool =
     # the text's hash only orders rows of equal doc_id, so that a retried task writes the same file
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    encoded(dealt, tokenizer, keeps_blanks, end_id).write.options(**LAYOUT).orc(folder)
+    rows_with_ids(dealt, tokenizer, keeps_blanks, end_id).write.options(**LAYOUT).orc(folder)
     return folder
 
 

@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import samples
 from tokenizers import Tokenizer
 
 from shelfwise.llm import packing, token_files
-from shelfwise.llm.text_ids import TextEncoder
+from shelfwise.llm.text_ids import TextEncoder, encoded
 
 FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
 SPACES = [
@@ -24,17 +25,39 @@ def test_same_ids_as_whole_texts(name, keeps_blanks):
     path = public_tokenizers.path(name)
     library, ours = Tokenizer.from_file(path), TextEncoder(path, keeps_blanks)
     texts = SPACES + [t or "" for _, t, _ in samples.texts()]
-    for text in texts + texts:  # the second time from memory
-        assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    for batch in (texts, texts[::-1], *[[x] for x in texts]):  # then from memory, then alone
+        check(library, ours, batch)
+
+
+def check(library, ours, texts):
+    ids, counts = ours.encode(pa.array(texts, pa.string()))
+    expected = [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert counts.tolist() == [len(x) for x in expected]
+    assert ids.tolist() == [i for x in expected for i in x]
 
 
 def test_generations_forget(monkeypatch):
     monkeypatch.setattr("shelfwise.llm.text_ids.REMEMBERED", 3)
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, ours = Tokenizer.from_file(path), TextEncoder(path, True)
-    for seed in range(3):
-        text = samples.prose(seed, 50)
-        assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    check(library, ours, [samples.prose(seed, 50) for seed in range(3)])
+
+
+def test_slices_of_batches(monkeypatch):
+    monkeypatch.setattr("shelfwise.llm.text_ids.CHUNK_BYTES", 100)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [None, *SPACES, samples.prose(1, 90), None, "", samples.prose(2, 3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc_id", "text"])
+    library, found, rows = Tokenizer.from_file(path), [], []
+    for part, ids, counts in encoded([batch.slice(2), batch], path, True, 7):
+        rows += part.column(0).to_pylist()
+        at = 0
+        for n in counts:
+            found.append(ids[at : at + n].tolist())
+            at += n
+    order = [*range(2, len(texts)), *range(len(texts))]
+    assert rows == order
+    assert found == [[*library.encode(texts[i] or "", add_special_tokens=False).ids, 7] for i in order]
 
 
 def whole(name, text, end):
