@@ -14,9 +14,9 @@ import struct
 from collections.abc import Iterable, Iterator
 
 # Bytes of text worked on at a time.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Words remembered by a worker: two generations of this many.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
 # encodes white space gets it at the start of the segment.
@@ -28,7 +28,9 @@ _OTHER_SPACE = re.compile(r"[^\S \n]").search
 # A run of white space that the tokenizer would cut elsewhere than before its last blank.
 _BLANK_RUN = re.compile(r"\s (?:\s|\Z)").search
 # One word of Latin letters: nothing to normalise or split, so the merges alone are asked for.
-_PLAIN_WORD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+_LETTERS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_PLAIN_WORD = re.compile(_LETTERS).fullmatch
+_WORD_AND_SIGNS = re.compile(rf"({_LETTERS})([{_SIGNS}]+)").fullmatch
 # Byte-level vocabularies write a byte without a printable Latin-1 character as one from 256 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = [b for b in range(256) if b not in _PRINTABLE]
@@ -97,10 +99,11 @@ class TextEncoder:
         """Ids of a piece with the blank before it."""
         if _PLAIN_WORD(piece):
             return self._word(piece)
-        if piece and (sign := self.signs.get(piece[-1])) is not None and _PLAIN_WORD(piece, 0, len(piece) - 1):
-            word = piece[:-1]
+        if found := _WORD_AND_SIGNS(piece):
+            word, tail = found.groups()
             ids = self.recent.get(word)
-            return (self._word(word) if ids is None else ids) + sign
+            signs = self.signs.get(tail)
+            return (self._word(word) if ids is None else ids) + (self._segment(tail) if signs is None else signs)
         return self._cut(" " + piece)
 
     def encode(self, texts):
@@ -131,8 +134,9 @@ class TextEncoder:
         taken = lengths[at]
         ends = np.cumsum(taken)
         # where each id of the result stands among those of the distinct pieces
-        source = np.repeat((np.cumsum(lengths) - lengths)[at] - ends + taken, taken)
-        return flat[source + np.arange(len(source))], np.add.reduceat(taken, first)
+        source = np.repeat(((np.cumsum(lengths) - lengths)[at] - ends + taken).astype(np.int32), taken)
+        source += np.arange(len(source), dtype=np.int32)
+        return flat[source], np.add.reduceat(taken, first)
 
 
 _encoders: dict[tuple[str, bool], TextEncoder] = {}
