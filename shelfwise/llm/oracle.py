@@ -23,7 +23,132 @@ _CANONICAL = """replace(replace(replace(replace(replace(replace(replace(replace(
     'copyright owner', 'copyright holder')"""
 
 
+# a line is known by itself without outer blanks; lines without letters or digits are left alone
+_LINE_DEDUP = r"""
+WITH cut AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (
+    SELECT doc_id, source, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM cut
+),
+named AS (
+    SELECT *, CASE WHEN regexp_matches(trim(line), '[\p{L}\p{N}]') THEN trim(line) END AS key FROM lines
+),
+spread AS (
+    SELECT key, min((doc_id, pos)) AS first FROM named WHERE key IS NOT NULL
+    GROUP BY key HAVING count(DISTINCT coalesce('s' || source, '')) >= 10
+),
+kept AS (
+    SELECT doc_id, pos, line, first IS NULL OR first = (doc_id, pos) AS stays FROM named LEFT JOIN spread USING (key)
+),
+joined AS (
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '') AS text,
+           CAST(count(*) AS INT) AS n_lines, CAST(count_if(NOT stays) AS INT) AS n_removed FROM kept GROUP BY doc_id
+)
+SELECT doc_id, joined.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents LEFT JOIN joined USING (doc_id)"""
+
+_EMBEDDINGS = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.98
+),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)"""
+
+
+def _closing(rounds: int) -> str:
+    """The documents that close the gap, one per round: nearest to what is left, then of least rank."""
+    parts = ["left0 AS (SELECT source, wanted - reached AS gap FROM cuts)"]
+    chosen = ["SELECT source, rank, size FROM ranked WHERE FALSE"]
+    for k in range(rounds):
+        parts.append(
+            f"best{k} AS (SELECT r.source, min((abs(size - gap), rank, size)) AS b FROM ranked r JOIN left{k} l "
+            f"ON l.source IS NOT DISTINCT FROM r.source JOIN cuts c ON c.source IS NOT DISTINCT FROM r.source "
+            f"WHERE rank > cut AND abs(size - gap) < gap AND NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(chosen)}) x "
+            f"WHERE x.source IS NOT DISTINCT FROM r.source AND x.rank = r.rank) GROUP BY r.source)"
+        )
+        parts.append(f"closed{k} AS (SELECT source, b[2] AS rank, b[3] AS size FROM best{k})")
+        parts.append(
+            f"left{k + 1} AS (SELECT l.source, gap - coalesce(size, 0) AS gap FROM left{k} l LEFT JOIN closed{k} c "
+            f"ON c.source IS NOT DISTINCT FROM l.source)"
+        )
+        chosen.append(f"SELECT source, rank, size FROM closed{k}")
+    return ",\n".join(parts) + f",\nclosing AS ({' UNION ALL '.join(chosen)})"
+
+
+_MIX = rf"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           (CAST('0x' || substr(md5(concat_ws('|', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), text)), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+           / 4503599627370496::DOUBLE AS u
+    FROM documents
+),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS weight FROM docs GROUP BY source
+),
+-- fixed at the limit are the first k by limit over weight, for the least k at which no other is above
+sorted AS (
+    SELECT *, 3.0::DOUBLE * source_size AS most, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source) AS k FROM sources
+),
+levels AS (
+    SELECT k, most, weight,
+           ((SELECT sum(source_size) FROM sources)::DOUBLE - coalesce(sum(most) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM sorted
+),
+water AS (SELECT level FROM levels WHERE weight * level < most ORDER BY k LIMIT 1),
+plan AS (
+    SELECT source, source_size, CASE WHEN weight * coalesce((SELECT level FROM water), 1e308) >= most THEN most
+                                     ELSE weight * (SELECT level FROM water) END AS target FROM sorted
+),
+parts AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS copies,
+           CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS p FROM plan
+),
+ranked AS (
+    SELECT d.source, size, target - copies * source_size AS wanted, u / (1 - u) / (p / (1 - p)) AS rank
+    FROM docs d JOIN parts s ON d.source IS NOT DISTINCT FROM s.source WHERE size > 0 AND p > 0
+),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank) AS reached FROM ranked),
+cuts AS (
+    SELECT source, first(wanted) AS wanted, coalesce(max(rank) FILTER (reached <= wanted), -1) AS cut,
+           coalesce(max(reached) FILTER (reached <= wanted), 0) AS reached FROM summed GROUP BY source
+),
+{_closing(3)},
+marked AS (
+    SELECT doc_id, d.source, size, source_size, target, copies, p, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS rank
+    FROM docs d JOIN parts s ON d.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, m.size, source_size, target,
+       CAST(m.size * (copies + CASE WHEN m.size > 0 AND (m.rank <= cut OR x.rank IS NOT NULL) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM marked m LEFT JOIN cuts c ON c.source IS NOT DISTINCT FROM m.source
+LEFT JOIN closing x ON x.source IS NOT DISTINCT FROM m.source AND x.rank = m.rank"""
+
+# marks around a turn hold 12 + 1 + 11 characters
+_CHAT = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), chr(10), '&#10;'))
+            + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": _LINE_DEDUP,
+    "op4_embedding_dedup": _EMBEDDINGS,
+    "op5_mixing": _MIX,
+    "op6_chat": _CHAT,
     "op3_licenses": f"""
 WITH raw(license_id, x) AS (VALUES {_LICENSE_ROWS}),
 known AS (

@@ -14,9 +14,10 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.llm.text_ids import encoded
+from shelfwise.llm.text_ids import encoded, forget_words
 from shelfwise.session import fresh_folder, store
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids array<int>, part int, slot long"
@@ -29,7 +30,6 @@ def cut(docs: DataFrame, tokenizer: str, keeps_blanks: bool, end_id: int, sequen
 
     def pieces(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -116,16 +116,18 @@ def places(patterns: list[tuple[int, list[int]]]) -> dict[str, list[int]]:
 def _placed(table: dict[str, list[int]], length: Column, rank: Column) -> Column:
     """The sequence and offset of the piece with this rank among pieces of its length."""
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length, rank):
+    @F.arrow_udf("struct<sequence_id: bigint, offset: bigint>")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
         import numpy as np
-        import pandas as pd
 
+        forget_words()  # workers are used again, and no text follows
         lengths, ranks, sequences, offsets = (np.array(table[k]) for k in ("length", "rank", "sequence", "offset"))
+        asked, at_rank = length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
         # ranks of one length are gapless, so lengths can follow each other on one line
         most = np.int64(1) << 48
-        at = np.searchsorted(lengths * most + ranks, length.to_numpy() * most + rank.to_numpy(), side="right") - 1
-        return pd.DataFrame({"sequence_id": sequences[at] + rank.to_numpy() - ranks[at], "offset": offsets[at]})
+        at = np.searchsorted(lengths * most + ranks, asked * most + at_rank, side="right") - 1
+        found = [pa.array(sequences[at] + at_rank - ranks[at]), pa.array(offsets[at])]
+        return pa.StructArray.from_arrays(found, ["sequence_id", "offset"])
 
     return place(length, rank)
 

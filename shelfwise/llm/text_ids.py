@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 # Bytes of text worked on at a time.
 CHUNK_BYTES = 4 << 20
 # Words remembered by a worker: two generations of this many.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
 # encodes white space gets it at the start of the segment.
@@ -149,9 +149,12 @@ def encoder(path: str, keeps_blanks: bool) -> TextEncoder:
     return _encoders[path, keeps_blanks]
 
 
-def encoded(
-    batches: Iterable, path: str, keeps_blanks: bool, end_id: int
-) -> Iterator[tuple]:
+def forget_words() -> None:
+    """Give the memory of the worker's encoders back."""
+    _encoders.clear()
+
+
+def encoded(batches: Iterable, path: str, keeps_blanks: bool, end_id: int) -> Iterator[tuple]:
     """(rows, ids, counts) of Arrow batches whose second column is the text, in slices; a null text is empty.
 
     ``end_id`` is the last id of every text.

@@ -18,7 +18,7 @@ from itertools import pairwise
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from shelfwise.llm.text_ids import encoded
+from shelfwise.llm.text_ids import encoded, forget_words
 from shelfwise.session import fresh_folder
 
 LAYOUT = {
@@ -93,6 +93,7 @@ def ids_crc32(ids: Column) -> Column:
 
     @F.arrow_udf("long")
     def crc(ids: pa.Array) -> pa.Array:
+        forget_words()  # workers are used again, and no text follows
         values, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
         return pa.array([zlib.crc32(values[lo:hi]) for lo, hi in pairwise(ends)], type=pa.int64())
 
