@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 # Bytes of text worked on at a time.
 CHUNK_BYTES = 8 << 20
 # Words remembered by a worker: two generations of this many.
-REMEMBERED = 700_000
+REMEMBERED = 480_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
 # encodes white space gets it at the start of the segment.
