@@ -61,6 +61,7 @@ def chosen_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     ``height`` is the distance from the leaf.
     """
     spark = messages.sparkSession
+    messages = messages.select("tree_id", "message_id", "parent_id", "score")
     known = messages.select(F.col("message_id").alias("parent_id"), F.lit(True).alias("there"))
     links = messages.join(known, "parent_id", "left").select(
         "tree_id", "message_id", F.when(F.col("there"), F.col("parent_id")).alias("up"),
@@ -96,9 +97,14 @@ def chosen_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
 
 def formatted(messages: DataFrame, paths: int = 1) -> DataFrame:
     """tree_id, leaf_id and ``formatted`` text of every chosen path."""
-    rows = messages.join(chosen_paths(messages, paths), "message_id")
+    own = messages.select("tree_id", "message_id", "role", "text")
+    rows = own.join(chosen_paths(messages, paths), "message_id")
     turn = F.concat(
-        F.lit(OPEN), escaped(F.col("role"), ROLE_ESCAPES), F.lit("\n"), escaped(F.col("text")), F.lit(CLOSE)
+        F.lit(OPEN),
+        escaped(F.coalesce("role", F.lit("")), ROLE_ESCAPES),
+        F.lit("\n"),
+        escaped(F.coalesce("text", F.lit(""))),
+        F.lit(CLOSE),
     )
     placed = F.struct((-F.col("height")).alias("place"), turn.alias("turn"))
     gathered = rows.groupBy("tree_id", "leaf_id").agg(F.array_sort(F.collect_list(placed)).alias("turns"))
