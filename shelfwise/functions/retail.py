@@ -55,6 +55,7 @@ def date_key(day: Column | str) -> Column:
 
 
 def stock_condition(on_hand: Column | str = "on_hand_quantity", available: Column | str = "available_to_sell") -> Column:
+    # fixed values
     return F.when(
         (_col(on_hand) > 0) & (_col(available) == 0), F.lit("PHYSICAL STOCK PRESENT BUT FULLY RESERVED")
     ).otherwise(F.lit("NO CONFLICT"))

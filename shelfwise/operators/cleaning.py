@@ -5,6 +5,8 @@ NULL. It is written once, so the kept rows and the reject log always describe th
 
 The lookup that shows whether an id is known also brings what a fact needs from it (surrogate keys,
 header fields), so large tables meet each lookup once and facts need no further join.
+
+The reasons of rejected rows are fixed values.
 """
 
 from __future__ import annotations
@@ -48,18 +50,16 @@ def _negative(*columns: str) -> Column:
 
 
 def tag_customers(staged: DataFrame) -> DataFrame:
-    """One row per distinct customer record; ``copies`` counts the rows it stands for.
+    """One row per distinct id, name and email; ``copies`` counts the rows it stands for.
 
-    Copies collapse in the map-side aggregate, so a record with very many copies is never gathered.
+    Further columns do not make a record another one. Copies collapse in the map-side aggregate, so a
+    record with very many copies is never gathered.
     """
-    business = [c for c in staged.columns if c not in ("source_system", "extracted_at")]
+    record = ["customer_id", "customer_name", "email"]
+    further = [F.first(c).alias(c) for c in staged.columns if c not in record]
     return (
-        staged.groupBy(*business)
-        .agg(
-            F.first("source_system").alias("source_system"),
-            F.first("extracted_at").alias("extracted_at"),
-            F.count(F.lit(1)).alias("copies"),
-        )
+        staged.groupBy(*record)
+        .agg(*further, F.count(F.lit(1)).alias("copies"))
         .withColumn(REASON, _first_reason((F.col("customer_id").isNull(), "Null customer_id")))
     )
 

@@ -6,12 +6,20 @@ projection: no join and no shuffle. A row without a date has no calendar day and
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.retail import available_to_sell, date_key
 from shelfwise.operators.cleaning import REASON
+from shelfwise.session import store
+
+SNAPSHOT = (
+    "inventory_fact_key bigint, product_key bigint, store_key bigint, date_key int, on_hand_quantity int, "
+    "reserved_quantity int, available_to_sell int"
+)
 
 
 def _keyed(df: DataFrame, key: str, *columns: str) -> DataFrame:
@@ -58,14 +66,29 @@ def fact_inventory_snapshot(inventory: DataFrame, run_date: date) -> DataFrame:
     )
 
 
-def replace_snapshot(path: str, day: DataFrame) -> None:
-    """Write one run date of the snapshot; a re-run replaces that date and leaves the others."""
-    (
-        day.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_key")
-        .parquet(path)
-    )
+@dataclass(frozen=True)
+class SnapshotDay:
+    """Where the rows of one date are, and how many."""
+
+    folder: str
+    rows: int
+
+
+def write_snapshot_day(day: DataFrame, folder: str) -> SnapshotDay:
+    """Each write of a date has a folder of its own; what readers take for the date is the caller's choice."""
+    return SnapshotDay(folder, store(day, folder, "overwrite").count())
+
+
+def snapshot_history(spark: SparkSession, days: Mapping[int, SnapshotDay]) -> DataFrame:
+    """The snapshot over all dates; a date that was replaced by nothing has no rows."""
+    folders = [day.folder for _, day in sorted(days.items()) if day.rows]
+    return spark.read.schema(SNAPSHOT).parquet(*folders) if folders else spark.createDataFrame([], SNAPSHOT)
+
+
+def latest_day(spark: SparkSession, days: Mapping[int, SnapshotDay]) -> DataFrame:
+    """Rows of the newest date that has any; no other date is read."""
+    newest = max((key for key, day in days.items() if day.rows), default=None)
+    return snapshot_history(spark, {} if newest is None else {newest: days[newest]})
 
 
 # fact -> (builder, staged table it is built from)

@@ -346,7 +346,7 @@ def movements_of(decisions: DataFrame) -> DataFrame:
     )
 
 
-# ---- orders and sales ----
+# ---- orders and sales: their messages, states and reasons are fixed values, but for those about request ids ----
 
 
 def _highest(tables: dict[str, DataFrame], table: str, column: str) -> Column:

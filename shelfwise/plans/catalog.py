@@ -15,7 +15,7 @@ from shelfwise.functions.retail import available_to_sell, pos_reason, pos_status
 from shelfwise.operators import cleaning, dimensions, facts, stock
 from shelfwise.operators.staging import stage_all
 from shelfwise.plans import quality, reports
-from shelfwise.plans.warehouse import SAMPLE_RUN, Warehouse, sample_warehouse
+from shelfwise.plans.warehouse import SAMPLE_RUN, Warehouse, latest_log, sample_warehouse
 from shelfwise.session import fresh_folder, store
 from shelfwise.sources import linked
 from shelfwise.sources.schemas import STAGED
@@ -165,15 +165,16 @@ def _new_dates(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(dimensions.new_dates(earlier, dimensions.date_range(dw, SAMPLE_RUN.run_date)))
 
 
-def _snapshot_replace(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshot history after today's rows were written a second time."""
+def _snapshot_replace(spark: SparkSession, folder: str, empty: bool = False) -> DataFrame:
+    """Snapshot history after today's rows were written a second time, or were replaced by none."""
     today = sample_warehouse(spark, folder).snapshot_day()
-    path = fresh_folder(spark, "snapshot")
     yesterday = today.withColumns({"date_key": F.lit(20240131), "on_hand_quantity": F.col("on_hand_quantity") + 1})
-    facts.replace_snapshot(path, yesterday.withColumn("available_to_sell", available_to_sell()))
-    facts.replace_snapshot(path, today.withColumns({"reserved_quantity": F.lit(0), "available_to_sell": F.col("on_hand_quantity")}))
-    facts.replace_snapshot(path, today)
-    return spark.read.parquet(path).drop("inventory_fact_key")
+    wrong = {"reserved_quantity": F.lit(0), "available_to_sell": F.col("on_hand_quantity")}
+    write = lambda day: facts.write_snapshot_day(day, fresh_folder(spark, "snapshot"))
+    days = {20240131: write(yesterday.withColumn("available_to_sell", available_to_sell()))}
+    days[20240201] = write(today.withColumns(wrong))
+    days[20240201] = write(today.limit(0) if empty else today)
+    return facts.snapshot_history(spark, days).drop("inventory_fact_key")
 
 
 # ---- stock requests ----
@@ -344,8 +345,9 @@ def _next_ids(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def _rules(dw: Warehouse) -> DataFrame:
-    fact_tables = ("dim_date", "dim_product", "dim_store", "dim_customer", *quality.FACT_ID)
-    return quality.violations({**dw.linked, **{name: dw[name] for name in fact_tables}})
+    return quality.violations(
+        {**{name: dw.source(name) for name in dw.linked}, **{name: dw[name] for name in quality.RECORD_ID}}
+    )
 
 
 def _fact(name: str) -> Query:
@@ -353,7 +355,13 @@ def _fact(name: str) -> Query:
 
 
 def _run_log(dw: Warehouse) -> DataFrame:
-    return dw.run_log().orderBy(F.col("step_no").desc()).limit(8).select("step", "rows_affected")
+    """The last entries of a kept log: here of two runs, of which the later one answers."""
+    path = fresh_folder(dw.spark, "run-log")
+    steps = store(dw.run_log(), fresh_folder(dw.spark, "run-steps"))
+    for version, rows in ((1, F.lit(0).cast("bigint")), (2, F.col("rows_affected"))):
+        logged = steps.withColumns({"run_id": F.lit(version) * 100 + F.col("step_no"), "rows_affected": rows})
+        logged.coalesce(1).write.mode("append").parquet(path)
+    return latest_log(dw.spark.read.parquet(path)).select("step", "rows_affected")
 
 
 QUERIES: dict[str, Query] = {
@@ -390,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "fact_reservation": _fact("fact_reservation"),
     "fact_inventory_snapshot": _on_warehouse(lambda dw: dw["fact_inventory_snapshot"].drop("inventory_fact_key")),
     "snapshot_replace": _snapshot_replace,
+    "snapshot_replace_empty": partial(_snapshot_replace, empty=True),
     "run_log_latest": _on_warehouse(_run_log),
     "report_inventory": _on_warehouse(reports.inventory_availability),
     "report_conflicts": _on_warehouse(reports.pos_conflicts),

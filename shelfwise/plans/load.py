@@ -1,8 +1,9 @@
 """The load job: check, stage, clean, load, validate, publish.
 
-Every run writes its own version folder. Readers find the newest complete one through the
-``published`` log, so a run that fails leaves the previous version in place. The inventory snapshot
-keeps its history in one table, partitioned by date.
+A run writes everything, the snapshot of its date and its log included, to a version folder of its own. The
+last step adds one entry to ``published``; until then readers see the version before, whatever fails. Readers
+take each date of the snapshot from the newest version that wrote it. What only the run itself needs goes to
+the scratch folder of the application.
 """
 
 from __future__ import annotations
@@ -14,75 +15,116 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from shelfwise.operators import facts
 from shelfwise.operators.dimensions import DIMENSION_SOURCE
 from shelfwise.operators.facts import FACTS
 from shelfwise.plans import quality
 from shelfwise.plans.warehouse import Run, Warehouse
-from shelfwise.session import build_session, store
+from shelfwise.session import UTC, build_session, fresh_folder, store
 from shelfwise.sources.linked import bad_status, contract_check, link_folder
 
-PUBLISHED = "version bigint, folder string, run_date date, started_at timestamp"
+PUBLISHED = (
+    "version bigint, folder string, run_date date, started_at timestamp, date_key int, snapshot_rows bigint"
+)
 DIMENSIONS = ("dim_date", *DIMENSION_SOURCE)
 
 
 class LoadError(RuntimeError):
-    """The loaded tables break a declared constraint; nothing was published."""
+    """The sources or the loaded tables are not as declared; nothing was published."""
 
 
 @dataclass(frozen=True)
 class Published:
-    """Tables of one published version."""
+    """Tables of one published version; the snapshot and the run log reach back to the versions before."""
 
     spark: SparkSession
-    out: str
-    version: int
-    folder: str
+    entries: tuple[Row, ...]
+
+    @property
+    def version(self) -> int:
+        return self.entries[-1]["version"]
+
+    @property
+    def folder(self) -> str:
+        return self.entries[-1]["folder"]
+
+    def snapshot_days(self) -> dict[int, facts.SnapshotDay]:
+        return {
+            e["date_key"]: facts.SnapshotDay(f"{e['folder']}/fact_inventory_snapshot", e["snapshot_rows"])
+            for e in self.entries
+        }
 
     def __getitem__(self, name: str) -> DataFrame:
-        shared = name in ("fact_inventory_snapshot", "etl_run_log")
-        return self.spark.read.parquet(f"{self.out if shared else self.folder}/{name}")
+        if name == "fact_inventory_snapshot":
+            return facts.snapshot_history(self.spark, self.snapshot_days())
+        if name == "latest_snapshot":
+            return facts.latest_day(self.spark, self.snapshot_days())
+        if name == "etl_run_log":
+            return self.spark.read.parquet(*[f"{e['folder']}/{name}" for e in self.entries])
+        return self.spark.read.parquet(f"{self.folder}/{name}")
 
 
 def current(spark: SparkSession, out: str) -> Published | None:
     """The newest published version, if there is one."""
     try:
-        log = spark.read.schema(PUBLISHED).json(f"{out}/published")
+        log = spark.read.schema(PUBLISHED).option("recursiveFileLookup", "true").json(f"{out}/published")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    newest = log.orderBy(F.col("version").desc()).first()
-    return newest and Published(spark, out, newest["version"], newest["folder"])
+    # one entry per load
+    entries = tuple(log.orderBy("version").collect())
+    return Published(spark, entries) if entries else None
 
 
 def run(spark: SparkSession, linked: Mapping[str, DataFrame], out: str, run: Run) -> Published:
     """One load. Raises ``LoadError`` before anything is published if a constraint is broken."""
+    spark.conf.set("spark.sql.session.timeZone", UTC)
     last = current(spark, out)
     version = last.version + 1 if last else 1
     folder = f"{out}/versions/{version:06d}-{uuid.uuid4().hex[:8]}"
     previous = {name: last[name] for name in DIMENSIONS} if last else {}
-    dw = Warehouse(spark, dict(linked), run, folder, previous, f"{out}/fact_inventory_snapshot")
+    history = last.snapshot_days() if last else {}
+    dw = Warehouse(spark, dict(linked), run, folder, previous, history, fresh_folder(spark, "load"))
 
     store(bad_status(dw.linked), f"{folder}/bad_status")
     log = dw.reject_log().withColumn("rejected_at", F.lit(run.started_at).cast("timestamp"))
     store(log.withColumn("reject_id", F.monotonically_increasing_id() + 1), f"{folder}/etl_reject_log")
 
-    # Fact keys come from inner joins with the dimensions, so only values and uniqueness can break.
-    loaded = {**{name: dw[name] for name in FACTS}, "fact_inventory_snapshot": dw.snapshot_day()}
-    broken = quality.violations(loaded).limit(5).collect()
+    loaded = {name: dw[name] for name in (*DIMENSIONS, *FACTS)}
+    broken = quality.violations({**loaded, "fact_inventory_snapshot": dw.snapshot_day()}).limit(5).collect()
     if broken:
         raise LoadError(f"not published, broken constraints: {broken}")
 
-    dw["fact_inventory_snapshot"]
     checks = store(quality.qa_checks(dw, dw.linked), f"{folder}/qa_checks")
     store(quality.qa_scoreboard(checks), f"{folder}/qa_scoreboard")
     steps = dw.run_log().withColumn("run_id", F.lit(version) * 100 + F.col("step_no"))
-    steps.coalesce(1).write.mode("append").parquet(f"{out}/etl_run_log")
-    entry = spark.createDataFrame([(version, folder, run.run_date, run.started_at)], PUBLISHED)
-    entry.coalesce(1).write.mode("append").json(f"{out}/published")
-    return Published(spark, out, version, folder)
+    store(steps.coalesce(1), f"{folder}/etl_run_log")
+    rows = dw.snapshot_days()[dw.date_key].rows
+    entry = spark.createDataFrame([(version, folder, run.run_date, run.started_at, dw.date_key, rows)], PUBLISHED)
+    try:
+        entry.coalesce(1).write.mode("error").json(f"{out}/published/{version:06d}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_ALREADY_EXISTS":
+            raise LoadError(f"not published, another load published version {version} meanwhile") from error
+        raise
+    return current(spark, out)
+
+
+def checked_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The linked tables; raises ``LoadError`` with what is missing, and where it was found instead."""
+    linked = link_folder(spark, folder)
+    problems = contract_check(spark, linked).collect()
+    if problems:
+        lines = "\n".join(
+            f"{p.problem}: {p.expected_table}.{p.expected_column}"
+            + (f" (table found in {p.found_this_table_in_schema})" if p.found_this_table_in_schema else "")
+            for p in problems
+        )
+        raise LoadError(f"the sources under {folder} are not as agreed:\n{lines}")
+    return linked
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -93,8 +135,7 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
 
     spark = build_session()
-    linked = link_folder(spark, options.sources)
-    contract_check(spark, linked).show(100, truncate=False)
+    linked = checked_sources(spark, options.sources)
     bad_status(linked).show(100, truncate=False)
     started = datetime.now()
     published = run(spark, linked, options.out, Run(options.run_date or started.date(), started))

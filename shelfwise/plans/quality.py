@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.retail import is_last_unit_conflict, standard_word
 from shelfwise.operators.dimensions import DIMENSION_SOURCE
 from shelfwise.plans.reports import PAIR, latest_snapshot
+from shelfwise.session import fresh_folder, store
 from shelfwise.sources.linked import union_all
 from shelfwise.sources.schemas import ORDER_STATUSES, POS_REASONS, POS_STATUSES, RESERVATION_STATUSES, SOURCES
 
@@ -169,8 +170,9 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
         .select("product_id", "store_id", "available_to_sell")
     )
     differs = F.count_if(F.col("available_to_sell") != F.col("source_ats"))
-    compared = source.join(loaded, ["product_id", "store_id"], "left")
-    parts.append(_measure(compared, "source", on_hand=F.sum("on_hand_quantity"), other_ats=differs))
+    # summed before the join, so no repeated row can count twice
+    parts.append(_measure(source, "source", on_hand=F.sum("on_hand_quantity")))
+    parts.append(_measure(source.join(loaded, ["product_id", "store_id"]), "source", other_ats=differs))
     return union_all(parts)
 
 
@@ -260,7 +262,16 @@ def duplicate_natural_keys(tables: Tables) -> DataFrame:
 
 # ---- declared constraints ----
 
+# Keys, references, empty columns, value rules and text lengths as declared.
 UNIQUE = (
+    ("dim_date", ("date_key",)),
+    ("dim_date", ("full_date",)),
+    ("dim_product", ("product_key",)),
+    ("dim_product", ("product_id",)),
+    ("dim_store", ("store_key",)),
+    ("dim_store", ("store_id",)),
+    ("dim_customer", ("customer_key",)),
+    ("dim_customer", ("customer_id",)),
     ("inventory.product", ("product_id",)),
     ("inventory.product", ("sku",)),
     ("inventory.store", ("store_id",)),
@@ -301,8 +312,10 @@ REFERENCES = (
     ),
 )
 
-# Columns that may stay empty; every other source and fact column must have a value.
+# Columns that may stay empty; every other column must have a value.
 NULLABLE = {
+    "dim_product": {"category"},
+    "dim_store": {"location"},
     "inventory.inventory_movement": {"source_reference_id"},
     "ecommerce.reservation": {"expires_at", "released_at"},
     "pos.pos_transaction": {"rejection_reason"},
@@ -315,7 +328,7 @@ _words = lambda column, words: f"{column} IN ({', '.join(repr(w) for w in words)
 ROW_RULES = {
     "inventory.product": ("unit_price >= 0",),
     "inventory.inventory": ("on_hand_quantity >= 0", "reserved_quantity >= 0", "reserved_quantity <= on_hand_quantity", _ats),
-    "ecommerce.online_order": (_words("order_status", sorted(ORDER_STATUSES)), "order_total >= 0", "updated_at >= created_at"),
+    "ecommerce.online_order": (_words("order_status", ORDER_STATUSES), "order_total >= 0", "updated_at >= created_at"),
     "ecommerce.order_item": ("quantity > 0", "unit_price >= 0", "line_amount >= 0", "line_amount = quantity * unit_price"),
     "ecommerce.reservation": (
         "quantity > 0",
@@ -324,7 +337,7 @@ ROW_RULES = {
         "released_at >= created_at",
     ),
     "pos.pos_transaction": (
-        _words("transaction_status", sorted(POS_STATUSES)),
+        _words("transaction_status", POS_STATUSES),
         _words("rejection_reason", POS_REASONS),
         "total_amount >= 0",
         "transaction_status <> 'BLOCKED' OR rejection_reason IS NOT NULL",
@@ -333,8 +346,17 @@ ROW_RULES = {
     "fact_inventory_snapshot": (_ats,),
 }
 
-# Longest text each source column may hold.
+# Longest text each column may hold.
 MAX_LENGTH = {
+    "dim_date": {"month": 10, "quarter": 2, "day_of_week": 10},
+    "dim_product": {"product_id": 20, "sku": 50, "product_name": 150, "category": 50},
+    "dim_store": {"store_id": 20, "store_name": 100, "location": 150},
+    "dim_customer": {"customer_id": 20, "customer_name": 100},
+    "fact_pos_activity": {
+        "transaction_id": 20, "transaction_item_id": 20, "transaction_status": 20, "rejection_reason": 255,
+    },
+    "fact_online_order": {"order_id": 20, "order_item_id": 20, "order_status": 30},
+    "fact_reservation": {"reservation_id": 20, "order_id": 20, "reservation_status": 30},
     "inventory.product": {"product_id": 20, "sku": 50, "product_name": 150, "category": 50},
     "inventory.store": {"store_id": 20, "store_name": 100, "location": 150},
     "inventory.inventory": {"inventory_id": 20, "product_id": 20, "store_id": 20},
@@ -352,7 +374,12 @@ MAX_LENGTH = {
     "pos.pos_transaction_item": {"transaction_item_id": 20, "transaction_id": 20, "product_id": 20},
 }
 
-FACT_ID = {
+# What names a row of a loaded table; a source row is named by its first column.
+RECORD_ID = {
+    "dim_date": ("date_key",),
+    "dim_product": ("product_key",),
+    "dim_store": ("store_key",),
+    "dim_customer": ("customer_key",),
     "fact_pos_activity": ("transaction_item_id",),
     "fact_online_order": ("order_item_id",),
     "fact_reservation": ("reservation_id",),
@@ -375,7 +402,7 @@ def value_rules(name: str) -> list[str]:
 
 def row_violations(name: str, df: DataFrame) -> DataFrame:
     """Rows that break a value rule of their table, one output row per broken rule, in one scan."""
-    record = FACT_ID.get(name) or (SOURCES[name].fieldNames()[0],)
+    record = RECORD_ID.get(name) or (SOURCES[name].fieldNames()[0],)
     broken = [F.when(F.col(c).isNull(), F.lit(f"{c} IS NOT NULL")) for c in _required(name, df)]
     broken += [F.when(~F.expr(rule), F.lit(rule)) for rule in value_rules(name)]
     return df.select(
@@ -385,37 +412,49 @@ def row_violations(name: str, df: DataFrame) -> DataFrame:
     )
 
 
-def unique_violations(name: str, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """One output row per value that occurs more than once; NULL is not a value."""
-    present = df.select(*columns).dropna()
-    repeated = present.groupBy(*columns).agg(_rows().alias("copies")).where(F.col("copies") > 1)
-    return repeated.select(
-        F.lit(name).alias("table_name"), F.lit(f"UNIQUE ({', '.join(columns)})").alias("rule"), _record(columns).alias("record_id")
-    )
-
-
-def reference_violations(name: str, df: DataFrame, columns: tuple[str, ...], parent: str, parent_df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One output row per value without a parent row."""
-    values = df.select(*columns).dropna().distinct()
-    parents = parent_df.select(*[F.col(k).alias(c) for k, c in zip(keys, columns)])
-    return values.join(parents, list(columns), "left_anti").select(
-        F.lit(name).alias("table_name"),
-        F.lit(f"({', '.join(columns)}) REFERENCES {parent}").alias("rule"),
-        _record(columns).alias("record_id"),
+def key_counts(name: str, df: DataFrame, keys: Iterable[tuple[str, ...]]) -> DataFrame:
+    """Each value of each key of a table and how often it occurs, in one scan; NULL is not a value."""
+    found = []
+    for columns in keys:
+        whole = F.lit(True)
+        for column in columns:
+            whole = whole & F.col(column).isNotNull()
+        value = F.array(*[F.col(c).cast("string") for c in columns])
+        found.append(F.when(whole, F.struct(F.lit(", ".join(columns)).alias("key"), value.alias("value"))))
+    return (
+        df.select(F.explode(F.array_compact(F.array(*found))).alias("k"))
+        .groupBy(F.lit(name).alias("table_name"), "k.key", "k.value")
+        .agg(_rows().alias("copies"))
     )
 
 
 def violations(tables: Tables) -> DataFrame:
-    """Every broken rule of the given source and fact tables."""
-    parts = [row_violations(n, df) for n, df in tables.items() if n in SOURCES or n in FACT_ID]
-    parts += [unique_violations(n, tables[n], columns) for n, columns in UNIQUE if n in tables]
-    parts += [
-        reference_violations(n, tables[n], columns, parent, tables[parent], keys)
-        for n, columns, parent, keys in REFERENCES
-        if n in tables and parent in tables
-    ]
+    """Every broken rule of the given tables.
+
+    A table is scanned twice: for the rules on rows, and for the values of its keys. The key values are
+    written; uniqueness and references on both sides are answered from them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    unique = [(n, c) for n, c in UNIQUE if n in tables]
+    references = [r for r in REFERENCES if r[0] in tables and r[2] in tables]
+    wanted: dict[str, dict[tuple[str, ...], None]] = {}
+    for name, columns in [*unique, *((r[0], r[1]) for r in references), *((r[2], r[3]) for r in references)]:
+        wanted.setdefault(name, {})[columns] = None
+    keys = union_all(key_counts(name, tables[name], columns) for name, columns in wanted.items())
+    keys = store(keys, fresh_folder(spark, "keys"))
+
+    record = F.array_join("value", "/").alias("record_id")
+    label = lambda columns: ", ".join(columns)
+    rules = spark.createDataFrame([(n, label(c), f"UNIQUE ({label(c)})") for n, c in unique], "table_name string, key string, rule string")
+    repeated = keys.where("copies > 1").join(F.broadcast(rules), ["table_name", "key"]).select("table_name", "rule", record)
+    parts = [row_violations(n, df) for n, df in tables.items() if n in SOURCES or n in RECORD_ID] + [repeated]
+    if references:
+        rules = spark.createDataFrame(
+            [(n, label(c), f"({label(c)}) REFERENCES {p}", p, label(k)) for n, c, p, k in references],
+            "table_name string, key string, rule string, parent string, parent_key string",
+        )
+        children = keys.join(F.broadcast(rules), ["table_name", "key"])
+        parents = keys.select(F.col("table_name").alias("parent"), F.col("key").alias("parent_key"), "value")
+        orphans = children.join(parents, ["parent", "parent_key", "value"], "left_anti")
+        parts.append(orphans.select("table_name", "rule", record))
     return union_all(parts)
-
-
-def violation_counts(tables: Tables) -> DataFrame:
-    return violations(tables).groupBy("table_name", "rule").agg(_rows().alias("row_count")).orderBy("table_name", "rule")

@@ -31,8 +31,8 @@ class Warehouse(Mapping):
     """Tables of one run by name: ``stg_*`` cleaned, ``dim_*`` and ``fact_*`` loaded.
 
     A table is computed and written under ``folder`` when first asked for, together with the tables
-    it needs. ``previous`` holds the dimensions of the last run, ``snapshot_path`` the snapshot
-    history; both default to an empty warehouse.
+    it needs; those that only this run needs go to ``work``. ``previous`` holds the dimensions of the
+    last run, ``history`` the snapshot of earlier dates; both default to an empty warehouse.
     """
 
     def __init__(
@@ -42,11 +42,14 @@ class Warehouse(Mapping):
         run: Run,
         folder: str,
         previous: Mapping[str, DataFrame] | None = None,
-        snapshot_path: str | None = None,
+        history: Mapping[int, facts.SnapshotDay] | None = None,
+        work: str | None = None,
     ) -> None:
         self.spark, self.linked, self.run, self.folder = spark, linked, run, folder
         self.previous = previous or {}
-        self.snapshot_path = snapshot_path or f"{folder}/fact_inventory_snapshot"
+        self.work = work or f"{folder}/work"
+        self.history = dict(history or {})
+        self._today: facts.SnapshotDay | None = None
         self._written: dict[str, DataFrame] = {}
 
     def __iter__(self):
@@ -58,21 +61,27 @@ class Warehouse(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name in STAGED:
             return cleaning.kept(name, self.tagged(name))
+        if name == "fact_inventory_snapshot":
+            return facts.snapshot_history(self.spark, self.snapshot_days())
+        if name == "latest_snapshot":
+            return facts.latest_day(self.spark, self.snapshot_days())
         if name not in TABLES:
             raise KeyError(name)
         if name not in self._written:
-            if name == "fact_inventory_snapshot":
-                facts.replace_snapshot(self.snapshot_path, self.snapshot_day())
-                self._written[name] = self.spark.read.parquet(self.snapshot_path)
-            else:
-                self._write(name, self._build(name))
+            self._write(name, self._build(name))
         return self._written[name]
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
         # A failed attempt may have left files behind.
-        self._written[name] = store(df, f"{self.folder}/{name}", "overwrite")
+        folder = self.folder if name in TABLES else self.work
+        self._written[name] = store(df, f"{folder}/{name}", "overwrite")
         return self._written[name]
 
+    def source(self, name: str) -> DataFrame:
+        """A copy of a linked table, so that a live source is read once."""
+        label = f"source_{name}"
+        return self._written[label] if label in self._written else self._write(label, self.linked[name])
+
     def staged(self, name: str) -> DataFrame:
         return stage(self.linked, name, self.run.started_at)
 
@@ -113,12 +122,20 @@ class Warehouse(Mapping):
     def new_dates(self) -> DataFrame:
         return dimensions.new_dates(self._existing("dim_date"), dimensions.date_range(self, self.run.run_date))
 
+    def snapshot_days(self) -> dict[int, facts.SnapshotDay]:
+        """All dates; today's rows, even if there are none, replace what the history has for today."""
+        if self._today is None:
+            today = facts.fact_inventory_snapshot(self.tagged("stg_inventory"), self.run.run_date)
+            self._today = facts.write_snapshot_day(today, f"{self.folder}/fact_inventory_snapshot")
+        return {**self.history, self.date_key: self._today}
+
+    @property
+    def date_key(self) -> int:
+        return int(f"{self.run.run_date:%Y%m%d}")
+
     def snapshot_day(self) -> DataFrame:
         """Today's rows of the inventory snapshot."""
-        name = "snapshot_today"
-        if name not in self._written:
-            self._write(name, facts.fact_inventory_snapshot(self.tagged("stg_inventory"), self.run.run_date))
-        return self._written[name]
+        return facts.snapshot_history(self.spark, {self.date_key: self.snapshot_days()[self.date_key]})
 
     def run_log(self) -> DataFrame:
         """Rows loaded per step, in load order."""
@@ -127,7 +144,7 @@ class Warehouse(Mapping):
         counts |= {name: self[name] for name in facts.FACTS}
         counts["fact_inventory_snapshot"] = self.snapshot_day()
         return union_all(
-            df.agg(F.count(F.lit(1)).cast("int").alias("rows_affected")).select(
+            df.agg(F.count(F.lit(1)).alias("rows_affected")).select(
                 F.lit(i).alias("step_no"),
                 F.lit(name.upper()).alias("step"),
                 "rows_affected",
@@ -137,6 +154,11 @@ class Warehouse(Mapping):
         )
 
 
+def latest_log(log: DataFrame, rows: int = 8) -> DataFrame:
+    """The last entries of the run log, newest first."""
+    return log.orderBy(F.col("run_id").desc()).limit(rows)
+
+
 # Run parameters of the registered queries; fixed so that results can be compared.
 SAMPLE_RUN = Run(date(2024, 2, 1), datetime(2024, 2, 1, 6, 0))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.retail import standard_word
@@ -13,8 +14,23 @@ from shelfwise.sources.schemas import ORDER_STATUSES, POS_REASONS, POS_STATUSES,
 Linked = dict[str, DataFrame]
 
 
-def link_folder(spark: SparkSession, folder: str, names: Iterable[str] = SOURCES) -> Linked:
-    """Source tables kept as parquet under ``folder/<schema>/<table>``, schema taken from the files."""
+def link_folder(spark: SparkSession, folder: str) -> Linked:
+    """Every parquet table found as ``folder/<schema>/<table>``; ``contract_check`` tells what is missing.
+
+    Files are listed, not opened; Spark lists large folders on the executors.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        paths = files.load(folder).select("path")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    root = folder.rstrip("/").split("://")[-1].removeprefix("file:")
+    parts = F.split(F.trim(F.substring_index("path", root, -1), F.lit("/")), "/")
+    tables = paths.where(F.size(parts) > 2).select(F.concat_ws(".", F.get(parts, F.lit(0)), F.get(parts, F.lit(1))).alias("name")).distinct()
+    # one row per table
+    names = sorted(row["name"] for row in tables.collect())
     return {name: spark.read.parquet(f"{folder}/{name.replace('.', '/')}") for name in names}
 
 
@@ -32,11 +48,6 @@ def link_jdbc(spark: SparkSession, urls: dict[str, str], splits: dict[str, dict]
     return linked
 
 
-def register_views(linked: Linked) -> None:
-    for name, df in linked.items():
-        df.createOrReplaceTempView(name.replace(".", "_"))
-
-
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -76,7 +87,10 @@ def contract_check(spark: SparkSession, linked: Linked) -> DataFrame:
     homes = found.groupBy("table_name").agg(
         F.array_join(F.array_sort(F.collect_set("table_schema")), ", ").alias("found_this_table_in_schema")
     )
-    counts = row_counts(linked).withColumnRenamed("source_table", "expected_table")
+    expected_only = {name: df for name, df in linked.items() if name in SOURCES}
+    none = spark.createDataFrame([], "source_table string, row_count bigint")
+    counts = row_counts(expected_only) if expected_only else none
+    counts = counts.withColumnRenamed("source_table", "expected_table")
     missing = expected.join(found, ["table_schema", "table_name", "column_name"], "left_anti")
     return (
         missing.withColumn("expected_table", F.concat_ws(".", "table_schema", "table_name"))

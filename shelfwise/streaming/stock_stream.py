@@ -1,18 +1,23 @@
 """Stock requests decided as they arrive.
 
 State lives per product and store: the stock, and what is known about each reference. Micro-batches
-are served in arrival order, the requests inside one batch by time and id. The source's rate limit
-(``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what one pair can bring into a batch; a
-backlog is better decided with the batch job, which also splits hot pairs.
+are served in arrival order, the requests inside one batch by time and id. ``request_stream`` limits
+what a batch brings; a pair that still brings more than ``PAIR_ROWS`` into one batch stops the query, since its
+rows are sorted in one task. Such a backlog is for the batch job, which splits hot pairs.
+
+References may be forgotten ``keep_for`` after their last change. A reference that returns later counts as
+new, so choose a time after which none returns; the stock itself is always kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import asdict
+from datetime import timedelta
+from itertools import islice
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -23,19 +28,32 @@ from shelfwise.operators.stock import DECISION, PAIR, REQUEST, invalid_request,
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 }
+REQUESTS = (
+    "request_id string, request_ts timestamp_ntz, kind string, product_id string, store_id string, quantity int, "
+    "reference string"
+)
 DECISIONS = (
     "request_id string, request_ts timestamp_ntz, kind string, product_id string, store_id string, quantity int, "
     "reference string, success boolean, reason string, error string, applied boolean"
 )
 
 
+# Requests of one pair that a micro-batch may hold.
+PAIR_ROWS = 100_000
+
+
 class StockKeeper(StatefulProcessor):
     """Serves the requests of one pair against its stored shelf."""
 
+    def __init__(self, keep_for: timedelta | None = None, pair_rows: int = PAIR_ROWS) -> None:
+        self.keep_ms = int(keep_for.total_seconds() * 1000) if keep_for else None
+        self.pair_rows = pair_rows
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.stock = handle.getValueState("stock", "on_hand int, reserved int")
-        self.holds = handle.getMapState("holds", "reference string", "quantity int, balance int, closed boolean")
-        self.sales = handle.getMapState("sales", "reference string", "quantity int")
+        held = "quantity int, balance int, closed boolean"
+        self.holds = handle.getMapState("holds", "reference string", held, self.keep_ms)
+        self.sales = handle.getMapState("sales", "reference string", "quantity int", self.keep_ms)
 
     def handleInitialState(self, key: Any, row: Row, timer: Any) -> None:
         """Opening stock, and one row per reference of the earlier ledger."""
@@ -48,7 +66,10 @@ class StockKeeper(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timer: Any) -> Iterator[Row]:
         shelf = Shelf(*self.stock.get()) if self.stock.exists() else None
-        for row in sorted(rows, key=lambda r: (r.request_ts, r.request_id)):
+        held = list(islice(rows, self.pair_rows + 1))
+        if len(held) > self.pair_rows:
+            raise ValueError(f"more than {self.pair_rows} requests of {key} in one batch; lower the batch size")
+        for row in sorted(held, key=lambda r: (r.request_ts, r.request_id)):
             if row.error is not None:
                 decision = Decision(None, error=row.error)
             elif shelf is None:
@@ -89,23 +110,50 @@ def opening_state(inventory: DataFrame, movements: DataFrame | None = None) -> D
     return stock.unionByName(ledger, allowMissingColumns=True)
 
 
-def decide_stream(requests: DataFrame, inventory: DataFrame, movements: DataFrame | None = None) -> DataFrame:
+def request_stream(spark: SparkSession, folder: str, files_per_batch: int = 8) -> DataFrame:
+    """Requests as they arrive as parquet files, a limited number of files per batch."""
+    reader = spark.readStream.schema(REQUESTS).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
+def decide_stream(
+    requests: DataFrame,
+    inventory: DataFrame,
+    movements: DataFrame | None = None,
+    keep_for: timedelta | None = None,
+    pair_rows: int = PAIR_ROWS,
+) -> DataFrame:
     """Decisions for a stream of RESERVE, SELL and RELEASE requests, as in the batch job."""
     asked = requests.select(*REQUEST).withColumn("error", invalid_request())
     opening = opening_state(inventory, movements).groupBy(*PAIR)
-    return asked.groupBy(*PAIR).transformWithState(StockKeeper(), DECISIONS, "append", "none", opening)
+    return asked.groupBy(*PAIR).transformWithState(
+        StockKeeper(keep_for, pair_rows), DECISIONS, "append", "processingTime" if keep_for else "none", opening
+    )
 
 
 def write_decisions(
-    requests: DataFrame, inventory: DataFrame, out: str, checkpoint: str, movements: DataFrame | None = None, **trigger: Any
+    requests: DataFrame,
+    inventory: DataFrame,
+    out: str,
+    checkpoint: str,
+    movements: DataFrame | None = None,
+    keep_for: timedelta | None = None,
+    **trigger: Any,
 ) -> StreamingQuery:
-    """Append decisions to parquet files; a restart from the checkpoint neither loses nor repeats any."""
-    decided = decide_stream(requests, inventory, movements).select(*DECISION)
+    """Append decisions to parquet files; a restart from the checkpoint neither loses nor repeats any.
+
+    Without a trigger the query takes what there is and ends. With ``keep_for`` it goes on, since Spark keeps
+    looking for references whose time is up.
+    """
+    if keep_for and "availableNow" in trigger:
+        raise ValueError("a query that forgets references does not end; choose another trigger than availableNow")
+    trigger = trigger or ({"processingTime": "1 minute"} if keep_for else {"availableNow": True})
+    decided = decide_stream(requests, inventory, movements, keep_for).select(*DECISION)
     return (
         decided.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**trigger)
         .start()
     )

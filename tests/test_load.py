@@ -10,8 +10,8 @@ from fixtures import DAY, EXPECTED_REJECTS, clean_rows, faulty_rows, linked
 from shelfwise.operators import cleaning, dimensions
 from shelfwise.operators.keys import number_rows
 from shelfwise.plans import load, quality, reports
-from shelfwise.plans.warehouse import Run, Warehouse
-from shelfwise.sources.linked import bad_status, contract_check, link_folder, link_summary, register_views
+from shelfwise.plans.warehouse import Run, Warehouse, latest_log
+from shelfwise.sources.linked import bad_status, contract_check, link_folder, link_summary
 from shelfwise.sources.schemas import STAGED
 
 RUN = Run(date(2025, 5, 12), datetime(2025, 5, 12, 4))
@@ -133,8 +133,9 @@ def test_a_second_run_changes_nothing_but_the_log(spark, published):
     out, (first, second, _) = published
     for name in (*load.DIMENSIONS, *FACTS, "qa_checks"):
         assert contents(first[name]) == contents(second[name]), name
-    assert first["etl_run_log"].count() == 24
-    assert first["etl_run_log"].where("run_id between 200 and 299 and step = 'DIM_DATE'").first().rows_affected == 0
+    assert [v["etl_run_log"].count() for v in (first, second)] == [8, 16]
+    assert second["etl_run_log"].where("run_id between 200 and 299 and step = 'DIM_DATE'").first().rows_affected == 0
+    assert {r.run_id for r in latest_log(second["etl_run_log"]).collect()} == set(range(201, 209))
     assert load.current(spark, out).version == 3
 
 
@@ -208,8 +209,89 @@ def test_linked_folders_are_read_as_they_are(spark, tmp_path):
         df.write.parquet(f"{tmp_path}/{name.replace('.', '/')}")
     tables = link_folder(spark, str(tmp_path))
     assert contract_check(spark, tables).count() == 0
-    register_views(tables)
-    assert spark.sql("SELECT * FROM ecommerce_order_item WHERE product_id = :p", {"p": "P001"}).count() == 2
+    assert tables["ecommerce.order_item"].where("product_id = 'P001'").count() == 2
+
+
+def test_missing_and_misplaced_tables_stop_the_load(spark, tmp_path):
+    tables = linked(spark, clean_rows())
+    tables["pos.inventory_movement"] = tables.pop("inventory.inventory_movement")
+    del tables["ecommerce.customer"]
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/in/{name.replace('.', '/')}")
+    with pytest.raises(load.LoadError) as stopped:
+        load.main(["--sources", f"{tmp_path}/in", "--out", f"{tmp_path}/out", "--run-date", "2025-05-12"])
+    assert "MISSING TABLE: ecommerce.customer.customer_id\n" in f"{stopped.value}\n"
+    assert "MISSING TABLE: inventory.inventory_movement.movement_id (table found in pos)" in str(stopped.value)
+    assert load.current(spark, f"{tmp_path}/out") is None
+    with pytest.raises(load.LoadError, match="MISSING TABLE"):
+        load.checked_sources(spark, f"{tmp_path}/nothing")
+
+
+def test_main_loads_a_folder(spark, tmp_path):
+    for name, df in linked(spark, clean_rows()).items():
+        df.write.parquet(f"{tmp_path}/in/{name.replace('.', '/')}")
+    load.main(["--sources", f"{tmp_path}/in", "--out", f"{tmp_path}/out", "--run-date", "2025-05-12"])
+    assert load.current(spark, f"{tmp_path}/out").version == 1
+
+
+def test_an_empty_day_clears_the_day(spark, tmp_path):
+    out, rows = f"{tmp_path}/out", clean_rows()
+    load.run(spark, linked(spark, rows), out, RUN)
+    load.run(spark, linked(spark, rows), out, Run(date(2025, 5, 13), datetime(2025, 5, 13, 4)))
+    rows["inventory.inventory"] = rows["inventory.inventory"][:0]
+    last = load.run(spark, linked(spark, rows), out, Run(date(2025, 5, 13), datetime(2025, 5, 13, 5)))
+    assert {r.date_key for r in last["fact_inventory_snapshot"].select("date_key").distinct().collect()} == {20250512}
+    assert reports.latest_snapshot(last).count() == 3
+    first = load.run(spark, linked(spark, rows), f"{tmp_path}/other", RUN)
+    assert reports.latest_snapshot(first).count() == first["fact_inventory_snapshot"].count() == 0
+
+
+@pytest.mark.parametrize("step", ["violations", "qa_checks", "qa_scoreboard"])
+def test_a_failed_load_shows_readers_nothing(spark, tmp_path, monkeypatch, step):
+    out, rows = f"{tmp_path}/out", clean_rows()
+    load.run(spark, linked(spark, rows), out, RUN)
+    rows["inventory.inventory"][2] = ("I003", "P001", "S002", 9, 0, 9, DAY)
+
+    def fails(*arguments):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(quality, step, fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            load.run(spark, linked(spark, rows), out, RUN)
+    seen = load.current(spark, out)
+    assert (seen.version, seen["etl_run_log"].count()) == (1, 8)
+    assert reports.latest_snapshot(seen).agg(F.max("on_hand_quantity")).first()[0] < 9
+    again = load.run(spark, linked(spark, rows), out, RUN)
+    assert sorted(r.run_id for r in again["etl_run_log"].collect()) == [*range(101, 109), *range(201, 209)]
+    assert reports.latest_snapshot(again).agg(F.max("on_hand_quantity")).first()[0] == 9
+
+
+def test_two_loads_at_once_do_not_share_a_version(spark, tmp_path, monkeypatch):
+    out, tables = f"{tmp_path}/out", linked(spark, clean_rows())
+    load.run(spark, tables, out, RUN)
+    monkeypatch.setattr(load, "current", lambda spark, out: None)
+    with pytest.raises(load.LoadError, match="another load"):
+        load.run(spark, tables, out, RUN)
+
+
+def test_dimensions_without_names_and_prices_are_not_published(spark, tmp_path):
+    rows = clean_rows()
+    rows["inventory.product"] = [(p[0], None, p[2], p[3], None, p[5]) for p in rows["inventory.product"]]
+    rows["ecommerce.customer"] = [(c[0], None, c[2]) for c in rows["ecommerce.customer"]]
+    with pytest.raises(load.LoadError, match="sku IS NOT NULL|unit_price IS NOT NULL|customer_name IS NOT NULL"):
+        load.run(spark, linked(spark, rows), f"{tmp_path}/out", RUN)
+    assert load.current(spark, f"{tmp_path}/out") is None
+
+
+def test_copies_are_found_whatever_further_columns_say(spark):
+    rows = [("C1", "Ann", "a@x", n, "ECOMMERCE", DAY) for n in range(3)]
+    copies = spark.createDataFrame(
+        rows, "customer_id string, customer_name string, email string, loyalty int, source_system string, extracted_at timestamp"
+    )
+    tagged = cleaning.tag_customers(copies)
+    assert cleaning.kept("stg_customers", tagged).count() == 1
+    assert cleaning.rejects("stg_customers", tagged).count() == 2
 
 
 def test_declared_rules_find_each_fault(spark):

@@ -8,6 +8,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from shelfwise.plans.catalog import QUERIES
+from shelfwise.plans.oracle import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -39,12 +41,14 @@ def rows(frame):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_result(spark, duck, name):
-    result = contract.queries()[name](spark, FOLDER).toPandas()
-    expected = duck.execute(contract.oracle_sql()[name]).df()
+    result = QUERIES[name](spark, FOLDER).toPandas()
+    expected = duck.execute(ORACLES[name]).df()
     assert sorted(result.columns) == sorted(expected.columns)
     assert rows(result) == rows(expected)

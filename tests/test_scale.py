@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cleaning
-from shelfwise.plans import reports
+from shelfwise.operators import cleaning, facts
+from shelfwise.plans import quality, reports
 from shelfwise.session import store
 
 # Sizes that make a few thousand rows look like a skewed shuffle of a large table.
@@ -60,15 +60,30 @@ def test_a_hot_product_is_split_while_cleaning(spark, small_shuffles, tmp_path):
 
 
 def test_latest_snapshot_reads_one_date(spark, tmp_path):
-    rows = spark.range(30).select(
-        F.col("id").alias("inventory_fact_key"), F.col("id").alias("product_key"), F.lit(1).alias("store_key"),
-        F.lit(1).alias("on_hand_quantity"), F.lit(0).alias("reserved_quantity"), F.lit(1).alias("available_to_sell"),
-        (20250101 + F.col("id") % 3).cast("int").alias("date_key"),
-    )
-    rows.write.partitionBy("date_key").parquet(str(tmp_path / "snap"))
-    latest = reports.latest_snapshot({"fact_inventory_snapshot": spark.read.parquet(str(tmp_path / "snap"))})
-    assert latest.count() == 10
-    assert "PartitionFilters: [isnotnull(date_key" in plan_of(latest)
+    days = {}
+    for day, rows in ((20250101, 10), (20250102, 7), (20250103, 0)):
+        frame = spark.range(rows).select(
+            F.col("id").alias("inventory_fact_key"), F.col("id").alias("product_key"), F.lit(1).cast("bigint").alias("store_key"),
+            F.lit(day).alias("date_key"), F.lit(1).alias("on_hand_quantity"), F.lit(0).alias("reserved_quantity"),
+            F.lit(1).alias("available_to_sell"),
+        )
+        days[day] = facts.write_snapshot_day(frame, f"{tmp_path}/{day}")
+    latest = reports.latest_snapshot({"latest_snapshot": facts.latest_day(spark, days)})
+    assert latest.count() == 7
+    assert {path.split("/")[-2] for path in latest.inputFiles()} == {"20250102"}
+    assert facts.snapshot_history(spark, days).count() == 17
+
+
+def test_rules_scan_each_table_twice(spark):
+    from fixtures import clean_rows, linked
+
+    tables = linked(spark, clean_rows())
+    keys = quality.key_counts("inventory.inventory", tables["inventory.inventory"], [("inventory_id",), ("product_id", "store_id")])
+    assert {(r.key, *r.value, r.copies) for r in keys.collect()} >= {("inventory_id", "I001", 1)}
+    plan = plan_of(quality.violations(tables))
+    scans = plan.count("Scan ExistingRDD") + plan.count("LocalTableScan")
+    # one scan of each table for its rows; the keys come from one written table
+    assert scans <= 2 * len(tables)
 
 
 def test_status_check_reads_only_the_status(spark, tmp_path):
