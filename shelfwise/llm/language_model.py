@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -203,7 +204,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
         import pandas as pd
 
         found = count(([x or "" for x in b["text"]] for b in batches), order, bits)
-        while rows := [row for row, _ in zip(found, range(64), strict=False)]:
+        while rows := list(islice(found, 64)):
             yield pd.DataFrame(rows, columns=["level", "bucket", "keys", "counts"])
 
     def merged(group):

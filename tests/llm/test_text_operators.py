@@ -241,6 +241,18 @@ def test_scores(docs, monkeypatch, order, counted, bucket_bytes):
     assert checked > 40
 
 
+def test_a_task_keeps_all_its_dealt_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "COUNTED", 500)
+    monkeypatch.setattr(language_model, "BUCKET_BYTES", 1 << 11)
+    texts = [" ".join(f"w{(i * 37 + k * k) % 4001}" for k in range(300)) for i in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    model = language_model.train(rows)
+    counts = collections.Counter(w for t in texts for w in tokens(t))
+    # far more than the 64 rows that go out at a time
+    assert model.bits >= 5
+    assert (model.tokens, model.vocabulary) == (sum(counts.values()), len(counts))
+
+
 def test_probabilities_sum_to_one(docs):
     texts = [t for _, t, _ in samples.texts()[:40]]
     probability = slow_model(texts, 2)
