@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwise.llm.shared_files import mapped, write_once
 from shelfwise.session import fresh_folder, store
 
-# With three words a count of this corpus would move five times the input between stages.
-ORDER = 2
+# Words of the longest n-grams.
+ORDER = 3
 # Tokens counted before they are dealt out, and scored at a time.
 COUNTED, SCORED = 2_000_000, 500_000
 # Training bytes for which one more bucket is taken.

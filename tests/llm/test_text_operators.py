@@ -253,6 +253,15 @@ def test_a_task_keeps_all_its_dealt_rows(spark, monkeypatch):
     assert (model.tokens, model.vocabulary) == (sum(counts.values()), len(counts))
 
 
+def test_two_words_before_count(spark):
+    # which word follows "b" is known from the word before it alone
+    texts = [f"{first} b {last} z{i}" for i in range(30) for first, last in (("a", "c"), ("d", "e"))]
+    model = language_model.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    asked = spark.createDataFrame([(1, "a b c"), (2, "a b e")], "id int, text string")
+    found = {r.id: r.lm.score for r in asked.select("id", language_model.score(F.col("text"), model).alias("lm")).collect()}
+    assert found[1] > found[2] + 0.5
+
+
 def test_probabilities_sum_to_one(docs):
     texts = [t for _, t, _ in samples.texts()[:40]]
     probability = slow_model(texts, 2)
