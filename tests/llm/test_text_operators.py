@@ -104,6 +104,30 @@ def test_known_texts_and_notices(spark):
     assert {r.doc.doc_id for r in got if r.digest is None} == {7, 8, 9}
 
 
+def test_long_licenses_and_headers(spark):
+    whole = {i: t for i, t in license_texts.TEXTS if i in license_texts.FILES and len(t) > 5000}
+    assert set(whole) == set(license_texts.FILES)
+    apache = whole["Apache-2.0"].partition("END OF TERMS")[0]
+    gpl = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU Affero General
+Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."""
+    rows = [
+        *[(k, t.replace("\n", "\r\n  "), i, None) for k, (i, t) in enumerate(whole.items())],
+        (20, "BSD 3-Clause License\n\nCopyright (c) 2020, A\n\n" + license_texts.BSD_3, "BSD-3-Clause", None),
+        (21, apache, "Apache-2.0", None),
+        (22, "# Copyright 2020 A\n#\n# " + license_texts.APACHE_HEADER.replace("\n", "\n# "), "Apache-2.0", ["Apache-2.0"]),
+        (23, "// SPDX-License-Identifier: GPL-2.0-only\ncode", None, ["GPL-2.0-only"]),
+        (24, gpl, "AGPL-3.0-or-later", None),
+        (25, "x\n/* " + " ".join(license_texts.MPL_HEADER.split()) + " */", None, ["MPL-2.0"]),
+        (26, "x\nThis work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", None, ["CC-BY-SA-4.0"]),
+    ]
+    docs = samples.documents(spark, [(i, t, "s") for i, t, _, _ in rows])
+    got = {r.doc.doc_id: r for r in licenses.scan(docs, licenses.known_licenses(spark)).collect()}
+    for i, _, license_id, notices in rows:
+        assert got[i].license_id == license_id, i
+        if notices:
+            assert got[i].notices == notices, i
+
+
 def test_copyright_holders_in_a_sentence_stay(spark):
     texts = ["the\nCOPYRIGHT HOLDERS are liable", "the copyright holders are liable", "Copyright (C) 2020 x\nthe copyright owners are liable"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
