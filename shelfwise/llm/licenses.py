@@ -1,24 +1,35 @@
 """Finds known licences by digests of canonical texts.
 
-Texts that differ in case, punctuation, white space, copyright lines or equivalent spellings have one canonical text. Its
+Texts that differ in case, punctuation, white space, copyright statements or equivalent spellings have one canonical text. Its
 digest is looked up by a hash join among those of known licences: for the entire text of a document, and for each of its
 lines as a text of its own, since a sentence that names a licence stands on a line.
 
-Cases: a null or empty text, and one of copyright lines alone, has no digest and matches nothing; a null doc_id is
+Cases: a null or empty text, and one of copyright statements alone, has no digest and matches nothing; a null doc_id is
 carried; rows equal in doc_id and text share their notices; a licence that is known under several texts, or
 twice, is named once, the least id where digests are equal; an empty table gives no rows; further columns do not matter.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.license_texts import NAMED, SENTENCES, TEXTS
 
-# Lines that say whose a text is, not what is allowed.
-COPYRIGHT_LINE = (
-    r"(?m)^[ \t#*/;-]*(copyright[ \t:]*(\(c\)|©|by |\d{4})|(\(c\)|©)[ \t]*\d{4}|all rights reserved)[^\n]*$"
+# Statements whose a text is, not what is allowed: mark or year, then the holder up to the end of the sentence (not of an
+# initial or a company's form), the words a licence opens with, or the end of the line. Inside a line a year is needed.
+COPYRIGHT = (
+    r"(?m)(?:^[ \t#*/;-]*(?:copyright[ \t:]*(?:\(c\)|©|by |\d{4})|(?:\(c\)|©)[ \t]*\d{4})"
+    r"|\bcopyright[ \t:]*(?:(?:\(c\)|©)[ \t]*)?\d{4}|(?:\(c\)|©)[ \t]*\d{4})"
+    r"[^\n]*?(?:(?<![\s.]\p{L})(?<!\b(?:inc|ltd|co|corp|jr|sr|st|dr|al))[.;!?](?=\s|\z)|(?=\n|\z)"
+    r"|(?=\b(?:permission (?:is|to)|redistribution and use|(?:licen[cs]ed|released|distributed) under"
+    r"|this (?:work|software|project|program|library|file|source code|is)|everyone is permitted|spdx-license-identifier"
+    r"|all rights reserved|copyright[ \t:]*(?:\(c\)|©|\d{4}))))"
+    r"|\ball rights reserved\b"
 )
+# One of them is in every text with such a statement.
+COPYRIGHT_MARKS = ("copyright", "(c)", "©", "all rights reserved")
 NO_LETTERS = r"[^\p{L}\p{N}]+"
 # Equivalent spellings, on text in lower case with single blanks; the right one stands. Fixed values.
 SPELLINGS = (
@@ -38,7 +49,9 @@ SPELLINGS = (
 
 
 def canonical(text: Column) -> Column:
-    bare = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+    lower = F.lower(text)
+    marked = reduce(Column.__or__, [F.contains(lower, F.lit(mark)) for mark in COPYRIGHT_MARKS])
+    bare = F.when(marked, F.regexp_replace(lower, COPYRIGHT, " ")).otherwise(lower)
     words = F.trim(F.regexp_replace(bare, NO_LETTERS, " "))
     for other, usual in SPELLINGS:
         words = F.replace(words, F.lit(other), F.lit(usual))

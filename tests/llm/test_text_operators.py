@@ -134,6 +134,27 @@ def test_copyright_holders_in_a_sentence_stay(spark):
     assert rows.select(licenses.digest(F.col("text"))).distinct().count() == 1
 
 
+def test_copyright_and_license_on_one_line(spark):
+    mit = " ".join(license_texts.MIT.split())
+    gpl = next(t for i, t in license_texts.TEXTS if i == "GPL-3.0-only" and len(t) > 30_000)
+    rows = [
+        (1, "Copyright 2020 A. Body. Licensed under the MIT License.", "MIT"),
+        (2, "Copyright (c) 2021 A " + mit, "MIT"),
+        (3, "MIT License Copyright (c) 2021 A " + mit, "MIT"),
+        (4, "MIT License Copyright (c) 2019, 2021 A. Body, Some Co. Ltd. All rights reserved. " + mit, "MIT"),
+        (5, "(c) 2020 Foo Inc. Released under the MIT License.", "MIT"),
+        (6, " ".join(license_texts.ISC.split()) + "\nCopyright 2020 A. Body. All rights reserved.", "ISC"),
+        (7, "Copyright (c) 2020 A. Body\r\nCopyright 2021 B, Inc.\r\n" + license_texts.BSD_2, "BSD-2-Clause"),
+        (8, " ".join(gpl.split()), "GPL-3.0-only"),
+        (9, "Copyright 2020 A. Body. All rights reserved.", None),
+    ]
+    docs = samples.documents(spark, [(i, t, "s") for i, t, _ in rows])
+    got = {r.doc.doc_id: r for r in licenses.scan(docs, licenses.known_licenses(spark)).collect()}
+    assert {i: r.license_id for i, r in got.items()} == {i: x for i, _, x in rows}
+    assert [got[i].notices for i in (1, 5, 9)] == [["MIT"], ["MIT"], None]
+    assert got[9].digest is None
+
+
 def test_odd_documents_and_nothing(spark, docs, no_docs):
     known = licenses.known_licenses(spark)
     assert licenses.scan(docs, known).count() == len(samples.texts())
