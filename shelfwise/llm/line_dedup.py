@@ -76,7 +76,7 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFram
         .join(spread, "key")
         .where(~here.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list("pos").alias("gone"))
+        .agg(F.collect_set("pos").alias("gone"))
         .withColumnRenamed("doc_id", "_gone_id")
     )
     rows = docs.select(F.struct("*").alias("doc"), F.xxhash64("text").alias("text_hash"))

@@ -58,6 +58,14 @@ def test_exact_count_near_the_limit(spark):
     assert [r.n_sites for r in found] == [10]
 
 
+def test_repeated_rows_lose_a_line_once(spark):
+    spread = [(i, "on ten", f"s{i}") for i in range(10)]
+    rows = [*spread, *[(50, "own\non ten\nmore", "s1")] * 3, *[(None, "on ten\nfree", "s2")] * 4]
+    got = line_dedup.remove_spread_lines(samples.documents(spark, rows), 10).where("doc.doc_id >= 50 or doc.doc_id is null").collect()
+    found = sorted((r.doc.doc_id or 0, r.text, r.n_lines, r.n_removed) for r in got)
+    assert found == [(0, "free", 2, 1)] * 4 + [(50, "own\nmore", 3, 1)] * 3
+
+
 def test_no_lines(no_docs):
     assert line_dedup.remove_spread_lines(no_docs).count() == 0
 
