@@ -2,8 +2,8 @@
 
 State lives per product and store: the stock, and what is known about each reference. Micro-batches
 are served in arrival order, the requests inside one batch by time and id. ``request_stream`` limits
-what a batch brings; a pair that still brings more than ``PAIR_ROWS`` into one batch stops the query, since its
-rows are sorted in one task. Such a backlog is for the batch job, which splits hot pairs.
+what a batch brings. The rows of a pair are sorted in runs of ``RUN_ROWS``, which go to temporary files if there
+are more, so a hot pair takes time, not memory. A caller may still set ``pair_rows``, above which the query stops.
 
 References may be forgotten ``keep_for`` after their last change. A reference that returns later counts as
 new, so choose a time after which none returns; the stock itself is always kept.
@@ -11,10 +11,14 @@ new, so choose a time after which none returns; the stock itself is always kept.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import asdict
 from datetime import timedelta
+from heapq import merge
 from itertools import islice
+from tempfile import TemporaryFile
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -38,14 +42,39 @@ DECISIONS = (
 )
 
 
-# Requests of one pair that a micro-batch may hold.
-PAIR_ROWS = 100_000
+# Requests of one pair that are sorted, and references that are remembered, in memory.
+RUN_ROWS = 100_000
+
+
+def in_order(rows: Iterator[Row], run_rows: int | None = None) -> Iterator[Row]:
+    """Rows by time and id; more than a run of them are sorted run by run in temporary files and merged."""
+    key = lambda r: (r.request_ts, r.request_id)
+    run_rows = run_rows or RUN_ROWS
+    run = sorted(islice(rows, run_rows), key=key)
+    if len(run) < run_rows:
+        yield from run
+        return
+    with ExitStack() as files:
+        runs = []
+        while run:
+            file = files.enter_context(TemporaryFile())
+            for row in run:
+                pickle.dump(row, file, pickle.HIGHEST_PROTOCOL)
+            file.seek(0)
+            runs.append(_read(file, len(run)))
+            run = sorted(islice(rows, run_rows), key=key)
+        yield from merge(*runs, key=key)
+
+
+def _read(file: Any, n: int) -> Iterator[Row]:
+    for _ in range(n):
+        yield pickle.load(file)
 
 
 class StockKeeper(StatefulProcessor):
     """Serves the requests of one pair against its stored shelf."""
 
-    def __init__(self, keep_for: timedelta | None = None, pair_rows: int = PAIR_ROWS) -> None:
+    def __init__(self, keep_for: timedelta | None = None, pair_rows: int | None = None) -> None:
         self.keep_ms = int(keep_for.total_seconds() * 1000) if keep_for else None
         self.pair_rows = pair_rows
 
@@ -66,10 +95,7 @@ class StockKeeper(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timer: Any) -> Iterator[Row]:
         shelf = Shelf(*self.stock.get()) if self.stock.exists() else None
-        held = list(islice(rows, self.pair_rows + 1))
-        if len(held) > self.pair_rows:
-            raise ValueError(f"more than {self.pair_rows} requests of {key} in one batch; lower the batch size")
-        for row in sorted(held, key=lambda r: (r.request_ts, r.request_id)):
+        for row in in_order(self._capped(key, rows)):
             if row.error is not None:
                 decision = Decision(None, error=row.error)
             elif shelf is None:
@@ -81,8 +107,18 @@ class StockKeeper(StatefulProcessor):
                     self._keep(shelf, row.reference)
             yield Row(**{name: row[name] for name in REQUEST}, **asdict(decision))
 
+    def _capped(self, key: Any, rows: Iterator[Row]) -> Iterator[Row]:
+        for n, row in enumerate(rows, 1):
+            if self.pair_rows is not None and n > self.pair_rows:
+                raise ValueError(f"more than {self.pair_rows} requests of {key} in one batch; lower the batch size")
+            yield row
+
     def _recall(self, shelf: Shelf, reference: str) -> None:
         key = (reference,)
+        if len(shelf.holds) + len(shelf.sales) >= RUN_ROWS:
+            # every change is in the state already
+            shelf.holds.clear()
+            shelf.sales.clear()
         if reference not in shelf.holds and self.holds.containsKey(key):
             shelf.holds[reference] = Hold(*self.holds.getValue(key))
         if reference not in shelf.sales and self.sales.containsKey(key):
@@ -121,7 +157,7 @@ def decide_stream(
     inventory: DataFrame,
     movements: DataFrame | None = None,
     keep_for: timedelta | None = None,
-    pair_rows: int = PAIR_ROWS,
+    pair_rows: int | None = None,
 ) -> DataFrame:
     """Decisions for a stream of RESERVE, SELL and RELEASE requests, as in the batch job."""
     asked = requests.select(*REQUEST).withColumn("error", invalid_request())
@@ -138,6 +174,7 @@ def write_decisions(
     checkpoint: str,
     movements: DataFrame | None = None,
     keep_for: timedelta | None = None,
+    pair_rows: int | None = None,
     **trigger: Any,
 ) -> StreamingQuery:
     """Append decisions to parquet files; a restart from the checkpoint neither loses nor repeats any.
@@ -148,7 +185,7 @@ def write_decisions(
     if keep_for and "availableNow" in trigger:
         raise ValueError("a query that forgets references does not end; choose another trigger than availableNow")
     trigger = trigger or ({"processingTime": "1 minute"} if keep_for else {"availableNow": True})
-    decided = decide_stream(requests, inventory, movements, keep_for).select(*DECISION)
+    decided = decide_stream(requests, inventory, movements, keep_for, pair_rows).select(*DECISION)
     return (
         decided.writeStream.format("parquet")
         .option("path", out)
