@@ -7,11 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import chat, embedding_dedup, language_model, licenses, line_dedup, mixing, packing, quality, simhash, token_files
+from shelfwise.llm import (
+    byte_bpe,
+    chat,
+    embedding_dedup,
+    filter_audit,
+    language_model,
+    licenses,
+    line_dedup,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    token_files,
+)
 from shelfwise.session import fresh_folder, store
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,6 +91,35 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("ids_crc32", token_files.ids_crc32(F.col("ids"))).drop("ids")
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    text = merkle.lower_cased_third(F.col("doc_id"), F.col("text"))
+    manifest = merkle.build(_documents(spark, folder), merkle.leaf_digest(text))
+    root = F.lit(manifest.root).cast("binary")
+    return merkle.prove(manifest).select(
+        "doc_id",
+        *[merkle.hex_text(c).alias(n) for n, c in (("leaf", F.col("leaf")), ("subroot", F.col("subroot")), ("root", root))],
+        F.sha2(merkle.hex_text(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.hex_text(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == root).alias("verified"),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_RANKS)
+    rows = byte_bpe.encode(_documents(spark, folder), path, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        byte_bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return filter_audit.audit(filter_audit.failure_masks(_documents(spark, folder), labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -87,4 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_language_model": op9_language_model,
     "op10_token_ids": op10_token_ids,
+    "op11_merkle": op11_merkle,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_filter_audit": op13_filter_audit,
 }

@@ -144,7 +144,102 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
             + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id"""
 
+# CRC-32 of decimal digits, a bit at a time
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, range(8 * length(s))), lambda c, i:
+    CASE WHEN xor(c, CASE WHEN i % 8 = 0 THEN ascii(s[i // 8 + 1]) ELSE 0 END) % 2 = 1
+         THEN xor(xor(c, CASE WHEN i % 8 = 0 THEN ascii(s[i // 8 + 1]) ELSE 0 END) // 2, 3988292384)
+         ELSE xor(c, CASE WHEN i % 8 = 0 THEN ascii(s[i // 8 + 1]) ELSE 0 END) // 2 END))"""
+_SMALL_LETTERS = f"""{"".join("replace(" for _ in range(26))}text{"".join(f", '{chr(c)}', '{chr(c + 32)}')" for c in range(65, 91))}"""
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# a proof is the list of siblings from the leaf on; both trees and the climb go a level a round
+_MERKLE = f"""
+WITH RECURSIVE named AS (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents),
+leaves AS (
+    SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(f"CASE WHEN {_CRC32} % 3 = 0 THEN {_SMALL_LETTERS} ELSE text END")} AS claim,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place FROM named
+),
+built (tree, level, place, digest) AS (
+    SELECT tree, 0, place, leaf FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM built) WHERE n > 1 GROUP BY tree, level, place // 8
+),
+subroots AS (SELECT tree, max(level) AS height, arg_max(digest, level) AS subroot FROM built GROUP BY tree),
+above (level, place, digest) AS (
+    SELECT 0, tree, subroot FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER () AS n FROM above) WHERE n > 1 GROUP BY level, place // 8
+),
+runs AS (
+    SELECT tree, level, place // 8 AS run, list(digest ORDER BY place) AS digests FROM built JOIN subroots USING (tree)
+    WHERE level < height GROUP BY tree, level, place // 8
+    UNION ALL
+    SELECT -1, level, place // 8, list(digest ORDER BY place) FROM above
+    WHERE level < (SELECT max(level) FROM above) GROUP BY level, place // 8
+),
+climb (doc_id, tree, home, level, place, round, proof, folded) AS (
+    SELECT doc_id, tree, tree, 0, place, 0, '', claim FROM leaves
+    UNION ALL
+    SELECT doc_id, next_tree, home, next_level, next_place, round + 1, proof || before || behind, sha256(before || folded || behind) FROM (
+        SELECT c.doc_id, c.home, c.round, c.proof, c.folded,
+               coalesce(array_to_string(digests[:c.place % 8], ''), '') AS before, coalesce(array_to_string(digests[c.place % 8 + 2:], ''), '') AS behind,
+               CASE WHEN c.tree >= 0 AND c.level + 1 = height THEN -1 ELSE c.tree END AS next_tree,
+               CASE WHEN c.tree >= 0 AND c.level + 1 = height THEN 0 ELSE c.level + 1 END AS next_level,
+               CASE WHEN c.tree >= 0 AND c.level + 1 = height THEN c.home ELSE c.place // 8 END AS next_place
+        FROM (SELECT doc_id, home, round, proof, folded, CASE WHEN climb.tree >= 0 AND height = 0 THEN -1 ELSE climb.tree END AS tree, level,
+                     CASE WHEN climb.tree >= 0 AND height = 0 THEN home ELSE place END AS place, height
+              FROM climb JOIN subroots ON subroots.tree = home) c
+        JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = c.place // 8
+    )
+),
+ends AS (SELECT doc_id, arg_max(proof, round) AS proof, arg_max(folded, round) AS folded FROM climb GROUP BY doc_id),
+root AS (SELECT arg_max(digest, level) AS root FROM above)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends USING (doc_id) CROSS JOIN root"""
+
+_AUDIT = r"""
+WITH words AS (SELECT *, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+failed AS (
+    SELECT coalesce(lang, '') AS part, coalesce(quality = 1, FALSE) AS is_good, coalesce(toxic = 1, FALSE) AS is_toxic,
+           [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+            100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text),
+            regexp_matches(text, '[#$%&*|]'),
+            doc_id > min(doc_id) OVER (PARTITION BY text)] AS f
+    FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM words) LEFT JOIN labels USING (doc_id)
+),
+letters AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+    SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+),
+steps AS (SELECT o, i AS step, o[i] AS x, o[:i - 1] AS before FROM orders, letters),
+masks AS (SELECT part, f, is_good, is_toxic, count(*) AS n FROM failed GROUP BY ALL),
+counted AS (
+    SELECT part, o, step, x, f[x] AS fails, list_bool_or(list_transform(before, lambda k: f[k])) IS TRUE AS gone,
+           list_sum(list_transform(f, lambda v: CAST(v AS INT))) AS n_failed, is_good, is_toxic, n FROM masks, steps
+),
+summed AS (
+    SELECT part, o, step, x, sum(n) FILTER (NOT gone AND NOT fails) AS kept, sum(n) FILTER (NOT gone AND fails) AS removed,
+           sum(n) FILTER (gone AND fails) AS redundant, sum(n) FILTER (fails AND n_failed = 1) AS unique_fails,
+           sum(n) FILTER (NOT gone AND fails AND is_good) AS good_lost, sum(n) FILTER (NOT gone AND fails AND is_toxic) AS toxic_lost
+    FROM counted GROUP BY part, o, step, x
+)
+SELECT part, array_to_string(list_transform(o, lambda k: chr(CAST(64 + k AS INT))), '') AS filter_order, CAST(step AS INT) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley FROM summed"""
+
 ORACLES: dict[str, str] = {
+    "op11_merkle": _MERKLE,
+    "op13_filter_audit": _AUDIT,
     "op1_line_dedup": _LINE_DEDUP,
     "op4_embedding_dedup": _EMBEDDINGS,
     "op5_mixing": _MIX,

@@ -29,13 +29,16 @@ COLUMNS = {
     "op8_quality": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_language_model": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op10_token_ids": "doc_id start n_tokens ids_crc32",
+    "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 
 
 def test_all_are_registered():
     names = {*catalog.QUERIES, "pipeline"}
     assert names <= set(contract.queries())
-    assert {name.split("_")[0] for name in catalog.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in catalog.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(oracle.ORACLES) <= set(catalog.QUERIES)
 
 
@@ -44,17 +47,21 @@ def test_columns(spark, name):
     types = dict(catalog.QUERIES[name](spark, samples.FOLDER).dtypes)
     wanted = COLUMNS[name].split()
     assert set(wanted) <= set(types)
-    text = {"turns_sha256", "loss_sha256", "fingerprint"}
+    text = {"turns_sha256", "loss_sha256", "fingerprint", "ids_sha256", "decoded_sha256", "part", "filter_order"}
+    text |= {"leaf", "subroot", "root", "proof_sha256", "folded_root"}
     number = {"target", "base_score", "score"}
-    flag = {"kept", "base_failed", "held_out"}
+    flag = {"kept", "base_failed", "held_out", "verified"} - ({"kept"} if name.startswith("op13") else set())
     for c in wanted:
+        if c == "step":
+            assert types[c] == "int"
+            continue
         assert types[c] == ("string" if c in text else "double" if c in number else "boolean" if c in flag else "bigint"), c
 
 
 @pytest.mark.parametrize("name", list(oracle.ORACLES))
 def test_same_as_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{samples.FOLDER}/{table}.parquet'")
     plain = lambda v: None if v is None or v != v else round(float(v), 6) if not isinstance(v, (str, bool)) else v
     rows = lambda frame: sorted((tuple(map(plain, r)) for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False)), key=str)
