@@ -20,7 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,7 +31,7 @@ CHUNK, OVERLAP = 1 << 15, 1 << 9
 # A match is certain if this many more characters could be seen: a contraction has up to three.
 AHEAD = 4
 # Bytes of text worked on at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _loaded: dict = {}
 
@@ -55,10 +55,10 @@ def _encoding(path: str, pattern: str):
 def _ids(encode, texts: list[str]) -> pa.Array:
     import numpy as np
 
-    found = [encode(x) for x in texts]
+    # a list of numbers takes ten times the memory of an array, so there is one at a time
+    found = [np.array(encode(x), dtype=np.int32) for x in texts]
     ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-    flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -200,7 +200,9 @@ def decode(ids: Column, path: str) -> Column:
         if path not in _loaded:
             _loaded[path] = {rank: token for token, rank in ranks_of(path).items()}
         token = _loaded[path].__getitem__
-        return pa.array([None if x is None else b"".join(map(token, x)) for x in lists.to_pylist()], pa.binary())
+        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        texts = [b"".join(map(token, values[lo:hi].tolist())) for lo, hi in pairwise(ends)]
+        return pa.array(texts, pa.binary(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return joined(ids)
 
