@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfwise.session import fresh_folder, store
+
 FILTERS = "ABCDE"
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 3
 SIGNS, CAPITALS = b"#$%&*|", bytes(range(65, 91))
@@ -85,6 +87,8 @@ def failure_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("unnamed"),
         F.coalesce(F.min_by("n", "doc_id"), F.lit(0)).alias("n_first"),
     )
+    # read twice below
+    counted = store(counted, fresh_folder(docs.sparkSession, "audit-texts"))
     least = counted.groupBy("digest").agg(F.min("first").alias("least"))
     both = counted.join(least, "digest")
     originals = F.col("unnamed") + F.when(F.col("first") == F.col("least"), F.col("n_first")).otherwise(0)
