@@ -19,16 +19,18 @@ CHUNK_BYTES = 8 << 20
 REMEMBERED = 300_000
 
 # A segment is a run without blanks and line feeds, cut where a stop or a sign follows letters. A tokenizer that
-# encodes white space gets it at the start of the segment.
+# encodes white space gets it at the start of the segment. The last of the letters is a Latin one: others may become
+# a letter and a mark in the tokenizer's own spelling (a dotted capital I in small letters), and marks stay with signs.
 _SIGNS = ".,;:!?#$%&*"
-_RUN = rf"(?:[^\W\d_]+(?=[{_SIGNS}])|[^ \n]+)"
+_LATIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
+_RUN = rf"(?:[^\W\d_]+(?<={_LATIN})(?=[{_SIGNS}])|[^ \n]+)"
 _WITH_BLANKS = re.compile(rf"[ \n]*{_RUN}|[ \n]+").findall
 _WITHOUT_BLANKS = re.compile(_RUN).findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
 # A run of white space that the tokenizer would cut elsewhere than before its last blank.
 _BLANK_RUN = re.compile(r"\s (?:\s|\Z)").search
 # One word of Latin letters: nothing to normalise or split, so the merges alone are asked for.
-_LETTERS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_LETTERS = rf"{_LATIN}+"
 _PLAIN_WORD = re.compile(_LETTERS).fullmatch
 _WORD_AND_SIGNS = re.compile(rf"({_LETTERS})([{_SIGNS}]+)").fullmatch
 # Byte-level vocabularies write a byte without a printable Latin-1 character as one from 256 on, in order.
@@ -54,8 +56,11 @@ class TextEncoder:
         self.segments = _WITH_BLANKS if keeps_blanks else _WITHOUT_BLANKS
         self.blank = chr(_BYTE_LETTERS[32]) if keeps_blanks else ""
         self.signs = {sign: self._ask(sign) for sign in _SIGNS}
+        # words by themselves, that is after a blank; segments as they stand, apart from the words
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.recent_segments: dict[str, bytes] = {}
+        self.older_segments: dict[str, bytes] = {}
 
     def _ask(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -75,12 +80,12 @@ class TextEncoder:
             return self._word(word) if ids is None else ids
         if (ids := self.signs.get(segment)) is not None:
             return ids
-        # told apart from a word by the character in front
-        key = "\0" + segment
-        if (ids := self.recent.get(key)) is None:
-            if (ids := self.older.get(key)) is None:
+        if (ids := self.recent_segments.get(segment)) is None:
+            if (ids := self.older_segments.get(segment)) is None:
                 ids = self._ask(segment)
-            self.recent[key] = ids
+            if len(self.recent_segments) >= REMEMBERED:
+                self.older_segments, self.recent_segments = self.recent_segments, {}
+            self.recent_segments[segment] = ids
         return ids
 
     def _word(self, word: str) -> bytes:

@@ -1,5 +1,6 @@
 """Token ids, packing and token files against the tokenizers library."""
 
+import random
 import zlib
 
 import numpy as np
@@ -133,3 +134,23 @@ def test_token_files_carry_index_and_bloom_filter(docs, tmp_path):
 
 def test_token_files_of_nothing(no_docs):
     assert token_files.token_table(no_docs, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+@pytest.mark.parametrize("name, keeps_blanks", FILES)
+def test_fuzzed_texts(name, keeps_blanks):
+    """Control characters, letters whose small form is longer, marks, signs and blanks in any order, from memory too."""
+    random_ = random.Random(11)
+    path = public_tokenizers.path(name)
+    library, ours = Tokenizer.from_file(path), TextEncoder(path, keeps_blanks)
+    letters = "\0 \x01 \x1c \x7f \x85   ́ ̇ ​ क़ ྲ שׁ İ I i ẞ ß Σ ς Ω Å K ǅ ﬁ é e a b 1 ½ . , ! # ' & * _ - 漢 \U0001f600".split(" ")
+    letters += [" ", " ", " ", "\n", "the", "'s", "."]
+    for _ in range(300):
+        check(library, ours, ["".join(random_.choices(letters, k=random_.randint(1, 12))) for _ in range(60)])
+
+
+@pytest.mark.parametrize("text", [" \0Ω", "Ω \0Ω", "İ.", "aİ. İ.b", "क़. x", "\0a \0a. a"])
+def test_control_characters_and_marks(text):
+    for name, keeps_blanks in FILES:
+        path = public_tokenizers.path(name)
+        library, ours = Tokenizer.from_file(path), TextEncoder(path, keeps_blanks)
+        check(library, ours, ["a Ω \0Ω Ω", text, text + text])
