@@ -52,6 +52,17 @@ def shape(n: int, min_cosine: float, recall: float) -> tuple[float, int, int]:
     return step, projections, tables
 
 
+def scaled(vectors):
+    """Rows of a matrix with their largest number between a half and one, so that squares neither vanish nor overflow.
+
+    The factor is a power of two, so the cosines of other rows stay as they are to the last bit.
+    """
+    import numpy as np
+
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def classes_of(rows: DataFrame) -> DataFrame:
     """vec_id, digest, vector of each row; the digest of label and numbers names a class, null for none."""
 
@@ -104,8 +115,7 @@ def near_classes(classes: DataFrame, n: int, min_cosine: float, recall: float) -
                     )
                 axes, shift, odd = planes[size]
                 vectors = np.stack(part["vector"].to_numpy())
-                # scaled by the largest number first, so that squares neither vanish nor overflow
-                unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+                unit = scaled(vectors)
                 unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
                 steps = np.floor((unit @ axes + shift) / step).astype(np.int64).reshape(-1, tables, projections)
                 keys = (steps * odd).sum(axis=2)
@@ -141,7 +151,7 @@ def near_classes(classes: DataFrame, n: int, min_cosine: float, recall: float) -
         labels, keys = group["label"].to_numpy(), np.stack(group["keys"].to_numpy())
         nth, first, second = (int(group[c].iloc[0]) for c in ("nth", "i", "j"))
         lengths = group["vector"].map(len).to_numpy()
-        vectors = np.stack([v if len(v) == lengths[0] else np.zeros(lengths[0]) for v in group["vector"]])
+        vectors = scaled(np.stack([v if len(v) == lengths[0] else np.zeros(lengths[0]) for v in group["vector"]]))
         norms = np.sqrt((vectors * vectors).sum(axis=1))
         left, right = (np.flatnonzero(group["own"].to_numpy() == k) for k in (first, second))
         links = np.zeros(len(group), dtype=np.int64)
