@@ -255,7 +255,11 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         a, b = forest(values.view(np.uint64), group["inside"].to_numpy(), max_bits)
         return pd.DataFrame({"a": values[a], "b": values[b]})
 
-    return blocks.groupBy("shard", "block", "ask").applyInPandas(searched, "a long, b long")
+    # dealt by cell: rows already dealt by shard would do for the grouping, and put a shard's cells into one task; the
+    # number is set, because small cells are joined by their bytes, but cost by their pairs
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cell = ["shard", "block", "ask"]
+    return blocks.repartition(tasks, *cell).groupBy(*cell).applyInPandas(searched, "a long, b long")
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -231,3 +231,27 @@ def test_recall_at_the_limit():
     step, projections, tables = embedding_dedup.shape(10**6, 0.98, 0.998)
     near = embedding_dedup.collision(step / math.sqrt(2 - 2 * 0.98))
     assert 1 - (1 - near**projections) ** tables >= 0.998
+
+
+def test_vectors_beyond_the_root_of_the_double_range(spark):
+    """Squares of their numbers vanish or overflow; their cosines are those of the vectors ten to some power larger."""
+    random_ = np.random.default_rng(9)
+    base = random_.standard_normal(16)
+    near, far = base + 0.01 * random_.standard_normal(16), random_.standard_normal(16)
+    far = far + base  # of positive product, but not near
+    rows = [(10 * k + i, (v * 10.0**e).tolist(), 0) for k, e in enumerate((0, -200, 200, -300, -310)) for i, v in enumerate((base, near, far))]
+    rows += [(90, (base * 1e200).tolist(), 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(table).collect()}
+    assert got == {i: (4, 2) if i % 10 == 2 else (10, 0) for i, _, _ in rows}
+
+
+def test_cells_of_a_shard_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD", 64)
+    fps = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.near_links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shard#" in plan
+    last = plan.index("FlatMapGroupsInPandas")
+    exchange = plan.index("Exchange hashpartitioning(", last)
+    line = plan[exchange : plan.index("\n", exchange)]
+    assert all(f"{c}#" in line for c in ("shard", "block", "ask")) and "REPARTITION_BY_NUM" in line
