@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.retail import available_to_sell, date_key
 from shelfwise.operators.cleaning import REASON
-from shelfwise.session import store
+from shelfwise.session import store_counted
 
 SNAPSHOT = (
     "inventory_fact_key bigint, product_key bigint, store_key bigint, date_key int, on_hand_quantity int, "
@@ -76,12 +76,23 @@ class SnapshotDay:
 
 def write_snapshot_day(day: DataFrame, folder: str) -> SnapshotDay:
     """Each write of a date has a folder of its own; what readers take for the date is the caller's choice."""
-    return SnapshotDay(folder, store(day, folder, "overwrite").count())
-
-
-def snapshot_history(spark: SparkSession, days: Mapping[int, SnapshotDay]) -> DataFrame:
-    """The snapshot over all dates; a date that was replaced by nothing has no rows."""
-    folders = [day.folder for _, day in sorted(days.items()) if day.rows]
+    _, counts = store_counted(day, folder, "overwrite", rows=F.count(F.lit(1)))
+    return SnapshotDay(folder, counts["rows"])
+
+
+def snapshot_history(
+    spark: SparkSession, days: Mapping[int, SnapshotDay], first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """The snapshot from ``first`` to ``last``, of all dates by default; a date that was replaced by nothing has no rows.
+
+    Only the folders of these dates are listed: which they are is known from ``days``.
+    """
+    low, high = (int(f"{d:%Y%m%d}") if d else None for d in (first, last))
+    folders = [
+        day.folder
+        for key, day in sorted(days.items())
+        if day.rows and (low is None or key >= low) and (high is None or key <= high)
+    ]
     return spark.read.schema(SNAPSHOT).parquet(*folders) if folders else spark.createDataFrame([], SNAPSHOT)
 
 

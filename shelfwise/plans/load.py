@@ -1,9 +1,9 @@
 """The load job: check, stage, clean, load, validate, publish.
 
 A run writes everything, the snapshot of its date and its log included, to a version folder of its own. The
-last step adds one entry to ``published``; until then readers see the version before, whatever fails. Readers
-take each date of the snapshot from the newest version that wrote it. What only the run itself needs goes to
-the scratch folder of the application.
+last step puts the next manifest (``plans/manifest.py``); until then readers see the version before, whatever fails,
+and of two loads that started from one version the first to get there wins. Readers take each date of the snapshot
+from the newest version that wrote it. What only the run itself needs goes to the scratch folder of the application.
 """
 
 from __future__ import annotations
@@ -14,20 +14,16 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from shelfwise.operators import facts
 from shelfwise.operators.dimensions import DIMENSION_SOURCE
 from shelfwise.operators.facts import FACTS
-from shelfwise.plans import quality
+from shelfwise.plans import manifest, quality
 from shelfwise.plans.warehouse import Run, Warehouse
 from shelfwise.session import UTC, build_session, fresh_folder, store
 from shelfwise.sources.linked import bad_status, contract_check, link_folder
 
-PUBLISHED = (
-    "version bigint, folder string, run_date date, started_at timestamp, date_key int, snapshot_rows bigint"
-)
 DIMENSIONS = ("dim_date", *DIMENSION_SOURCE)
 
 
@@ -56,9 +52,13 @@ class Published:
             for e in self.entries
         }
 
+    def snapshot(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """The snapshot from one date to another, both included; no folder of another date is listed."""
+        return facts.snapshot_history(self.spark, self.snapshot_days(), first, last)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name == "fact_inventory_snapshot":
-            return facts.snapshot_history(self.spark, self.snapshot_days())
+            return self.snapshot()
         if name == "latest_snapshot":
             return facts.latest_day(self.spark, self.snapshot_days())
         if name == "etl_run_log":
@@ -68,14 +68,7 @@ class Published:
 
 def current(spark: SparkSession, out: str) -> Published | None:
     """The newest published version, if there is one."""
-    try:
-        log = spark.read.schema(PUBLISHED).option("recursiveFileLookup", "true").json(f"{out}/published")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    # one entry per load
-    entries = tuple(log.orderBy("version").collect())
+    entries = manifest.loads(spark, out)
     return Published(spark, entries) if entries else None
 
 
@@ -103,13 +96,13 @@ def run(spark: SparkSession, linked: Mapping[str, DataFrame], out: str, run: Run
     steps = dw.run_log().withColumn("run_id", F.lit(version) * 100 + F.col("step_no"))
     store(steps.coalesce(1), f"{folder}/etl_run_log")
     rows = dw.snapshot_days()[dw.date_key].rows
-    entry = spark.createDataFrame([(version, folder, run.run_date, run.started_at, dw.date_key, rows)], PUBLISHED)
+    entry = Row(
+        version=version, folder=folder, run_date=run.run_date, started_at=run.started_at, date_key=dw.date_key, snapshot_rows=rows
+    )
     try:
-        entry.coalesce(1).write.mode("error").json(f"{out}/published/{version:06d}")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_ALREADY_EXISTS":
-            raise LoadError(f"not published, another load published version {version} meanwhile") from error
-        raise
+        manifest.publish(spark, out, [*(last.entries if last else ()), entry])
+    except manifest.Taken as taken:
+        raise LoadError(f"not published, another load published {taken} meanwhile") from taken
     return current(spark, out)
 
 

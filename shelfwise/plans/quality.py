@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -387,6 +388,11 @@ RECORD_ID = {
 }
 
 
+VIOLATIONS = "table_name string, rule string, record_id string"
+# Whole numbers of the longest key, that of the snapshot.
+KEY_NUMBERS = 3
+
+
 def _record(columns: tuple[str, ...]) -> Column:
     return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
 
@@ -403,58 +409,156 @@ def value_rules(name: str) -> list[str]:
 def row_violations(name: str, df: DataFrame) -> DataFrame:
     """Rows that break a value rule of their table, one output row per broken rule, in one scan."""
     record = RECORD_ID.get(name) or (SOURCES[name].fieldNames()[0],)
-    broken = [F.when(F.col(c).isNull(), F.lit(f"{c} IS NOT NULL")) for c in _required(name, df)]
-    broken += [F.when(~F.expr(rule), F.lit(rule)) for rule in value_rules(name)]
-    return df.select(
-        F.lit(name).alias("table_name"),
-        F.explode(F.array_compact(F.array(*broken))).alias("rule"),
-        _record(record).alias("record_id"),
+    rules = {f"{c} IS NOT NULL": F.col(c).isNull() for c in _required(name, df)}
+    # an unknown result passes
+    rules |= {rule: F.coalesce(~F.expr(rule), F.lit(False)) for rule in value_rules(name)}
+    broken = F.array(*[F.when(fails, F.lit(rule)) for rule, fails in rules.items()])
+    # only bad rows are looked at rule by rule
+    return (
+        df.where(reduce(lambda a, b: a | b, rules.values()))
+        .select(F.lit(name).alias("table_name"), F.explode(broken).alias("rule"), _record(record).alias("record_id"))
+        .where("rule IS NOT NULL")
     )
 
 
-def key_counts(name: str, df: DataFrame, keys: Iterable[tuple[str, ...]]) -> DataFrame:
-    """Each value of each key of a table and how often it occurs, in one scan; NULL is not a value."""
-    found = []
-    for columns in keys:
-        whole = F.lit(True)
-        for column in columns:
-            whole = whole & F.col(column).isNotNull()
-        value = F.array(*[F.col(c).cast("string") for c in columns])
-        found.append(F.when(whole, F.struct(F.lit(", ".join(columns)).alias("key"), value.alias("value"))))
-    return (
-        df.select(F.explode(F.array_compact(F.array(*found))).alias("k"))
-        .groupBy(F.lit(name).alias("table_name"), "k.key", "k.value")
-        .agg(_rows().alias("copies"))
-    )
+def _present(columns: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def violations(tables: Tables) -> DataFrame:
-    """Every broken rule of the given tables.
+def _texts(df: DataFrame, columns: tuple[str, ...]) -> list[str]:
+    return [c for c in columns if df.schema[c].dataType.typeName() not in ("integer", "long")]
+
+
+def _value(df: DataFrame, columns: tuple[str, ...]) -> Column:
+    """A key value: whole numbers as they are, texts as one text, the rest empty."""
+    texts = _texts(df, columns)
+    numbers = [c for c in columns if c not in texts]
+    joined = F.concat_ws("/", *texts) if texts else F.lit(None).cast("string")
+    if len(texts) > 1:
+        # the lengths tell ("a", "b/c") from ("a/b", "c")
+        joined = F.concat(F.concat_ws(",", *[F.length(c).cast("string") for c in texts]), F.lit(":"), joined)
+    parts = [joined]
+    parts += [F.col(numbers[i]).cast("long") if i < len(numbers) else F.lit(None).cast("long") for i in range(KEY_NUMBERS)]
+    return F.struct(*[part.alias(f"v{i}") for i, part in enumerate(parts)])
+
 
-    A table is scanned twice: for the rules on rows, and for the values of its keys. The key values are
-    written; uniqueness and references on both sides are answered from them.
+def key_values(df: DataFrame, roles: Iterable[tuple[int, int, tuple[str, ...]]]) -> DataFrame:
+    """Values of a table's keys in one scan: the key they belong to, the role of the table, the value; NULL is none.
+
+    Role 0 owns the key; the others refer to it.
+    """
+    found = [
+        F.when(_present(columns), F.struct(F.lit(key).alias("key"), F.lit(role).alias("role"), _value(df, columns).alias("value")))
+        for key, role, columns in roles
+    ]
+    return df.select(F.explode(F.array(*found)).alias("k")).where("k IS NOT NULL").select("k.key", "k.role", "k.value.*")
+
+
+def key_violations(tables: Tables) -> DataFrame:
+    """Repeated keys and text references without an owner, from one shuffle of all key values.
+
+    The rows that own a key and those that refer to it meet in one group per value. Tasks sum before they send, so a
+    value that very many rows refer to is one row per task.
     """
     spark = next(iter(tables.values())).sparkSession
     unique = [(n, c) for n, c in UNIQUE if n in tables]
-    references = [r for r in REFERENCES if r[0] in tables and r[2] in tables]
-    wanted: dict[str, dict[tuple[str, ...], None]] = {}
-    for name, columns in [*unique, *((r[0], r[1]) for r in references), *((r[2], r[3]) for r in references)]:
-        wanted.setdefault(name, {})[columns] = None
-    keys = union_all(key_counts(name, tables[name], columns) for name, columns in wanted.items())
-    keys = store(keys, fresh_folder(spark, "keys"))
-
-    record = F.array_join("value", "/").alias("record_id")
+    references = [r for r in REFERENCES if r[0] in tables and r[2] in tables and not _is_surrogate(r)]
+    keys = {key: i for i, key in enumerate(dict.fromkeys([*unique, *((r[2], r[3]) for r in references)]))}
     label = lambda columns: ", ".join(columns)
-    rules = spark.createDataFrame([(n, label(c), f"UNIQUE ({label(c)})") for n, c in unique], "table_name string, key string, rule string")
-    repeated = keys.where("copies > 1").join(F.broadcast(rules), ["table_name", "key"]).select("table_name", "rule", record)
-    parts = [row_violations(n, df) for n, df in tables.items() if n in SOURCES or n in RECORD_ID] + [repeated]
-    if references:
-        rules = spark.createDataFrame(
-            [(n, label(c), f"({label(c)}) REFERENCES {p}", p, label(k)) for n, c, p, k in references],
-            "table_name string, key string, rule string, parent string, parent_key string",
+    roles: dict[str, list[tuple[int, int, tuple[str, ...]]]] = {}
+    for (name, columns), key in keys.items():
+        roles.setdefault(name, []).append((key, 0, columns))
+    several = {key: len(_texts(tables[n], c)) > 1 for (n, c), key in keys.items()}
+    rules = [(keys[n, c], 0, n, f"UNIQUE ({label(c)})", several[keys[n, c]]) for n, c in unique]
+    for role, (child, columns, parent, owned) in enumerate(references, 1):
+        key = keys[parent, owned]
+        roles.setdefault(child, []).append((key, role, columns))
+        rules.append((key, role, child, f"({label(columns)}) REFERENCES {parent}", several[key]))
+    if not roles:
+        return spark.createDataFrame([], VIOLATIONS)
+    values = union_all(key_values(tables[name], wanted) for name, wanted in roles.items())
+    value = ["v0", *[f"v{i + 1}" for i in range(KEY_NUMBERS)]]
+    met = values.groupBy("key", *value).agg(
+        F.count_if(F.col("role") == 0).alias("owners"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("role"))).alias("roles"),
+    )
+    broken = met.where("owners <> 1")
+    known = spark.createDataFrame(rules, "key int, role int, table_name string, rule string, several boolean")
+    repeated = (F.col("role") == 0) & (F.col("owners") > 1)
+    orphan = (F.col("role") > 0) & (F.col("owners") == 0) & (F.call_function("shiftright", "roles", F.col("role")) % 2 == 1)
+    text = F.when(F.col("several"), F.regexp_replace("v0", "^[0-9,]*:", "")).otherwise(F.col("v0"))
+    record = F.concat_ws("/", text, *[F.col(c).cast("string") for c in value[1:]]).alias("record_id")
+    # the rules are constants of this module
+    return broken.join(F.broadcast(known), "key").where(repeated | orphan).select("table_name", "rule", record)
+
+
+def _is_surrogate(reference: tuple) -> bool:
+    child, _, parent, columns = reference
+    return parent in RECORD_ID and len(columns) == 1 and columns[0].endswith("_key")
+
+
+def key_bitmaps(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """column, bucket, keys: which whole numbers occur in each column, a bit per number."""
+    entries = [
+        F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("key"))) for c in columns
+    ]
+    found = df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
+    bucket, position = F.bitmap_bucket_number("e.key"), F.bitmap_bit_position("e.key")
+    return found.groupBy(F.col("e.column").alias("column"), bucket.alias("bucket")).agg(
+        F.bitmap_construct_agg(position).alias("keys")
+    )
+
+
+def surrogate_violations(tables: Tables) -> DataFrame:
+    """References to dimensions by surrogate key that lead nowhere.
+
+    Surrogate keys are dense, so the keys that occur in a fact fit a bitmap no larger than the dimension's: each task
+    sends bits instead of keys. Where a fact has bits that the dimension has not, and only there, the keys are looked at.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    references = [r for r in REFERENCES if r[0] in tables and r[2] in tables and _is_surrogate(r)]
+    child_columns: dict[str, dict[str, str]] = {}
+    for child, (column,), parent, _ in references:
+        child_columns.setdefault(child, {})[column] = parent
+    owners = {parent: key[0] for _, _, parent, key in references}
+    used = union_all(
+        key_bitmaps(tables[child], columns).select(F.lit(child).alias("child"), "column", "bucket", "keys")
+        for child, columns in child_columns.items()
+    )
+    owned = union_all(key_bitmaps(tables[p], [c]).select("column", "bucket", F.col("keys").alias("known")) for p, c in owners.items())
+    # a bitmap is 4 KB for 32,768 keys: written, since both sides are asked again below
+    used = store(used, fresh_folder(spark, "used-keys"))
+    owned = store(owned, fresh_folder(spark, "owned-keys"))
+    either = (
+        used.join(owned, ["column", "bucket"], "left")
+        .select("child", "column", "bucket", F.explode(F.array_compact(F.array("keys", "known"))).alias("keys"), "known")
+        .groupBy("child", "column", "bucket")
+        .agg(F.bitmap_count(F.bitmap_or_agg("keys")).alias("n_either"), F.coalesce(F.bitmap_count(F.first("known")), F.lit(0)).alias("n_known"))
+        .where("n_either > n_known")
+    )
+    found = store(either.select("child", "column", "bucket"), fresh_folder(spark, "unknown-keys"))
+    wrong = found.select("child", "column").distinct().collect()  # one row per reference at most
+    parts = []
+    for child, column in sorted((r["child"], r["column"]) for r in wrong):
+        parent = child_columns[child][column]
+        key = F.col(column).cast("long")
+        here = found.where((F.col("child") == child) & (F.col("column") == column)).select("bucket")
+        keys = tables[child].where(F.col(column).isNotNull()).select(key.alias("key")).distinct()
+        keys = keys.join(here, F.bitmap_bucket_number("key") == F.col("bucket"), "left_semi")
+        unknown = keys.join(tables[parent].select(F.col(column).cast("long").alias("key")), "key", "left_anti")
+        parts.append(
+            unknown.select(F.lit(child).alias("table_name"), F.lit(f"({column}) REFERENCES {parent}").alias("rule"), F.col("key").cast("string").alias("record_id"))
         )
-        children = keys.join(F.broadcast(rules), ["table_name", "key"])
-        parents = keys.select(F.col("table_name").alias("parent"), F.col("key").alias("parent_key"), "value")
-        orphans = children.join(parents, ["parent", "parent_key", "value"], "left_anti")
-        parts.append(orphans.select("table_name", "rule", record))
+    return union_all(parts) if parts else spark.createDataFrame([], VIOLATIONS)
+
+
+def violations(tables: Tables) -> DataFrame:
+    """Every broken rule of the given tables: rules on rows, repeated keys, references that lead nowhere.
+
+    A table is scanned once for its rows, once for its keys, and a fact once more for the bitmaps of its surrogate keys.
+    """
+    parts = [row_violations(n, df) for n, df in tables.items() if n in SOURCES or n in RECORD_ID]
+    parts.append(key_violations(tables))
+    if any(_is_surrogate(r) and r[0] in tables and r[2] in tables for r in REFERENCES):
+        parts.append(surrogate_violations(tables))
     return union_all(parts)

@@ -6,13 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.operators import cleaning, dimensions, facts
 from shelfwise.operators.keys import require_unique
 from shelfwise.operators.staging import stage
-from shelfwise.session import UTC, shared_folder, store
-from shelfwise.sources.linked import union_all
+from shelfwise.session import UTC, shared_folder, store_counted
 from shelfwise.sources.schemas import STAGED
 from shelfwise.sources.star_tables import retail_sources
 
@@ -51,6 +50,7 @@ class Warehouse(Mapping):
         self.history = dict(history or {})
         self._today: facts.SnapshotDay | None = None
         self._written: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
 
     def __iter__(self):
         return iter((*STAGED, *TABLES))
@@ -68,13 +68,19 @@ class Warehouse(Mapping):
         if name not in TABLES:
             raise KeyError(name)
         if name not in self._written:
-            self._write(name, self._build(name))
+            if name == "dim_date":
+                self._write(name, self._build(name), F.count_if("is_new"), "is_new")
+            else:
+                self._write(name, self._build(name))
         return self._written[name]
 
-    def _write(self, name: str, df: DataFrame) -> DataFrame:
+    def _write(self, name: str, df: DataFrame, loaded: Column | None = None, *helpers: str) -> DataFrame:
+        """Write a table without its ``helpers``; the write counts the rows that are ``loaded``, by default all."""
         # A failed attempt may have left files behind.
         folder = self.folder if name in TABLES else self.work
-        self._written[name] = store(df, f"{folder}/{name}", "overwrite")
+        counted = F.count(F.lit(1)) if loaded is None else loaded
+        self._written[name], counts = store_counted(df, f"{folder}/{name}", "overwrite", helpers, rows=counted)
+        self._rows[name] = counts["rows"]
         return self._written[name]
 
     def source(self, name: str) -> DataFrame:
@@ -90,7 +96,8 @@ class Warehouse(Mapping):
         label = f"tagged_{name}"
         if label not in self._written:
             rule, masters = cleaning.RULES[name]
-            self._write(label, rule(self.staged(name), *[self.known(m) for m in masters]))
+            tagged = rule(self.staged(name), *[self.known(m) for m in masters])
+            self._write(label, tagged, F.count_if(F.col(cleaning.REASON).isNull()))
         return self._written[label]
 
     def known(self, name: str) -> DataFrame:
@@ -113,7 +120,8 @@ class Warehouse(Mapping):
 
     def _build(self, name: str) -> DataFrame:
         if name == "dim_date":
-            return self._existing(name).unionByName(self.new_dates())
+            loaded = self._existing(name).withColumn("is_new", F.lit(False))
+            return loaded.unionByName(self.new_dates().withColumn("is_new", F.lit(True)))
         if name in dimensions.DIMENSION_SOURCE:
             return dimensions.upsert(self._existing(name), self[dimensions.DIMENSION_SOURCE[name]], name)
         build, source = facts.FACTS[name]
@@ -138,20 +146,16 @@ class Warehouse(Mapping):
         return facts.snapshot_history(self.spark, {self.date_key: self.snapshot_days()[self.date_key]})
 
     def run_log(self) -> DataFrame:
-        """Rows loaded per step, in load order."""
-        counts = {"dim_date": self["dim_date"].join(self._existing("dim_date"), "date_key", "left_anti")}
-        counts |= {name: self[source] for name, source in dimensions.DIMENSION_SOURCE.items()}
-        counts |= {name: self[name] for name in facts.FACTS}
-        counts["fact_inventory_snapshot"] = self.snapshot_day()
-        return union_all(
-            df.agg(F.count(F.lit(1)).alias("rows_affected")).select(
-                F.lit(i).alias("step_no"),
-                F.lit(name.upper()).alias("step"),
-                "rows_affected",
-                F.lit(self.run.started_at).cast("timestamp").alias("logged_at"),
-            )
-            for i, (name, df) in enumerate(counts.items(), 1)
-        )
+        """Rows loaded per step, in load order, as the writes have counted them; nothing is read again."""
+        counts = {}
+        for name in ("dim_date", *dimensions.DIMENSION_SOURCE, *facts.FACTS):
+            self[name]  # written if it was not yet
+            source = dimensions.DIMENSION_SOURCE.get(name)
+            counts[name] = self._rows[f"tagged_{source}" if source else name]
+        counts["fact_inventory_snapshot"] = self.snapshot_days()[self.date_key].rows
+        steps = [(i, name.upper(), n) for i, (name, n) in enumerate(counts.items(), 1)]
+        logged = self.spark.createDataFrame(steps, "step_no int, step string, rows_affected bigint")
+        return logged.withColumn("logged_at", F.lit(self.run.started_at).cast("timestamp"))
 
 
 def latest_log(log: DataFrame, rows: int = 8) -> DataFrame:

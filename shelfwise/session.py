@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Dates of timestamps do not depend on where a job runs.
 UTC = "UTC"
@@ -50,7 +51,26 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, folder: str):
+    """(file system, path) of a folder as its files are listed: absolute, without dots and repeated slashes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(path)
+
+
 def store(df: DataFrame, path: str, mode: str = "error") -> DataFrame:
     """Write a table and read it back, so later steps start from files that survive lost executors."""
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_counted(
+    df: DataFrame, path: str, mode: str = "error", helpers: Sequence[str] = (), **counts: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write a table without its ``helpers``, read it back, and return aggregates that the write itself has counted.
+
+    The aggregates are taken in the tasks that write, of which each counts once; no scan is added.
+    """
+    seen = Observation()
+    watched = df.observe(seen, *[value.alias(name) for name, value in counts.items()])
+    return store(watched.drop(*helpers), path, mode), seen.get

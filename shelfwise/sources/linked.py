@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.retail import standard_word
+from shelfwise.session import qualified
 from shelfwise.sources.schemas import ORDER_STATUSES, POS_REASONS, POS_STATUSES, RESERVATION_STATUSES, SOURCES
 
 Linked = dict[str, DataFrame]
@@ -26,8 +27,8 @@ def link_folder(spark: SparkSession, folder: str) -> Linked:
         if error.getCondition() == "PATH_NOT_FOUND":
             return {}
         raise
-    root = folder.rstrip("/").split("://")[-1].removeprefix("file:")
-    parts = F.split(F.trim(F.substring_index("path", root, -1), F.lit("/")), "/")
+    root = qualified(spark, folder)[1].toString().rstrip("/") + "/"
+    parts = F.split(F.regexp_replace(F.substr("path", F.lit(len(root) + 1)), "^/+", ""), "/")
     tables = paths.where(F.size(parts) > 2).select(F.concat_ws(".", F.get(parts, F.lit(0)), F.get(parts, F.lit(1))).alias("name")).distinct()
     # one row per table
     names = sorted(row["name"] for row in tables.collect())
