@@ -365,9 +365,13 @@ def _priced(requests: DataFrame, products: DataFrame) -> DataFrame:
     return requests.join(known, "product_id", "left")
 
 
-def _identified(requests: DataFrame) -> DataFrame:
-    """Add ``id_error``: a request without an id of its own cannot be answered, so it is refused."""
-    repeated = duplicated(requests.where(F.col("request_id").isNotNull()), ["request_id"])
+def _identified(requests: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Add ``id_error``: a request without an id of its own cannot be answered, so it is refused.
+
+    ``ids`` are those of all requests that are answered together, if there are more.
+    """
+    together = requests if ids is None else ids
+    repeated = duplicated(together.where(F.col("request_id").isNotNull()), ["request_id"])
     repeated = store(repeated.select("request_id", F.lit(True).alias("repeated")), fresh_folder(requests.sparkSession, "repeated"))
     blank = F.col("request_id").isNull() | (F.btrim("request_id") == "")
     return (
@@ -404,29 +408,44 @@ def next_shared_id(linked: dict[str, DataFrame], table: str, column: str, prefix
     return linked[table].agg(shared_id(prefix, following).alias("next_id")).select(F.lit(table).alias("table_name"), "next_id")
 
 
-def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows: int = SLICE_ROWS) -> dict[str, DataFrame]:
-    """Online orders for one product each: accepted only if the whole quantity can be reserved.
+def expires_at() -> Column:
+    """A hold ends a day after it was asked for."""
+    return F.col("request_ts") + F.expr("INTERVAL 1 DAY")
 
-    Input: request_id, request_ts, customer_id, store_id, product_id, quantity. Ids count up from the
-    highest in use, in request order, over accepted requests only. Output: the rows to append to each
-    source table, the stock afterwards, and for every request either its ``answers`` row or why it was
-    ``refused``. Requests that share an id are all refused, since no answer could be told apart.
-    """
+
+def order_forms(requests: DataFrame, linked: dict[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+    """The requests with price and ``error``: why one is refused whatever the stock, else NULL."""
     spark = requests.sparkSession
     customers = store(known_ids(linked["ecommerce.customer"], "customer_id"), fresh_folder(spark, "known-customers"))
     customers = customers.select(F.col("known_id").alias("customer_id"), F.lit(True).alias("known"))
-    asked = _priced(_identified(requests), linked["inventory.product"]).join(customers, "customer_id", "left")
+    asked = _priced(_identified(requests, ids), linked["inventory.product"]).join(customers, "customer_id", "left")
     error = (
         F.when(F.col("id_error").isNotNull(), F.col("id_error"))
         .when(F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero"))
         .when(F.col("known").isNull(), F.concat(F.lit("Unknown customer "), F.coalesce("customer_id", F.lit("<NULL>"))))
         .when(F.col("unit_price").isNull(), F.concat(F.lit("Unknown product "), F.coalesce("product_id", F.lit("<NULL>"))))
     )
-    asked = store(asked.withColumn("error", error).drop("known", "id_error"), fresh_folder(spark, "orders"))
+    return store(asked.withColumn("error", error).drop("known", "id_error"), fresh_folder(spark, "orders"))
+
+
+def sale_forms(requests: DataFrame, linked: dict[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+    """As ``order_forms`` for till sales, which have no customer."""
+    error = F.when(F.col("id_error").isNotNull(), F.col("id_error")).when(
+        F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero")
+    ).when(F.col("unit_price").isNull(), F.concat(F.lit("Unknown product "), F.coalesce("product_id", F.lit("<NULL>"))))
+    asked = _priced(_identified(requests, ids), linked["inventory.product"]).withColumn("error", error).drop("id_error")
+    return store(asked, fresh_folder(requests.sparkSession, "sales"))
+
+
+def asks(forms: DataFrame, kind: str) -> DataFrame:
+    """The stock requests of valid forms."""
+    valid = forms.where(F.col("error").isNull()).drop("error")
+    return valid.withColumns({"kind": F.lit(kind), "reference": F.col("request_id")})
+
+
+def _orders_of(asked: DataFrame, decided: DataFrame, linked: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows for accepted orders, the answers, what was refused, and the ledger rows."""
     valid = asked.where(F.col("error").isNull()).drop("error")
-    holds = valid.withColumns({"kind": F.lit(RESERVE), "reference": F.col("request_id")})
-    decided = adjudicate(holds, linked["inventory.inventory"], slice_rows=slice_rows)
-    decided = store(decided, fresh_folder(spark, "order-holds"))
     accepted = valid.join(decided.where("success").select("request_id"), "request_id")
     numbered = number_rows(accepted, ORDER, "n")
     numbered = numbered.select(
@@ -461,7 +480,7 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
             "quantity",
             F.lit("ACTIVE").alias("reservation_status"),
             F.col("request_ts").alias("created_at"),
-            (F.col("request_ts") + F.expr("INTERVAL 1 DAY")).alias("expires_at"),
+            expires_at().alias("expires_at"),
             F.lit(None).cast("timestamp_ntz").alias("released_at"),
         ),
         "answers": numbered.select(
@@ -470,28 +489,31 @@ def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
             "reservation_id",
             F.lit("CONFIRMED").alias("order_status"),
             F.lit("ACTIVE").alias("reservation_status"),
+            expires_at().alias("expires_at"),
         ),
         "refused": _refused(asked, decided).unionByName(unserved),
-        "inventory.inventory": stock_after(linked["inventory.inventory"], decided),
         "inventory.inventory_movement": _booked(decided, numbered, "reservation_id"),
     }
 
 
-def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows: int = SLICE_ROWS) -> dict[str, DataFrame]:
-    """Till sales of one product each. Every valid attempt is stored, blocked ones with total 0.00.
+def place_orders(requests: DataFrame, linked: dict[str, DataFrame], slice_rows: int = SLICE_ROWS) -> dict[str, DataFrame]:
+    """Online orders for one product each: accepted only if the whole quantity can be reserved.
 
-    Input: request_id, request_ts, store_id, product_id, quantity. Every request comes back once, in
-    ``answers`` or ``refused``; those that share an id are all refused.
+    Input: request_id, request_ts, customer_id, store_id, product_id, quantity. Ids count up from the
+    highest in use, in request order, over accepted requests only. Output: the rows to append to each
+    source table, the stock afterwards, and for every request either its ``answers`` row or why it was
+    ``refused``. Requests that share an id are all refused, since no answer could be told apart.
     """
-    error = F.when(F.col("id_error").isNotNull(), F.col("id_error")).when(
-        F.col("quantity").isNull() | (F.col("quantity") <= 0), F.lit("Quantity must be greater than zero")
-    ).when(F.col("unit_price").isNull(), F.concat(F.lit("Unknown product "), F.coalesce("product_id", F.lit("<NULL>"))))
-    asked = _priced(_identified(requests), linked["inventory.product"]).withColumn("error", error).drop("id_error")
-    asked = store(asked, fresh_folder(requests.sparkSession, "sales"))
+    asked = order_forms(requests, linked)
+    decided = adjudicate(asks(asked, RESERVE), linked["inventory.inventory"], slice_rows=slice_rows)
+    decided = store(decided, fresh_folder(requests.sparkSession, "order-holds"))
+    stock = stock_after(linked["inventory.inventory"], decided)
+    return {**_orders_of(asked, decided, linked), "inventory.inventory": stock}
+
+
+def _sales_of(asked: DataFrame, decided: DataFrame, linked: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows for all valid attempts, the answers, what was refused, and the ledger rows."""
     valid = asked.where(F.col("error").isNull()).drop("error")
-    sales = valid.withColumns({"kind": F.lit(SELL), "reference": F.col("request_id")})
-    decided = adjudicate(sales, linked["inventory.inventory"], slice_rows=slice_rows)
-    decided = store(decided, fresh_folder(requests.sparkSession, "sale-decisions"))
     answered = decided.where(F.col("error").isNull()).select("request_id", "success", "reason")
     answered = valid.join(answered, "request_id")
     numbered = number_rows(answered, ORDER, "n")
@@ -518,6 +540,34 @@ def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows:
         ),
         "answers": numbered.select("request_id", "transaction_id", "transaction_status", "rejection_reason"),
         "refused": _refused(asked, decided),
-        "inventory.inventory": stock_after(linked["inventory.inventory"], decided),
         "inventory.inventory_movement": _booked(decided, numbered, "transaction_id"),
     }
+
+
+def attempt_sales(requests: DataFrame, linked: dict[str, DataFrame], slice_rows: int = SLICE_ROWS) -> dict[str, DataFrame]:
+    """Till sales of one product each. Every valid attempt is stored, blocked ones with total 0.00.
+
+    Input: request_id, request_ts, store_id, product_id, quantity. Every request comes back once, in
+    ``answers`` or ``refused``; those that share an id are all refused.
+    """
+    asked = sale_forms(requests, linked)
+    decided = adjudicate(asks(asked, SELL), linked["inventory.inventory"], slice_rows=slice_rows)
+    decided = store(decided, fresh_folder(requests.sparkSession, "sale-decisions"))
+    stock = stock_after(linked["inventory.inventory"], decided)
+    return {**_sales_of(asked, decided, linked), "inventory.inventory": stock}
+
+
+def serve_forms(
+    orders: DataFrame, sales: DataFrame, linked: dict[str, DataFrame], slice_rows: int = SLICE_ROWS
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
+    """Orders and till sales that compete for the same stock, served in the order of their times and ids.
+
+    Returns what ``place_orders`` and ``attempt_sales`` return but for the stock, and the decisions on both.
+    """
+    ids = orders.select("request_id").unionByName(sales.select("request_id"))
+    asked_orders, asked_sales = order_forms(orders, linked, ids), sale_forms(sales, linked, ids)
+    both = [asks(asked_orders, RESERVE).select(*REQUEST), asks(asked_sales, SELL).select(*REQUEST)]
+    decided = adjudicate(union_all(both), linked["inventory.inventory"], slice_rows=slice_rows)
+    decided = store(decided, fresh_folder(orders.sparkSession, "form-decisions"))
+    of = lambda kind: decided.where(F.col("kind") == kind)
+    return _orders_of(asked_orders, of(RESERVE), linked), _sales_of(asked_sales, of(SELL), linked), decided
