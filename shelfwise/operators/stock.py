@@ -489,7 +489,6 @@ def _orders_of(asked: DataFrame, decided: DataFrame, linked: dict[str, DataFrame
             "reservation_id",
             F.lit("CONFIRMED").alias("order_status"),
             F.lit("ACTIVE").alias("reservation_status"),
-            expires_at().alias("expires_at"),
         ),
         "refused": _refused(asked, decided).unionByName(unserved),
         "inventory.inventory_movement": _booked(decided, numbered, "reservation_id"),

@@ -307,7 +307,9 @@ def _orders(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame
     placed = stock.place_orders(faulty_ids(requests) if faulty else requests, _request_sources(spark, folder))
     orders = placed["ecommerce.online_order"].select("order_id", "order_total")
     items = placed["ecommerce.order_item"].select("order_id", "product_id", F.col("quantity").cast("double"), "line_amount")
-    accepted = placed["answers"].join(orders, "order_id").join(items, "order_id").withColumn("error", F.lit(None).cast("string"))
+    holds = placed["ecommerce.reservation"].select("reservation_id", "expires_at")
+    accepted = placed["answers"].join(holds, "reservation_id").join(orders, "order_id").join(items, "order_id")
+    accepted = accepted.withColumn("error", F.lit(None).cast("string"))
     return _plain(accepted.unionByName(placed["refused"], allowMissingColumns=True))
 
 

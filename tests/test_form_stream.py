@@ -60,7 +60,7 @@ def walk(batches):
 
 def found(spark, out):
     table = lambda name: form_stream.stored(spark, out, name)
-    orders = table("ecommerce.online_order").join(table("order_answers").drop("order_status", "expires_at", "version"), "order_id")
+    orders = table("ecommerce.online_order").join(table("order_answers").drop("order_status", "version"), "order_id")
     orders = orders.join(table("ecommerce.order_item").drop("version"), "order_id").select(
         "request_id", "order_id", "product_id", "fulfilment_store_id", "quantity", "created_at"
     )
