@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from shelfwise.functions.retail import available_to_sell, pos_reason, pos_status, shared_id, standard_word
-from shelfwise.operators import cleaning, dimensions, facts, stock
+from shelfwise.operators import cleaning, day_counts, dimensions, facts, stock
 from shelfwise.operators.staging import stage_all
 from shelfwise.plans import quality, reports
 from shelfwise.plans.warehouse import SAMPLE_RUN, Warehouse, latest_log, sample_warehouse
@@ -356,6 +356,11 @@ def _fact(name: str) -> Query:
     return _on_warehouse(lambda dw: dw[name].drop(dw[name].columns[0]))
 
 
+def _from_days(dw: Warehouse) -> DataFrame:
+    days = store(day_counts.day_counts(*[dw[name] for name in facts.FACTS]), fresh_folder(dw.spark, "day-counts"))
+    return reports.omnichannel_from_days(dw["dim_store"], days)
+
+
 def _run_log(dw: Warehouse) -> DataFrame:
     """The last entries of a kept log: here of two runs, of which the later one answers."""
     path = fresh_folder(dw.spark, "run-log")
@@ -405,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "report_inventory": _on_warehouse(reports.inventory_availability),
     "report_conflicts": _on_warehouse(reports.pos_conflicts),
     "report_omnichannel": _on_warehouse(reports.omnichannel_performance),
+    "omnichannel_from_days": _on_warehouse(_from_days),
     "pos_summary": _on_warehouse(reports.pos_summary),
     "orders_per_store": _on_warehouse(reports.orders_per_store),
     "reservation_summary": _on_warehouse(reports.reservation_summary),

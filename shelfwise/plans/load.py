@@ -16,10 +16,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from shelfwise.operators import facts
+from shelfwise.operators import day_counts, facts
 from shelfwise.operators.dimensions import DIMENSION_SOURCE
 from shelfwise.operators.facts import FACTS
-from shelfwise.plans import manifest, quality
+from shelfwise.plans import manifest, quality, reports
 from shelfwise.plans.warehouse import Run, Warehouse
 from shelfwise.session import UTC, build_session, fresh_folder, store
 from shelfwise.sources.linked import bad_status, contract_check, link_folder
@@ -56,6 +56,13 @@ class Published:
         """The snapshot from one date to another, both included; no folder of another date is listed."""
         return facts.snapshot_history(self.spark, self.snapshot_days(), first, last)
 
+    def omnichannel(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """Performance per store from one date to another, from the counts per day."""
+        days = self["day_counts"]
+        for day, within in ((first, lambda k: F.col("date_key") >= k), (last, lambda k: F.col("date_key") <= k)):
+            days = days.where(within(int(f"{day:%Y%m%d}"))) if day else days
+        return reports.omnichannel_from_days(self["dim_store"], days)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name == "fact_inventory_snapshot":
             return self.snapshot()
@@ -91,6 +98,10 @@ def run(spark: SparkSession, linked: Mapping[str, DataFrame], out: str, run: Run
     if broken:
         raise LoadError(f"not published, broken constraints: {broken}")
 
+    # in order of days, so that a report over some days reads the files of these
+    days = day_counts.day_counts(*[dw[name] for name in FACTS])
+    store(days.repartitionByRange("date_key").sortWithinPartitions("date_key", "store_key"), f"{folder}/day_counts")
+
     checks = store(quality.qa_checks(dw, dw.linked), f"{folder}/qa_checks")
     store(quality.qa_scoreboard(checks), f"{folder}/qa_scoreboard")
     steps = dw.run_log().withColumn("run_id", F.lit(version) * 100 + F.col("step_no"))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.retail import is_last_unit_conflict, stock_condition
+from shelfwise.operators import day_counts
 from shelfwise.sources.linked import row_counts
 
 Tables = Mapping[str, DataFrame]
@@ -90,6 +91,22 @@ def omnichannel_performance(dw: Tables) -> DataFrame:
     return joined.select("store_name", *[zero(c) for c in counts], zero("pos_revenue")).orderBy("store_name")
 
 
+def omnichannel_from_days(stores: DataFrame, days: DataFrame) -> DataFrame:
+    """``omnichannel_performance`` of the days whose counts are given, without reading a fact."""
+    counts = (
+        "completed_pos_sales", "online_orders", "reservations", "active_reservations", "collected_reservations",
+        "cancelled_reservations", "expired_reservations",
+    )
+    value = lambda n: F.coalesce(F.max(F.when(F.col("figure") == n, F.col("value"))), F.lit(0)).alias(n)
+    figures = day_counts.merged(days).groupBy("store_key").agg(*[value(n) for n in (*counts, "pos_revenue")])
+    zero = lambda n: F.coalesce(F.col(n), F.lit(0))
+    return (
+        stores.join(figures, "store_key", "left")
+        .select("store_name", *[zero(n).cast("long").alias(n) for n in counts], zero("pos_revenue").cast("decimal(38,2)").alias("pos_revenue"))
+        .orderBy("store_name")
+    )
+
+
 def last_unit_conflicts(dw: Tables) -> DataFrame:
     """Pairs whose last physical stock is fully held, with their holds and blocked sales."""
     holds = (
