@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfwise.llm.license_texts import NAMED, SENTENCES, TEXTS
+from shelfwise.llm.mixing import CLOSE
 
 
 def _text(value: str) -> str:
@@ -63,32 +64,17 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)"""
 
 
-def _closing(rounds: int) -> str:
-    """The documents that close the gap, one per round: nearest to what is left, then of least rank."""
-    parts = ["left0 AS (SELECT source, wanted - reached AS gap FROM cuts)"]
-    chosen = ["SELECT source, rank, size FROM ranked WHERE FALSE"]
-    for k in range(rounds):
-        parts.append(
-            f"best{k} AS (SELECT r.source, min((abs(size - gap), rank, size)) AS b FROM ranked r JOIN left{k} l "
-            f"ON l.source IS NOT DISTINCT FROM r.source JOIN cuts c ON c.source IS NOT DISTINCT FROM r.source "
-            f"WHERE rank > cut AND abs(size - gap) < gap AND NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(chosen)}) x "
-            f"WHERE x.source IS NOT DISTINCT FROM r.source AND x.rank = r.rank) GROUP BY r.source)"
-        )
-        parts.append(f"closed{k} AS (SELECT source, b[2] AS rank, b[3] AS size FROM best{k})")
-        parts.append(
-            f"left{k + 1} AS (SELECT l.source, gap - coalesce(size, 0) AS gap FROM left{k} l LEFT JOIN closed{k} c "
-            f"ON c.source IS NOT DISTINCT FROM l.source)"
-        )
-        chosen.append(f"SELECT source, rank, size FROM closed{k}")
-    return ",\n".join(parts) + f",\nclosing AS ({' UNION ALL '.join(chosen)})"
-
-
 _MIX = rf"""
-WITH docs AS (
+WITH RECURSIVE named AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-           (CAST('0x' || substr(md5(concat_ws('|', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), text)), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+           md5(concat_ws('|', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), text)) AS digest,
+           row_number() OVER (PARTITION BY doc_id, text, source) - 1 AS nth FROM documents
+),
+docs AS (
+    SELECT doc_id, source, size, floor(sqrt(size::DOUBLE)) AS liking, row_number() OVER () AS row,
+           (CAST('0x' || substr(CASE WHEN nth = 0 THEN digest ELSE md5(digest || '|' || nth) END, 1, 13) AS BIGINT) + 0.5::DOUBLE)
            / 4503599627370496::DOUBLE AS u
-    FROM documents
+    FROM named
 ),
 sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -98,38 +84,44 @@ sources AS (
 sorted AS (
     SELECT *, 3.0::DOUBLE * source_size AS most, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source) AS k FROM sources
 ),
-levels AS (
+shares AS (
     SELECT k, most, weight,
            ((SELECT sum(source_size) FROM sources)::DOUBLE - coalesce(sum(most) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
            / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM sorted
 ),
-water AS (SELECT level FROM levels WHERE weight * level < most ORDER BY k LIMIT 1),
+water AS (SELECT level FROM shares WHERE weight * level < most ORDER BY k LIMIT 1),
 plan AS (
-    SELECT source, source_size, CASE WHEN weight * coalesce((SELECT level FROM water), 1e308) >= most THEN most
-                                     ELSE weight * (SELECT level FROM water) END AS target FROM sorted
+    SELECT source, source_size, k, CASE WHEN weight * coalesce((SELECT level FROM water), 1e308) >= most THEN most
+                                        ELSE weight * (SELECT level FROM water) END AS target FROM sorted
 ),
-parts AS (
-    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS copies,
-           CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS p FROM plan
+-- inside a source, in the same way, the documents liked most reach three copies first
+liked AS (SELECT k, target, liking, CAST(sum(size) AS BIGINT) AS words FROM docs d JOIN plan s ON d.source IS NOT DISTINCT FROM s.source WHERE size > 0 GROUP BY ALL),
+tried AS (
+    SELECT k, liking, (target - 3.0::DOUBLE * coalesce(sum(words) OVER (PARTITION BY k ORDER BY liking DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+           / (sum(CAST(words * liking AS BIGINT)) OVER (PARTITION BY k ORDER BY liking DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM liked
 ),
-ranked AS (
-    SELECT d.source, size, target - copies * source_size AS wanted, u / (1 - u) / (p / (1 - p)) AS rank
-    FROM docs d JOIN parts s ON d.source IS NOT DISTINCT FROM s.source WHERE size > 0 AND p > 0
+levels AS (SELECT k, arg_max(level, liking) AS level FROM tried WHERE level * liking < 3 GROUP BY k),
+wanted AS (
+    SELECT d.*, s.source_size, s.target, s.k, CASE WHEN size > 0 THEN coalesce(least(3.0::DOUBLE, level * liking), 3.0::DOUBLE) ELSE 0 END AS e
+    FROM docs d JOIN plan s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN levels USING (k)
 ),
-summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank) AS reached FROM ranked),
-cuts AS (
-    SELECT source, first(wanted) AS wanted, coalesce(max(rank) FILTER (reached <= wanted), -1) AS cut,
-           coalesce(max(reached) FILTER (reached <= wanted), 0) AS reached FROM summed GROUP BY source
+gaps AS (SELECT k, target, target - CAST(sum(floor(e) * size) AS BIGINT) AS gap FROM wanted GROUP BY k, target),
+line AS (
+    SELECT k, row, size, row_number() OVER (PARTITION BY k ORDER BY u / (1 - u) / ((e - floor(e)) / (1 - (e - floor(e))))) AS i
+    FROM wanted WHERE e > floor(e)
 ),
-{_closing(3)},
-marked AS (
-    SELECT doc_id, d.source, size, source_size, target, copies, p, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS rank
-    FROM docs d JOIN parts s ON d.source IS NOT DISTINCT FROM s.source
-)
-SELECT doc_id, m.size, source_size, target,
-       CAST(m.size * (copies + CASE WHEN m.size > 0 AND (m.rank <= cut OR x.rank IS NOT NULL) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM marked m LEFT JOIN cuts c ON c.source IS NOT DISTINCT FROM m.source
-LEFT JOIN closing x ON x.source IS NOT DISTINCT FROM m.source AND x.rank = m.rank"""
+-- one after the other: what fits is taken; what would have fitted when the round began ends the round
+walk (k, i, row, most, gap, target, took, done) AS (
+    SELECT k, 0, NULL::BIGINT, gap, gap, target, FALSE, gap < 1 OR gap <= {CLOSE} * target FROM gaps
+    UNION ALL
+    SELECT w.k, l.i, l.row, CASE WHEN size <= w.most AND size > w.gap THEN w.gap ELSE w.most END,
+           CASE WHEN size <= w.most AND size <= w.gap THEN w.gap - size ELSE w.gap END, target, size <= w.most AND size <= w.gap,
+           size <= w.most AND size > w.gap AND (w.gap < 1 OR w.gap <= {CLOSE} * target)
+    FROM walk w JOIN line l ON l.k = w.k AND l.i = w.i + 1 WHERE NOT done
+),
+took AS (SELECT row FROM walk WHERE took)
+SELECT doc_id, size, source_size, target, CAST(size * (floor(e) + CASE WHEN t.row IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
+FROM wanted w LEFT JOIN took t ON t.row = w.row"""
 
 # marks around a turn hold 12 + 1 + 11 characters
 _CHAT = """

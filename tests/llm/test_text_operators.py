@@ -70,6 +70,48 @@ def test_draws_are_fair(spark):
     assert copies == {("b", 2): 500, ("a", 1): 1000, ("a", 0): 500}
 
 
+def near(spark, rows, **options):
+    """taken and target per source."""
+    got = mixing.mix(samples.documents(spark, rows), **options).groupBy("doc.source").agg(
+        F.first("mix.target").alias("target"), F.sum(F.col("mix.size") * F.col("mix.copies")).alias("taken"), F.max("mix.copies").alias("most")
+    )
+    return {r.source: (r.taken, r.target, r.most) for r in got.collect()}
+
+
+@pytest.mark.parametrize("salt", ["mix", "s6", "s2"])
+def test_repeated_rows_draw_each_for_itself(spark, salt):
+    """Five hundred equal rows are no block that is taken or left as a whole."""
+    rows = [(None if i % 2 else 7, " ".join(["word"] * 30), "a") for i in range(500)]
+    rows += [(i, samples.prose(i, 100), "a") for i in range(300)] + [(1000 + i, samples.prose(i, 100), "b") for i in range(350)]
+    for taken, target, most in near(spark, rows, salt=salt).values():
+        assert abs(taken - target) <= 0.002 * target and most <= 3
+
+
+def test_a_long_document_is_passed_over(spark):
+    """However the ranks fall, a document that does not fit leaves its words to shorter ones."""
+    for seed in range(4):
+        rows = [(i, samples.prose(i, 40), "a") for i in range(300)] + [(900 + seed, samples.prose(9, 6000), "a"), (950, samples.prose(8, 900), "a")]
+        rows += [(1000 + i, samples.prose(i, 100), "b") for i in range(300)]
+        for taken, target, _ in near(spark, rows, weights=(1.0, 2.5)).values():
+            assert abs(taken - target) <= 40
+
+
+def test_inclusion_probabilities_are_unequal(spark):
+    """Long documents are wanted more often, in proportion to the root of their length; the order of the draws alone
+    would not tell them apart."""
+    rows = [(i, "w " * (25 if i % 2 else 400), "a") for i in range(2000)] + [(5000, "w " * 900_000, "b")]
+    got = mixing.mix(samples.documents(spark, rows), weights=(1.0, 3.0)).where("doc.source = 'a'").collect()
+    copies = collections.Counter()
+    for r in got:
+        copies[r.mix.size] += r.mix.copies
+    assert copies[400] / copies[25] == pytest.approx(4, rel=0.1)
+    draws = samples.documents(spark, rows).select("doc_id", mixing.draw(mixing.digest("mix"), F.lit(0)).alias("u")).collect()
+    u = {r.doc_id: r.u for r in draws}
+    taken = [u[r.doc.doc_id] for r in got if r.mix.copies]
+    left = [u[r.doc.doc_id] for r in got if not r.mix.copies]
+    assert max(taken) > min(left)
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.mix(no_docs).count() == 0
 
