@@ -1,11 +1,11 @@
 """Mixes sources to target weights by Pareto order sampling.
 
 Sources share the words of the mix by weight; none gets more than a number of times its own words, and what
-it cannot use goes to the others. Inside a source a document is wanted in proportion to the square root of its length,
-and at most that number of times, so that the words of all come to the target. The whole part of this number are
-copies it gets for certain; the fraction is its probability of one more. These unequal probabilities are
-served by a sample without replacement: documents rank by random odds over inclusion odds, u/(1-u) / (p/(1-p)), and
-the sample takes them in this order until its size, in words, is reached.
+it cannot use goes to the others. A source whose target is r times its words gives floor(r) whole copies of each
+document for certain. The words that are missing then come from a sample without replacement of one more copy, in which
+a document's inclusion probability is in proportion to the square root of its length, up to one: long documents are a
+little likelier. Documents rank by random odds over inclusion odds, u/(1-u) / (p/(1-p)), and the sample takes them
+in this order until its size, in words, is reached.
 
 A document that does not fit into what is left is passed over, and the sample goes on behind it with those that fit,
 round by round, until less than ``CLOSE`` of the target is missing or nothing fits. So a long document at the end of a
@@ -100,26 +100,28 @@ def targets(sources: DataFrame, weights: Sequence[float], most_copies: float) ->
     )
 
 
-def expected(size: Column, level: Column, most_copies: float) -> Column:
-    """How often a document is wanted, given its source's level; null is a source that is wanted as often as it may be."""
-    wanted = F.coalesce(F.least(F.lit(float(most_copies)), level * liking(size)), F.lit(float(most_copies)))
-    return F.when(size > 0, wanted).otherwise(F.lit(0.0))
+def expected(size: Column, certain: Column, level: Column) -> Column:
+    """How often a document is wanted: the certain copies of its source, and its probability of one more."""
+    return F.when(size > 0, certain + F.coalesce(F.least(F.lit(1.0), level * liking(size)), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
-def levels(classes: DataFrame, by_source: DataFrame, most_copies: float) -> DataFrame:
-    """source, source_size, target -> also ``level``: times the liking, capped, the words come to the target.
+def levels(classes: DataFrame, by_source: DataFrame) -> DataFrame:
+    """source, source_size, target -> also ``certain`` copies and ``level``: times the liking, up to one, it gives
+    probabilities with which the words come to the target.
 
-    Documents liked most reach the cap first. A source has few different likings, whatever its size.
+    Documents liked most reach one first. A source has few different likings, whatever its size.
     """
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    by_source = by_source.withColumn("certain", whole.cast("long"))
+    rest_of = (F.col("target") - F.col("certain") * F.col("source_size")).alias("missing")
     liked = classes.where("size > 0").groupBy("source", liking(F.col("size")).alias("liking"))
     liked = liked.agg(F.sum(F.col("size") * F.col("n")).alias("words"))
-    wide = liked.join(by_source.select(F.col("source").alias("_source"), "target"), F.col("source").eqNullSafe(F.col("_source")))
+    wide = liked.join(by_source.select(F.col("source").alias("_source"), rest_of), F.col("source").eqNullSafe(F.col("_source")))
     before = Window.partitionBy("source").orderBy(F.col("liking").desc()).rowsBetween(Window.unboundedPreceding, -1)
     onward = Window.partitionBy("source").orderBy(F.col("liking").desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     capped = F.coalesce(F.sum("words").over(before), F.lit(0))
     rest = F.sum(F.col("words") * F.col("liking")).over(onward)
-    level = (F.col("target") - F.lit(float(most_copies)) * capped) / rest
-    fits = wide.withColumn("level", level).where(F.col("level") * F.col("liking") < most_copies)
+    fits = wide.withColumn("level", (F.col("missing") - capped) / rest).where(F.col("level") * F.col("liking") < 1)
     found = fits.groupBy(F.col("source").alias("_source")).agg(F.max_by("level", "liking").alias("level"))
     return by_source.join(found, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 
@@ -156,20 +158,20 @@ def plan(classes: DataFrame, weights: Sequence[float], most_copies: float, repea
     n_docs = sums.agg(F.sum("n_docs")).first()[0] or 0
     bins = min(MOST_BINS, max(LEAST_BINS, 1 << math.ceil(math.log2(math.sqrt(n_docs) + 1))))
     by_source = store(targets(sums.drop("n_docs"), weights, most_copies), fresh_folder(spark, "mix-targets"))
-    by_source = store(levels(classes, by_source, most_copies), fresh_folder(spark, "mix-levels"))
-    level = by_source.select(F.col("source").alias("_source"), "level")
-    wanted = expected(F.col("size"), F.col("level"), most_copies)
+    by_source = store(levels(classes, by_source), fresh_folder(spark, "mix-levels"))
+    level = by_source.select(F.col("source").alias("_source"), "certain", "level")
+    wanted = expected(F.col("size"), F.col("certain"), F.col("level"))
     wide = classes.join(level, F.col("source").eqNullSafe(F.col("_source"))).withColumn("wanted", wanted)
-    certain = wide.groupBy(F.col("source").alias("_source")).agg(F.sum(F.floor("wanted") * F.col("size") * F.col("n")).alias("certain"))
+    given = wide.groupBy(F.col("source").alias("_source")).agg(F.sum(F.floor("wanted") * F.col("size") * F.col("n")).alias("given"))
     p = F.col("wanted") - F.floor("wanted")
     drawn = _listed(wide.withColumn("p", p).where("p > 0").select("digest", "source", "size", "n", "p"), repeated)
     ranked = drawn.select("source", "size", rank(draw(F.col("digest"), F.col("nth")), F.col("p")).alias("rank"))
     ranked = store(ranked.withColumn("bin", bin_of(F.col("rank"), bins)), fresh_folder(spark, "mix-ranked"))
-    gaps = by_source.join(certain, F.col("source").eqNullSafe(F.col("_source"))).select(
+    gaps = by_source.join(given, F.col("source").eqNullSafe(F.col("_source"))).select(
         "_source",
         (F.lit(CLOSE) * F.col("target")).alias("enough"),
         F.lit(-1.0).alias("low"),
-        (F.col("target") - F.col("certain")).alias("gap"),
+        (F.col("target") - F.col("given")).alias("gap"),
     )
     rounds = _rounds(ranked, store(gaps, fresh_folder(spark, "mix-gaps")), bins)
     taken = rounds.groupBy("_source").agg(F.collect_list(F.struct("low", "high", "most")).alias("rounds"))
@@ -259,7 +261,7 @@ def mix(
     by_source = plan(classes, weights, most_copies, some).select(F.struct("*").alias("plan"))
     rows = numbered(docs, salt, repeated if some else None).withColumn("size", size("doc.text"))
     wide = rows.join(by_source, F.col("doc.source").eqNullSafe(F.col("plan.source")), "left")
-    wide = wide.withColumn("wanted", expected(F.col("size"), F.col("plan.level"), most_copies))
+    wide = wide.withColumn("wanted", expected(F.col("size"), F.col("plan.certain"), F.col("plan.level")))
     p = F.col("wanted") - F.floor("wanted")
     wide = wide.withColumn("rank", F.when(p > 0, rank(draw(F.col("digest"), F.col("nth")), p)))
     taken = F.exists(

@@ -94,16 +94,20 @@ plan AS (
     SELECT source, source_size, k, CASE WHEN weight * coalesce((SELECT level FROM water), 1e308) >= most THEN most
                                         ELSE weight * (SELECT level FROM water) END AS target FROM sorted
 ),
--- inside a source, in the same way, the documents liked most reach three copies first
-liked AS (SELECT k, target, liking, CAST(sum(size) AS BIGINT) AS words FROM docs d JOIN plan s ON d.source IS NOT DISTINCT FROM s.source WHERE size > 0 GROUP BY ALL),
+parts AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS certain FROM plan),
+-- inside a source the documents liked most reach a probability of one first
+liked AS (
+    SELECT k, target - certain * source_size AS missing, liking, CAST(sum(size) AS BIGINT) AS words
+    FROM docs d JOIN parts s ON d.source IS NOT DISTINCT FROM s.source WHERE size > 0 GROUP BY k, missing, liking
+),
 tried AS (
-    SELECT k, liking, (target - 3.0::DOUBLE * coalesce(sum(words) OVER (PARTITION BY k ORDER BY liking DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    SELECT k, liking, (missing - coalesce(sum(words) OVER (PARTITION BY k ORDER BY liking DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
            / (sum(CAST(words * liking AS BIGINT)) OVER (PARTITION BY k ORDER BY liking DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM liked
 ),
-levels AS (SELECT k, arg_max(level, liking) AS level FROM tried WHERE level * liking < 3 GROUP BY k),
+levels AS (SELECT k, arg_max(level, liking) AS level FROM tried WHERE level * liking < 1 GROUP BY k),
 wanted AS (
-    SELECT d.*, s.source_size, s.target, s.k, CASE WHEN size > 0 THEN coalesce(least(3.0::DOUBLE, level * liking), 3.0::DOUBLE) ELSE 0 END AS e
-    FROM docs d JOIN plan s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN levels USING (k)
+    SELECT d.*, s.source_size, s.target, s.k, CASE WHEN size > 0 THEN certain + coalesce(least(1.0::DOUBLE, level * liking), 0) ELSE 0 END AS e
+    FROM docs d JOIN parts s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN levels USING (k)
 ),
 gaps AS (SELECT k, target, target - CAST(sum(floor(e) * size) AS BIGINT) AS gap FROM wanted GROUP BY k, target),
 line AS (
