@@ -11,8 +11,8 @@ turn or open another, and reading back gives the same text.
 
 Cases: a null text is empty, a null role an empty role; a null tree id is a tree of its own; a parent that is not
 there, or a null one, makes a root; a null score counts as 0; equal scores rank by message id; messages in a circle
-have no root and are left out; rows of a turn table that repeat are turns of their own; an empty table gives no
-rows; further columns do not matter.
+have no root and are left out; rows of a turn table that repeat are turns of their own; very long texts are formatted
+whole, a conversation is one row; an empty table gives no rows; further columns do not matter.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ buckets grow in number with the text, not in size. Scoring tasks map the arrays
 never passes the driver, which holds the discounts and a few totals.
 
 Cases: a null or empty text is its end token alone; a null doc_id counts as an empty one; repeated rows count and
-are scored each; without training text every word is unknown and all orders fall back to the uniform distribution; an
+are scored each; tokens with equal counts need no order; without training text every word is unknown and all orders fall back to the uniform distribution; an
 empty table gives no rows; texts of any length are read whole; further columns do not matter.
 """
 

@@ -6,7 +6,8 @@ lines as a text of its own, since a sentence that names a licence stands on a li
 
 Cases: a null or empty text, and one of copyright statements alone, has no digest and matches nothing; a null doc_id is
 carried; rows equal in doc_id and text share their notices; a licence that is known under several texts, or
-twice, is named once, the least id where digests are equal; an empty table gives no rows; further columns do not matter.
+twice, is named once, the least id where digests are equal; very long texts are canonicalised whole and line by line;
+an empty table gives no rows; further columns do not matter.
 """
 
 from __future__ import annotations

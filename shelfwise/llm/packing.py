@@ -6,7 +6,8 @@ planned, longest pieces first, each into the emptiest pack that takes it, as pat
 find their place by the rank among pieces of their length.
 
 Cases: a null or empty text is its end id alone; a null doc_id is carried; rows that repeat are packed
-each by itself; an empty table gives no rows; further columns of the input are not read.
+each by itself; a very long text is as many pieces as it needs; equal lengths take their places in the order of tasks and
+rows; an empty table gives no rows; further columns of the input are not read.
 """
 
 from __future__ import annotations

@@ -11,8 +11,8 @@ answers with the links of a spanning forest, not with all pairs. Shards that hol
 near copies of one text do, are cut into blocks that are searched side by side.
 
 Cases: a null or empty text has no words and the fingerprint zero, which links like any other; a null doc_id
-counts only if a component has no other id; repeated rows share a fingerprint; an empty table gives no rows;
-further columns do not matter.
+counts only if a component has no other id; repeated rows share a fingerprint; a bit that is set in exactly half of
+the hashes is 0; very long texts are read whole; an empty table gives no rows; further columns do not matter.
 """
 
 from __future__ import annotations

@@ -5,8 +5,8 @@ run-length encoded, row groups carry min/max indexes, and doc_id a Bloom filter,
 stripes side by side and skip those that cannot hold a document.
 
 Cases: a null or empty text is its end id alone; a null doc_id comes first; rows with equal doc_id
-follow in the order of their text's hash; an empty table gives files without rows; further columns of
-the input are not read.
+follow in the order of their text's hash; a very long text is one row with all its ids; an empty table gives files
+without rows; further columns of the input are not read.
 """
 
 from __future__ import annotations
