@@ -1,8 +1,9 @@
 """Corpus preparation: quality rules, spread lines, near copies, mixture, packing.
 
 Each stage takes the rows its predecessor kept, with all columns of ``documents``; the last returns the pieces of the
-packed sequences with their token ids. Stages handle null and repeated rows as their operators state; an empty table
-stays empty. SQL cannot express compression, fingerprints and tokenizers, so tests compare with brute force.
+packed sequences with their token ids. Stages handle nulls, ties and repeated rows as their operators state; very long
+texts go through whole; an empty table stays empty; further columns, whatever their names, are kept up to the last stage.
+SQL cannot express compression, fingerprints and tokenizers, so tests compare with brute force.
 """
 
 from __future__ import annotations
