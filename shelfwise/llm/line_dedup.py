@@ -10,8 +10,8 @@ Lines are compared with blanks at both ends taken off; lines without letters or
 Cases: a null text stays null, an empty one empty; a null source is a site of its own; a null doc_id comes after
 all others; rows equal in doc_id and text share the first occurrence, so each of them keeps it; an empty table
 gives no rows; further columns, whatever their names, pass through. A text that loses all its lines stays as an
-empty text. A very long text is cut into lines whole, however many it has; a line on several sites equally often goes
-by its first occurrence, in order of doc_id and place.
+empty text. A very long text is cut into lines whole, however many it has; of a line's occurrences in rows with one
+doc_id the first place counts.
 """
 
 from __future__ import annotations
