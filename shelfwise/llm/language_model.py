@@ -1,10 +1,12 @@
-"""Interpolated modified Kneser-Ney n-gram model, counted in Spark and memory-mapped by the scoring tasks.
-
-Words are known by 64-bit hashes, n-grams by hashes chained from them. Tasks count the n-grams of a few million
-tokens, sort them and deal them out by the leading bits of the hash; the groups of a bucket are merged, the
-counts written as one sorted array per bucket, and the next lower order's continuation counts and the totals of
-the contexts handed on as partial counts. A frequent word or n-gram is one entry per task, so no bucket is hot, and
-buckets grow in number with the text, not in size. Scoring tasks map the arrays and look up sorted keys; the model
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark and memory-mapped by the tasks.
+
+Words are counted first, dealt out by the leading bits of their 64-bit hashes and numbered, frequent ones low, by their
+rank and their bucket. Then tasks count the n-grams of a few million tokens as word numbers, sort them and deal them
+out by the leading bits of the hash of all numbers; the groups of a bucket are merged, the counts written as one sorted
+array per bucket, and the next lower order's continuation counts and the totals of the contexts handed on as partial
+counts. Sorted numbers take some 4 bytes an n-gram when compressed. N-grams that begin with a begin mark count
+continuations below the highest order, as all others do. A frequent word or n-gram is one entry per task, so no bucket
+is hot, and buckets grow in number with the text, not in size. Tasks map the arrays and look up sorted keys; the model
 never passes the driver, which holds the discounts and a few totals.
 
 Cases: a null or empty text is its end token alone; a null doc_id counts as an empty one; repeated rows count and
@@ -17,25 +19,29 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.llm.shared_files import mapped, write_once
-from shelfwise.session import fresh_folder, store
+from shelfwise.llm import hash_arrays
+from shelfwise.session import fresh_folder
 
 # Words of the longest n-grams.
 ORDER = 3
-# Tokens counted before they are dealt out, and scored at a time.
-COUNTED, SCORED = 2_000_000, 500_000
+# Tokens counted before they are dealt out, and scored at a time; a worker takes some 150 bytes a token.
+COUNTED, SCORED = 1_000_000, 500_000
 # Training bytes for which one more bucket is taken.
 BUCKET_BYTES = 12 << 20
 SEED = 0
 # No word holds white space.
 END, BEGIN = b"\n", b"\n\n"
+# Numbers of the begin mark and of words that are not in the training text; those of other words follow.
+BEGIN_NUMBER, UNKNOWN, FIRST = 0, 1, 2
 # Discounts where too few n-grams are seen once to four times to estimate them.
 DEFAULT_DISCOUNTS = (0.5, 1.0, 1.5)
 
-_DEALT = "level string, bucket int, keys binary, counts binary"
+_DEALT = "level string, bucket int, data binary"
+_NAMES = ["level", "bucket", "data"]
 
 
 def _digest(word: bytes):
@@ -70,102 +76,230 @@ def chained(context, word):
 
 
 def whole(columns):
-    """Hash of the n-grams whose words are the columns."""
-    found = columns[0]
-    for word in columns[1:]:
-        found = chained(found, word)
+    """Hash of the n-grams whose word numbers are the columns."""
+    import numpy as np
+
+    found = np.zeros(len(columns[0]), dtype=np.uint64)
+    for word in columns:
+        found = chained(found, word.astype(np.uint64))
     return found
 
 
 def summed(keys, *values):
-    """Distinct keys in order, the first place of each, and the sums of each value over equal keys."""
+    """Distinct keys in order, a place of each, and the sums of each value over equal keys."""
     import numpy as np
 
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else order
-    return ordered[starts], order[starts], [np.add.reduceat(v[order], starts) if len(keys) else v for v in values]
+    return ordered[starts], order[starts], [np.add.reduceat(v[order], starts, dtype=np.int64) if len(keys) else v for v in values]
 
 
-def narrow(counts: list) -> bytes:
-    """Columns one after another, as unsigned 32-bit numbers if all fit, else 64-bit ones."""
+def joint(columns: list, base: int):
+    """One number per row of columns below ``base``, in the order of the rows."""
     import numpy as np
 
-    wide = any(len(c) and c.max() >= 1 << 32 for c in counts)
-    return np.concatenate(counts).astype("<u8" if wide else "<u4").tobytes()
+    found, most = columns[0].astype(np.uint64), base
+    for column in columns[1:]:
+        if most * base >= 1 << 64:
+            distinct, back = np.unique(found, return_inverse=True)
+            found, most = back.astype(np.uint64), len(distinct)
+        found, most = found * np.uint64(base) + column.astype(np.uint64), most * base
+    return found
+
 
+def distinct_rows(columns: list, base: int) -> tuple[list, Any]:
+    """Distinct rows of columns below ``base``, in order, and how often each occurs."""
+    import numpy as np
 
-def widened(data, values: int, n: int):
-    """The columns again; the length tells their width."""
+    key = joint(columns, base)
+    if base ** len(columns) >= 1 << 64:
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        return [c[first] for c in columns], n
+    key, n = np.unique(key, return_counts=True)
+    found = []
+    for _ in columns:
+        rest = key // np.uint64(base)
+        found.append((key - rest * np.uint64(base)).astype(np.uint32 if base <= 1 << 32 else np.uint64))
+        key = rest
+    return found[::-1], n
+
+
+def steps(ascending):
+    """Differences of neighbours, the first from 0."""
     import numpy as np
 
-    return np.frombuffer(data, dtype="<u4" if len(data) == 4 * n * values else "<u8").reshape(values, n).astype(np.int64)
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
 
 
-def deal(level: str, bits: int, key, columns, counts) -> Iterator[tuple]:
-    """Rows (level, bucket, keys, counts); keys and counts hold their columns one after another."""
+def packed(columns: list) -> bytes:
+    """Columns of unsigned numbers, equal bytes of a column's numbers together, compressed."""
     import numpy as np
+    import zstandard
 
-    buckets = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), dtype=np.int64)
-    order = np.lexsort((columns[0], buckets))
-    ends = np.searchsorted(buckets[order], np.arange((1 << bits) + 1))
-    for bucket in range(1 << bits):
-        rows = order[ends[bucket] : ends[bucket + 1]]
-        if len(rows):
-            yield level, bucket, b"".join(c[rows].tobytes() for c in columns), narrow([c[rows] for c in counts])
+    heads, parts = [len(columns)], []
+    for column in columns:
+        width = hash_arrays.width(column)
+        heads += [len(column), width]
+        parts.append(np.ascontiguousarray(column.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.array(heads, dtype="<i8").tobytes() + b"".join(parts))
 
 
-def count(texts: Iterator[list[str]], order: int, bits: int) -> Iterator[tuple]:
-    """Dealt rows of the n-grams of the highest order, and of the tokens, of a task's texts."""
+def unpacked(data: bytes) -> list:
     import numpy as np
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    n = int(raw[:8].view("<i8")[0])
+    found, start = [], 8 + 16 * n
+    for size, width in raw[8:start].view("<i8").reshape(n, 2).tolist():
+        planes = raw[start : start + size * width].reshape(width, size)
+        found.append(np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1))
+        start += size * width
+    return found
 
-    parts: list = []
-    held = 0
 
-    def flushed() -> Iterator[tuple]:
-        stream = np.concatenate(parts)
-        at = np.flatnonzero(stream != _digest(BEGIN))
-        columns = [stream[at - order + 1 + k] for k in range(order)]
-        key, first, (n,) = summed(whole(columns), np.ones(len(at), dtype=np.int64))
-        yield from deal(f"g{order}", bits, key, [c[first] for c in columns], [n])
-        key, _, (n,) = summed(stream[at], np.ones(len(at), dtype=np.int64))
-        yield from deal("tokens", bits, key, [key], [n])
+def deal(level: str, bits: int, key, columns: list, counts: list) -> Iterator[tuple]:
+    """Rows (level, bucket, data) of entries whose hash is ``key``; the first column ascends."""
+    import numpy as np
+
+    buckets = hash_arrays.bucket_of(key, bits)
+    order = np.argsort(buckets.astype(np.uint16) if bits <= 16 else buckets, kind="stable")
+    found, starts = np.unique(buckets[order], return_index=True)
+    for bucket, lo, hi in zip(found.tolist(), starts, np.append(starts, len(key))[1:], strict=True):
+        rows = order[lo:hi]
+        first, *others = columns
+        yield level, bucket, packed([steps(first[rows]), *[c[rows] for c in (*others, *counts)]])
+
+
+def dealt(data: bytes, size: int) -> tuple[list, list]:
+    """The columns, of which there are ``size``, and the counts of a row."""
+    import numpy as np
 
+    first, *others = unpacked(data)
+    first = np.cumsum(first, dtype=np.uint64)
+    if len(first) and first[-1] < 1 << 32:
+        first = first.astype(np.uint32)
+    return [first, *others[: size - 1]], others[size - 1 :]
+
+
+def streams(texts: Iterator[list[str]], order: int) -> Iterator:
+    """Hashes of a few million tokens at a time; a text is not cut."""
+    import numpy as np
+
+    parts: list = []
+    held = 0
     for batch in texts:
         for text in batch:
             parts.append(token_hashes(text, order))
             held += len(parts[-1])
             if held >= COUNTED:
-                yield from flushed()
-                parts, held = [], 0
+                stream, parts, held = np.concatenate(parts), [], 0
+                yield stream
     if parts:
-        yield from flushed()
+        yield np.concatenate(parts)
+
+
+def count_words(texts: Iterator[list[str]], bits: int) -> Iterator[tuple]:
+    """Dealt rows of the tokens of a task's texts."""
+    import numpy as np
+
+    key, n = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    for stream in streams(texts, 1):
+        more, found = np.unique(stream, return_counts=True)
+        key, _, (n,) = summed(np.concatenate([key, more]), np.concatenate([n, found]))
+        if len(key) >= COUNTED:
+            yield from deal("tokens", bits, key, [key], [n])
+            key, n = key[:0], n[:0]
+    if len(key):
+        yield from deal("tokens", bits, key, [key], [n])
+
+
+def merge_words(bucket: int, data: list[bytes], folder: str, bits: int) -> Iterator[tuple]:
+    """Write the bucket's words with counts and numbers."""
+    import numpy as np
+
+    found = [dealt(x, 1) for x in data]
+    key, _, (n,) = summed(np.concatenate([c.astype(np.uint64) for (c,), _ in found]), np.concatenate([n for _, (n,) in found]))
+    number = np.empty(len(n), dtype=np.int64)
+    number[np.lexsort((key, -n))] = FIRST + (np.arange(len(n)) << bits | bucket)
+    hash_arrays.write(f"{folder}/tokens", bucket, bits, key, [n, number])
+    yield "stats-tokens", bucket, _stats(n)
 
 
-def merge(level: str, bucket: int, keys: list[bytes], counts: list[bytes], folder: str, bits: int) -> Iterator[tuple]:
-    """Write the bucket's array; hand on the lower order and the contexts."""
+def _stats(n) -> bytes:
+    """How many there are, their sum, and how many are 1, 2, 3 and 4."""
     import numpy as np
 
-    size = int(level[1:]) if level[0] == "g" else 1
-    values = 4 if level[0] == "c" else 1
-    found = [np.frombuffer(k, dtype=np.uint64).reshape(size, -1) for k in keys]
-    columns = np.concatenate(found, axis=1)
-    numbers = np.concatenate([widened(c, values, k.shape[1]) for c, k in zip(counts, found, strict=True)], axis=1)
-    key, first, sums = summed(whole(columns), *numbers)
-    columns = columns[:, first]
-    data = narrow(sums)
-    head = np.array([len(key), len(data)], dtype="<i8")
-    write_once(f"{folder}/{level}", str(bucket), [head.tobytes(), key.tobytes(), data])
-    n = sums[0]
-    of = [(n == k).astype(np.int64) for k in (1, 2, 3, 4)]
-    stats = np.array([len(n), n.sum(), *[x.sum() for x in of]], dtype="<i8")
-    yield f"stats-{level}", bucket, b"", stats.tobytes()
-    if level[0] == "g" and size > 1:
+    return np.array([len(n), n.sum(), *[(n == k).sum() for k in (1, 2, 3, 4)]], dtype="<i8").tobytes()
+
+
+class Words:
+    """Counts and numbers of words by their hashes."""
+
+    def __init__(self, folder: str, bits: int) -> None:
+        self.arrays = hash_arrays.Arrays(f"{folder}/tokens", bits, 2)
+
+    def find(self, keys) -> tuple:
+        import numpy as np
+
+        n, number = self.arrays.find(keys)
+        number = np.where(n > 0, number, UNKNOWN)
+        return n, np.where(keys == _digest(BEGIN), BEGIN_NUMBER, number)
+
+
+def count(texts: Iterator[list[str]], order: int, bits: int, words: Words) -> Iterator[tuple]:
+    """Dealt rows of the n-grams of the highest order of a task's texts."""
+    import numpy as np
+
+    for stream in streams(texts, order):
+        at = np.flatnonzero(stream != _digest(BEGIN))
+        distinct, places = np.unique(stream, return_inverse=True)
+        _, numbers = words.find(distinct)
+        # places in the order of the numbers
+        by_number = np.argsort(numbers)
+        rank = np.empty(len(by_number), dtype=np.uint32)
+        rank[by_number] = np.arange(len(by_number))
+        places, numbers = rank[places], numbers[by_number]
+        columns = [places[at - order + 1 + k] for k in range(order)]
+        del stream, at, distinct, places
+        columns, n = distinct_rows(columns, len(numbers))
+        columns = [numbers[c] for c in columns]
+        yield from deal(f"g{order}", bits, whole(columns), columns, [n])
+
+
+def merge(level: str, bucket: int, data: list[bytes], folder: str, bits: int, order: int) -> Iterator[tuple]:
+    """Write the bucket's array; hand on the lower order and the contexts.
+
+    Below the highest order an n-gram has its own count and, as a context, the total of what follows it and how
+    many follow once, twice and more often. A row has the one or the four.
+    """
+    import numpy as np
+
+    size = int(level[1:])
+    found = [dealt(x, size) for x in data]
+    columns = [np.concatenate(c) for c in zip(*[numbers for numbers, _ in found], strict=True)]
+    sums = np.zeros((1 if size == order else 5, len(columns[0])), dtype=np.int64)
+    start = 0
+    for numbers, counts in found:
+        stop = start + len(numbers[0])
+        sums[slice(1) if len(counts) == 1 else slice(1, 5), start:stop] = counts
+        start = stop
+    del found
+    key, first, sums = summed(whole(columns), *sums)
+    hash_arrays.write(f"{folder}/{level}", bucket, bits, key, sums)
+    # the rest are contexts alone, which hold begin marks
+    own = np.flatnonzero(sums[0])
+    n, columns = sums[0][own], [c[first[own]] for c in columns]
+    yield f"stats-{level}", bucket, _stats(n)
+    if size > 1 and len(n):
+        base = int(max(c.max() for c in columns)) + 1
         # each distinct n-gram is one continuation of its last words
-        lower, at, (distinct,) = summed(whole(columns[1:]), np.ones(len(n), dtype=np.int64))
-        yield from deal(f"g{size - 1}", bits, lower, [c[at] for c in columns[1:]], [distinct])
-        context, _, found = summed(whole(columns[:-1]), n, of[0], of[1], (n > 2).astype(np.int64))
-        yield from deal(f"c{size - 1}", bits, context, [context], found)
+        lower, distinct = distinct_rows(columns[1:], base)
+        yield from deal(f"g{size - 1}", bits, whole(lower), lower, [distinct])
+        _, at, totals = summed(joint(columns[:-1], base), n, n == 1, n == 2, n > 2)
+        context = [c[at] for c in columns[:-1]]
+        yield from deal(f"g{size - 1}", bits, whole(context), context, totals)
 
 
 @dataclass(frozen=True)
@@ -200,27 +334,39 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = (size // BUCKET_BYTES).bit_length()
 
-    def counted(batches: Iterator) -> Iterator:
+    def asked(batches: Iterator) -> Iterator[list[str]]:
+        return ([x or "" for x in b["text"]] for b in batches)
+
+    def frames(rows: Iterator[tuple]) -> Iterator:
         import pandas as pd
 
-        found = count(([x or "" for x in b["text"]] for b in batches), order, bits)
-        while rows := list(islice(found, 64)):
-            yield pd.DataFrame(rows, columns=["level", "bucket", "keys", "counts"])
+        while some := list(islice(rows, 64)):
+            yield pd.DataFrame(some, columns=_NAMES)
+
+    def words_counted(batches: Iterator) -> Iterator:
+        return frames(count_words(asked(batches), bits))
+
+    def counted(batches: Iterator) -> Iterator:
+        return frames(count(asked(batches), order, bits, Words(folder, bits)))
 
     def merged(group):
         import pandas as pd
 
-        level, bucket = group["level"].iloc[0], int(group["bucket"].iloc[0])
-        rows = merge(level, bucket, list(group["keys"]), list(group["counts"]), folder, bits)
-        return pd.DataFrame(list(rows), columns=["level", "bucket", "keys", "counts"])
+        level, bucket, data = group["level"].iloc[0], int(group["bucket"].iloc[0]), list(group["data"])
+        if level.startswith("stats-"):
+            return group
+        rows = merge_words(bucket, data, folder, bits) if level == "tokens" else merge(level, bucket, data, folder, bits, order)
+        return pd.DataFrame(list(rows), columns=_NAMES)
+
+    def by_bucket(rows: DataFrame) -> DataFrame:
+        return rows.repartition(2 << bits, "level", "bucket").groupBy("level", "bucket").applyInPandas(merged, _DEALT)
 
-    dealt = texts.select("text").mapInPandas(counted, _DEALT)
-    stats: dict[str, list[int]] = {}
+    stats = _totals(by_bucket(texts.select("text").mapInPandas(words_counted, _DEALT)))
+    grams = texts.select("text").mapInPandas(counted, _DEALT)
     for _ in range(order):
-        done = dealt.groupBy("level", "bucket").applyInPandas(merged, _DEALT)
-        done = store(done, fresh_folder(spark, "ngram-counts"))
-        stats |= _totals(done.where("level like 'stats-%'"))
-        dealt = done.where("level not like 'stats-%'")
+        # one order after the other in one job: what is handed on is written once, by the shuffle
+        grams = by_bucket(grams)
+    stats |= _totals(grams)
     zero = [0] * 6
     top = {k: stats.get(f"stats-g{k}", zero) for k in range(1, order + 1)}
     tokens = stats.get("stats-tokens", zero)
@@ -244,59 +390,21 @@ def _totals(rows: DataFrame) -> dict[str, list[int]]:
 
         return data.map(lambda x: np.frombuffer(x, dtype="<i8"))
 
-    found = rows.select("level", numbers("counts").alias("n"))
+    found = rows.select("level", numbers("data").alias("n"))
     sums = found.groupBy("level").agg(*[F.sum(F.get("n", F.lit(i))).alias(f"n{i}") for i in range(6)])
     return {row["level"]: list(row[1:]) for row in sums.collect()}
 
 
-class Arrays:
-    """One level's arrays, mapped bucket by bucket when first asked for."""
-
-    def __init__(self, folder: str, bits: int, values: int) -> None:
-        self.folder, self.bits, self.values = folder, bits, values
-        self.buckets: dict[int, tuple] = {}
-
-    def _bucket(self, bucket: int) -> tuple | None:
-        import numpy as np
-
-        if bucket not in self.buckets:
-            data = mapped(self.folder, str(bucket))
-            found = None
-            if data is not None:
-                n, size = data[:16].view("<i8").tolist()
-                numbers = data[16 + 8 * n :].view("<u4" if size == 4 * n * self.values else "<u8")
-                found = data[16 : 16 + 8 * n].view(np.uint64), numbers.reshape(self.values, n)
-            self.buckets[bucket] = found
-        return self.buckets[bucket]
-
-    def find(self, keys):
-        """Values (one row per value) of the keys, 0 where there is none."""
-        import numpy as np
-
-        order = np.argsort(keys)
-        ordered = keys[order]
-        found = np.zeros((self.values, len(keys)), dtype=np.float64)
-        starts = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits) if self.bits else np.zeros(1, np.uint64)
-        ends = [*np.searchsorted(ordered, starts), len(ordered)]
-        for bucket in range(1 << self.bits):
-            lo, hi = ends[bucket], ends[bucket + 1]
-            if lo < hi and (arrays := self._bucket(bucket)):
-                known, numbers = arrays
-                at = np.minimum(np.searchsorted(known, ordered[lo:hi]), len(known) - 1)
-                hit = known[at] == ordered[lo:hi]
-                found[:, order[lo:hi][hit]] = numbers[:, at[hit]]
-        return found
-
-
 class Scorer:
     """log10 probabilities with the arrays of a model."""
 
     def __init__(self, model: Model) -> None:
-        open_ = lambda level, values: Arrays(f"{model.folder}/{level}", model.bits, values)
         self.model = model
-        self.tokens = open_("tokens", 1)
-        self.grams = {k: open_(f"g{k}", 1) for k in range(1, model.order + 1)}
-        self.contexts = {k: open_(f"c{k}", 4) for k in range(1, model.order)}
+        self.words = Words(model.folder, model.bits)
+        self.grams = {
+            k: hash_arrays.Arrays(f"{model.folder}/g{k}", model.bits, 1 if k == model.order else 5)
+            for k in range(1, model.order + 1)
+        }
 
     def probabilities(self, stream):
         """(places of the tokens, how often each is in training, its probability) of a stream with begin marks."""
@@ -304,28 +412,33 @@ class Scorer:
 
         model = self.model
         at = np.flatnonzero(stream != _digest(BEGIN))
-        words = stream[at]
-        # one look-up per distinct word
-        distinct, back = np.unique(words, return_inverse=True)
-        known = self.tokens.find(distinct)[0][back]
+        # words and their n-grams are looked up once
+        distinct, back = np.unique(stream, return_inverse=True)
+        known, numbers = self.words.find(distinct)
+        single = self.grams[1].find(whole([numbers]))
+        known, numbers = known[back[at]], numbers[back]
         # the empty context: all continuations
         total, once, twice, more = model.unigrams
         d = model.discounts[1]
         rest = 1.0 if not total else (d[0] * once + d[1] * twice + d[2] * more) / total
-        n = self.grams[1].find(distinct)[0][back]
-        p = self._discounted(n, d) / max(total, 1) + rest / (model.vocabulary + 1)
-        context = words
+        p = self._discounted(single[0][back[at]], d) / max(total, 1) + rest / (model.vocabulary + 1)
         for k in range(2, model.order + 1):
-            # contexts of k - 1 words end just before each token
-            context = whole([stream[at - k + 1 + i] for i in range(k - 1)])
-            distinct, back = np.unique(context, return_inverse=True)
-            total, once, twice, more = self.contexts[k - 1].find(distinct)[:, back]
+            # n-grams of k - 1 words that end just before each token are its context
+            total, once, twice, more = (single[1:, back] if k == 2 else found[1:])[:, at - 1]
             d = model.discounts[k]
-            n = self.grams[k].find(chained(context, words))[0]
-            share = (self._discounted(n, d) + (d[0] * once + d[1] * twice + d[2] * more) * p) / np.maximum(total, 1)
+            found = self._ending(k, numbers)
+            share = self._discounted(found[0][at], d)
+            share = (share + (d[0] * once + d[1] * twice + d[2] * more) * p) / np.maximum(total, 1)
             p = np.where(total > 0, share, p)
         return at, known, p
 
+    def _ending(self, k: int, numbers):
+        """Numbers of the n-grams of k words that end at each place, which for the first places begin before it."""
+        import numpy as np
+
+        key = whole([numbers if i == 0 else np.roll(numbers, i) for i in reversed(range(k))])
+        return self.grams[k].find(key)
+
     @staticmethod
     def _discounted(n, d):
         import numpy as np
