@@ -3,7 +3,7 @@
 A bucket is named by the leading bits of its hashes. A file lists where each of the next bits starts and keeps the 40
 bits after those, about 5 bytes a hash. Numbers below 15 take half a byte, the few others are listed apart; a column of
 mostly larger ones is kept as it is. Two hashes that agree in all bits kept count as one: for a bucket of 2 million that
-is 57 bits beside the bucket's.
+is 58 bits beside the bucket's.
 """
 
 from __future__ import annotations
