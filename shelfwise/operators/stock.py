@@ -8,7 +8,9 @@ so that no task ever holds a whole hot pair:
 * a slice is decided from the stock and ledger that earlier slices left;
 * slices that cannot exhaust the stock even if every request is accepted, and all that follow once
   nothing can be accepted any more, do not depend on each other through the stock: they are decided
-  side by side in one wave.
+  side by side in one wave;
+* where stock stays scarce and comes back, slices are tried side by side from guessed openings, and only those whose
+  opening turns out different are decided again (``trials``).
 """
 
 from __future__ import annotations
@@ -16,20 +18,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.functions.retail import MONEY, id_number, line_amount, movement_effect, shared_id
 from shelfwise.operators.cleaning import known_ids
 from shelfwise.operators.keys import duplicated, number_rows, require_unique
 from shelfwise.operators.shelf import OUT_OF_STOCK, RELEASE, RESERVE, SELL, Shelf
+from shelfwise.operators.trials import FIRST_WIDTH, GROWTH, PAIR, PRIOR, SLICE, TRIES, checked, priors, tried
 from shelfwise.session import fresh_folder, store
 from shelfwise.sources.linked import union_all
 
-PAIR = ["product_id", "store_id"]
 ORDER = ["request_ts", "request_id"]
 REQUEST = ["request_id", "request_ts", "kind", *PAIR, "quantity", "reference"]
 DECISION = [*REQUEST, "success", "reason", "error", "applied"]
-PRIOR = ["held", "balance", "closed", "sold"]
+CARRIED, MARGINS = ["slice", "trial", "wave"], ["least_on_hand", "least_spare"]
 SLICE_ROWS = 200_000
 
 # Refusals of requests that are not valid.
@@ -126,33 +128,64 @@ def invalid_request() -> Column:
     )
 
 
-def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decide sorted rows; a new shelf starts at the first row of each group."""
+def _margins(shelf: Shelf, kind: str, quantity: int, reference: str, applied: bool, success: bool | None) -> tuple:
+    """Stock on hand at a refused sale; reserved stock that a release leaves, or that it lacks."""
+    if kind == SELL:
+        return (shelf.on_hand if success is False else None), None
+    if kind == RELEASE:
+        hold = shelf.holds.get(reference)
+        if applied:
+            return None, shelf.reserved
+        if hold is not None and hold.balance >= quantity:
+            return None, shelf.reserved - quantity
+    return None, None
+
+
+def _walker(carried: list[str]):
+    """Decide sorted rows; a new shelf starts at the first row of each group.
+
+    ``carried`` columns go through; with them come the margins of the decision.
+    """
     needed = ("_seq", "kind", "quantity", "reference", "on_hand", "reserved", *PRIOR)
-    shelf = Shelf(0, 0)
-    for batch in batches:
-        rows = zip(*[batch.column(name).to_pylist() for name in needed])
-        results = []
-        for seq, kind, quantity, reference, on_hand, reserved, held, balance, closed, sold in rows:
-            if seq == 1:
-                shelf = Shelf(on_hand, reserved)
-            shelf.learn(reference, held, balance, closed, sold)
-            results.append(shelf.decide(kind, quantity, reference))
-        columns = [batch.column(name) for name in REQUEST] + [
-            pa.array([r.success for r in results], pa.bool_()),
-            pa.array([r.reason for r in results], pa.string()),
-            pa.array([r.error for r in results], pa.string()),
-            pa.array([r.applied for r in results], pa.bool_()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=DECISION)
-
-
-def _decide(rows: DataFrame, group: list[str]) -> DataFrame:
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shelf = Shelf(0, 0)
+        for batch in batches:
+            rows = zip(*[batch.column(name).to_pylist() for name in needed])
+            results, margins = [], []
+            for seq, kind, quantity, reference, on_hand, reserved, held, balance, closed, sold in rows:
+                if seq == 1:
+                    shelf = Shelf(on_hand, reserved)
+                shelf.learn(reference, held, balance, closed, sold)
+                result = shelf.decide(kind, quantity, reference)
+                results.append(result)
+                if carried:
+                    margins.append(_margins(shelf, kind, quantity, reference, result.applied, result.success))
+            columns = [batch.column(name) for name in REQUEST] + [
+                pa.array([r.success for r in results], pa.bool_()),
+                pa.array([r.reason for r in results], pa.string()),
+                pa.array([r.error for r in results], pa.string()),
+                pa.array([r.applied for r in results], pa.bool_()),
+            ]
+            names = DECISION
+            if carried:
+                columns += [batch.column(name) for name in carried]
+                columns += [pa.array([m[i] for m in margins], pa.int64()) for i in (0, 1)]
+                names = [*DECISION, *carried, *MARGINS]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return walk
+
+
+def _decide(rows: DataFrame, group: list[str], carried: list[str] = []) -> DataFrame:
     """Serial decisions per group. The window needs the same shuffle and order as the walk, so the
     sort after it costs nothing and rows of a group meet in one task."""
-    schema = ", ".join(f"{name} {kind}" for name, kind in rows.select(*REQUEST).dtypes)
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{name} {kinds[name]}" for name in REQUEST) + ", success boolean, reason string, error string, applied boolean"
+    if carried:
+        schema += "".join(f", {name} {kinds[name]}" for name in carried) + "".join(f", {name} bigint" for name in MARGINS)
     ordered = rows.withColumn("_seq", F.row_number().over(Window.partitionBy(*group).orderBy(*ORDER)))
-    return ordered.sortWithinPartitions(*group, *ORDER).mapInArrow(_walk, f"{schema}, success boolean, reason string, error string, applied boolean")
+    return ordered.sortWithinPartitions(*group, *ORDER).mapInArrow(_walker(carried), schema)
 
 
 def _with_priors(rows: DataFrame, ledger: DataFrame | None) -> DataFrame:
@@ -235,6 +268,7 @@ def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | Non
         F.min(F.when(takes, units)).alias("least"),
         F.coalesce(F.sum(F.when(takes, units)), F.lit(0)).alias("wanted"),
         F.count_if(~takes).alias("releases"),
+        F.coalesce(F.sum(F.when(~takes, units)), F.lit(0)).alias("returned"),
     )
     summary = store(summary, f"{folder}/summary")
     longest = slices.groupBy(*PAIR, "reference").agg(F.count(F.lit(1)).alias("n"))
@@ -252,56 +286,106 @@ def _decide_slices(busy: DataFrame, stock: DataFrame, movements: DataFrame | Non
         "reserved",
         (covered & (F.col("longest_reference") <= slice_rows)).alias("separable"),
         F.lit(0).cast("bigint").alias("next_slice"),
+        F.lit(FIRST_WIDTH).cast("bigint").alias("width"),
     )
     state = store(state, f"{folder}/state-0")
 
-    done: list[str] = []
+    decided: list[str] = []
+    settled: list[str] = []
+    tries = None
     while not state.isEmpty():
-        wave = len(done)
+        wave = len(decided)
         plan = store(_outlook(state, summary), f"{folder}/plan-{wave}")
         # one row per slice that is due, so a wave reads a pair's own slices only
         due = plan.withColumn("slice", F.explode(F.sequence("next_slice", "until")))
-        first, last = plan.agg(F.min("next_slice"), F.max("until")).first()
-        ready = slices.where(F.col("slice").between(first, last)).join(due, [*PAIR, "slice"])
+        trial = F.col("apart_by") == "trial"
+        first, last, on_trial = plan.agg(F.min("next_slice"), F.max("until"), F.bool_or(trial)).first()
+        near = slices.where(F.col("slice").between(first, last))
         lane = F.when(F.col("apart_by") == "reference", F.col("reference")).otherwise(F.col("slice").cast("string"))
-        rows = _with_priors(ready.withColumn("lane", lane), ledger)
-        decisions = store(_decide(rows, [*PAIR, "lane"]), f"{folder}/decided-{wave}")
-        done.append(f"{folder}/decided-{wave}")
-        # the ledger goes on from its last state; decisions of earlier waves are not read again
-        ledger = store(_folded(ledger, movements_of(decisions)), f"{folder}/ledger-{wave + 1}")
-        state = state.drop("next_slice").join(
-            plan.where(F.col("until") < F.col("final")).select(*PAIR, (F.col("until") + 1).alias("next_slice")), PAIR
+        sure = _with_priors(near.join(due.where(~trial), SLICE).withColumn("lane", lane), ledger)
+        columns = [*REQUEST, "slice", "lane", "on_hand", "reserved", *PRIOR]
+        rows = sure.select(*columns, F.lit(False).alias("trial"))
+        final = due.where(~trial).select(*SLICE, F.lit(wave).alias("wave"))
+        onward = plan.where(~trial & (F.col("until") < F.col("last_slice"))).select(
+            *PAIR, (F.col("until") + 1).alias("next_slice"), F.lit(FIRST_WIDTH).cast("bigint").alias("width")
         )
-        state = store(_moved(state, decisions, "on_hand", "reserved"), f"{folder}/state-{wave + 1}")
-    return spark.read.schema(decisions.schema).parquet(*done)
+        past = None
+        if on_trial:
+            oldest = tries.agg(F.min("wave")).first()[0] if tries is not None else None
+            tries = tries if oldest is not None else spark.createDataFrame([], TRIES)
+            past = _tries_of(slices, decided, oldest)
+            asked = due.where(trial)
+            known = priors(near.join(asked.select(*SLICE), SLICE), past.join(tries, [*SLICE, "wave"], "left_semi"), ledger)
+            known = store(known, f"{folder}/priors-{wave}")
+            checks = store(checked(asked.drop("apart_by", "until"), tries, known, summary), f"{folder}/checks-{wave}")
+            again = checks.where("again")
+            opening = again.select(*SLICE, F.col("open_on_hand").alias("on_hand"), F.col("open_reserved").alias("reserved"))
+            retried = near.join(opening, SLICE).join(known, [*SLICE, "reference"], "left")
+            retried = retried.withColumn("lane", F.col("slice").cast("string"))
+            rows = rows.unionByName(retried.select(*columns, F.lit(True).alias("trial")))
+            # tries whose openings have come true
+            final = final.unionByName(checks.where("final").select(*SLICE, "wave"))
+            gone = F.col("next_slice") + F.col("n_final")
+            further = checks.where(gone <= F.col("last_slice"))
+            onward = onward.unionByName(further.select(*PAIR, gone.alias("next_slice"), F.col("next_width").alias("width")).distinct())
+        rows = _decide(rows.withColumn("wave", F.lit(wave)), [*PAIR, "lane"], CARRIED)
+        decisions = store(rows, f"{folder}/decided-{wave}")
+        decided.append(f"{folder}/decided-{wave}")
+
+        final = store(final, f"{folder}/final-{wave}")
+        settled.append(f"{folder}/final-{wave}")
+        added = decisions
+        if on_trial:
+            added = decisions.unionByName(past).join(final, [*SLICE, "wave"], "left_semi")
+            kept = checks.where("stands").select(*tries.columns)
+            tries = kept.unionByName(tried(decisions.where("trial"), again, wave).select(*tries.columns))
+            tries = store(tries, f"{folder}/tries-{wave}")
+        # the ledger goes on from its last state; final decisions of earlier waves are not read again
+        ledger = store(_folded(ledger, movements_of(added)), f"{folder}/ledger-{wave + 1}")
+        state = _moved(state.drop("next_slice", "width").join(onward, PAIR), added, "on_hand", "reserved")
+        state = store(state, f"{folder}/state-{wave + 1}")
+    result = spark.read.schema(decisions.schema).parquet(*decided)
+    return result.join(spark.read.schema(final.schema).parquet(*settled), [*SLICE, "wave"], "left_semi").select(*DECISION)
+
+
+def _tries_of(slices: DataFrame, decided: list[str], oldest: int | None) -> DataFrame:
+    """Decisions since the oldest wave that has tries, or no rows where none has."""
+    spark, carried = slices.sparkSession, "success boolean, reason string, error string, applied boolean, trial boolean, wave int"
+    empty = spark.createDataFrame([], slices.schema).withColumns(
+        {name: F.lit(None).cast(kind) for name, kind in (field.split() for field in carried.split(", "))}
+        | {name: F.lit(None).cast("bigint") for name in MARGINS}
+    )
+    schema = empty.select(*DECISION, *CARRIED, *MARGINS).schema
+    return spark.createDataFrame([], schema) if oldest is None else spark.read.schema(schema).parquet(*decided[oldest:])
 
 
 def _outlook(state: DataFrame, summary: DataFrame) -> DataFrame:
     """Which slices of each pair come next, up to ``until``, and how they may be decided.
 
     All that are left, each ``slice`` apart, when nothing fits any more and nothing comes back; the
-    longest run that cannot exhaust the stock, each ``reference`` apart; else one slice in order.
+    longest run that cannot exhaust the stock, each ``reference`` apart; else those within reach of a ``trial``.
     """
     free = F.col("on_hand") - F.col("reserved")
     in_order = Window.partitionBy(*PAIR).orderBy("slice")
     ahead = summary.join(state, PAIR).where(F.col("slice") >= F.col("next_slice"))
     ahead = ahead.withColumn("running", F.sum("wanted").over(in_order))
-    ahead = ahead.groupBy(*PAIR, "on_hand", "reserved", "separable", "next_slice").agg(
-        F.max("slice").alias("final"),
+    ahead = ahead.groupBy(*PAIR, "on_hand", "reserved", "separable", "next_slice", "width").agg(
+        F.max("slice").alias("last_slice"),
         F.min("least").alias("least"),
         F.sum("releases").alias("releases"),
         F.max(F.when(F.col("running") <= free, F.col("slice"))).alias("enough"),
     )
     closed = (F.col("releases") == 0) & (free < F.col("least"))
     plentiful = F.col("separable") & F.col("enough").isNotNull()
+    reach = F.least("last_slice", F.col("next_slice") + (GROWTH + 1) * F.col("width"))
     return ahead.select(
         *PAIR,
         "on_hand",
         "reserved",
         "next_slice",
-        "final",
-        F.when(closed, F.col("final")).when(plentiful, F.col("enough")).otherwise(F.col("next_slice")).alias("until"),
-        F.when(closed, "slice").when(plentiful, "reference").otherwise("serial").alias("apart_by"),
+        "last_slice",
+        F.when(closed, F.col("last_slice")).when(plentiful, F.col("enough")).otherwise(reach).alias("until"),
+        F.when(closed, "slice").when(plentiful, "reference").otherwise("trial").alias("apart_by"),
     )
 
 
