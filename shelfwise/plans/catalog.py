@@ -17,9 +17,9 @@ from shelfwise.operators.staging import stage_all
 from shelfwise.plans import quality, reports
 from shelfwise.plans.warehouse import SAMPLE_RUN, Warehouse, latest_log, sample_warehouse
 from shelfwise.session import fresh_folder, store
-from shelfwise.sources import linked
+from shelfwise.sources import footers, linked
 from shelfwise.sources.schemas import STAGED
-from shelfwise.sources.star_tables import STORES
+from shelfwise.sources.star_tables import STORES, TABLE_KEYS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,6 +270,10 @@ def earlier_ledger(sources: dict[str, DataFrame]) -> DataFrame:
     return sources["inventory.inventory_movement"].where("quantity_change % 2 = 0")
 
 
+def _key_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    return footers.key_bounds(spark, {name: f"{folder}/{name}.parquet" for name in TABLE_KEYS}, TABLE_KEYS)
+
+
 def _decided(*makers: Query, slice_rows: int = stock.SLICE_ROWS, with_ledger: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         sources = sample_warehouse(spark, folder, dirty=False).linked
@@ -375,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "link_summary": _on_sources(linked.link_summary),
     "contract_check": _on_sources(_contract),
     "source_row_counts": _on_sources(linked.row_counts),
+    "table_key_bounds": _key_bounds,
     "staged_row_counts": _on_sources(
         lambda s: linked.row_counts(stage_all(s, SAMPLE_RUN.started_at), "table_name")
     ),

@@ -22,6 +22,7 @@ from shelfwise.operators.facts import FACTS
 from shelfwise.plans import manifest, quality, reports
 from shelfwise.plans.warehouse import Run, Warehouse
 from shelfwise.session import UTC, build_session, fresh_folder, store
+from shelfwise.sources import footers
 from shelfwise.sources.linked import bad_status, contract_check, link_folder
 
 DIMENSIONS = ("dim_date", *DIMENSION_SOURCE)
@@ -106,6 +107,7 @@ def run(spark: SparkSession, linked: Mapping[str, DataFrame], out: str, run: Run
     store(quality.qa_scoreboard(checks), f"{folder}/qa_scoreboard")
     steps = dw.run_log().withColumn("run_id", F.lit(version) * 100 + F.col("step_no"))
     store(steps.coalesce(1), f"{folder}/etl_run_log")
+    check_files(spark, folder, {r["step"].lower(): r["rows_affected"] for r in steps.collect()})
     rows = dw.snapshot_days()[dw.date_key].rows
     entry = Row(
         version=version, folder=folder, run_date=run.run_date, started_at=run.started_at, date_key=dw.date_key, snapshot_rows=rows
@@ -117,6 +119,15 @@ def run(spark: SparkSession, linked: Mapping[str, DataFrame], out: str, run: Run
     return current(spark, out)
 
 
+def check_files(spark: SparkSession, folder: str, logged: Mapping[str, int]) -> None:
+    """Raise ``LoadError`` unless the footers of the fact files hold as many rows as the writes have counted."""
+    names = [*FACTS, "fact_inventory_snapshot"]
+    found = footers.row_counts(spark, {name: f"{folder}/{name}" for name in names}).collect()
+    wrong = [f"{r['table_name']}: files hold {r['row_count']} of {logged[r['table_name']]}" for r in found if r["row_count"] != logged[r["table_name"]]]
+    if wrong:
+        raise LoadError(f"not published, rows are lost or doubled: {'; '.join(wrong)}")
+
+
 def checked_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The linked tables; raises ``LoadError`` with what is missing, and where it was found instead."""
     linked = link_folder(spark, folder)

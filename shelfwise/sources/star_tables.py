@@ -13,6 +13,18 @@ from shelfwise.sources.schemas import SOURCES
 
 STORES = 25
 
+# The first key column of each star-schema table.
+TABLE_KEYS = {
+    "region": "r_regionkey",
+    "nation": "n_nationkey",
+    "customer": "c_custkey",
+    "supplier": "s_suppkey",
+    "part": "p_partkey",
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey",
+    "events": "event_id",
+}
+
 
 def _line_ref(prefix: str) -> Column:
     parts = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
