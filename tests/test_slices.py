@@ -54,3 +54,11 @@ def test_runs_number_rows_across_batches():
     batches = [batch(("a", "x"), ("a", "x"), ("a", "y")), batch(("a", "y"), ("a", "y")), batch(), batch(("a", "y"), ("b", "y"), ("b", "y"))]
     found = [b.column("_nth").to_pylist() for b in stock._runs(iter(batches[:2] + batches[3:]))]
     assert found == [[0, 1, 0], [1, 2], [3, 0, 1]]
+
+
+def test_stored_tables_are_compressed_with_zstandard(spark, tmp_path):
+    ids = spark.range(50_000).select(F.concat(F.lit("OI-"), F.col("id").cast("string"), F.lit("-1-77-3")).alias("order_item_id"))
+    again = stock.store(ids, f"{tmp_path}/ids")
+    assert again.count() == 50_000
+    files = list((tmp_path / "ids").glob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
