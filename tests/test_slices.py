@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfwise.operators import stock
+from shelfwise.plans.warehouse import Run, Warehouse
 
 START = datetime(2025, 1, 1)
 
@@ -56,9 +57,10 @@ def test_runs_number_rows_across_batches():
     assert found == [[0, 1, 0], [1, 2], [3, 0, 1]]
 
 
-def test_stored_tables_are_compressed_with_zstandard(spark, tmp_path):
-    ids = spark.range(50_000).select(F.concat(F.lit("OI-"), F.col("id").cast("string"), F.lit("-1-77-3")).alias("order_item_id"))
-    again = stock.store(ids, f"{tmp_path}/ids")
-    assert again.count() == 50_000
-    files = list((tmp_path / "ids").glob("*.parquet"))
-    assert files and all(".zstd." in f.name for f in files)
+def test_line_tables_are_compressed_with_zstandard_and_lookups_as_before(spark, tmp_path):
+    dw = Warehouse(spark, {}, Run(START.date(), START), str(tmp_path))
+    ids = spark.range(1_000).select(F.concat(F.lit("OI-"), F.col("id").cast("string")).alias("order_item_id"))
+    for name in ("tagged_stg_order_items", "known_stg_products"):
+        assert dw._write(name, ids).count() == 1_000
+    codecs = {name: {".zstd." in f.name for f in (tmp_path / "work" / name).glob("*.parquet")} for name in dw._written}
+    assert codecs == {"tagged_stg_order_items": {True}, "known_stg_products": {False}}
