@@ -1,8 +1,10 @@
 """Figures per store and day that add up over any days, distinct counts included.
 
 Sums add up; distinct counts do not, since a sale or order may have lines on several days. So the ids themselves are
-kept, as bitmaps of their numbers: a day's ids of a store are a bit each, days are merged by OR, and the bits are
-counted last. Facts are read once per load; a report over some days reads the rows of these days only.
+kept, as bits of their numbers: a day's ids of a store are a bit each, 64 neighbours in one word, days are merged by OR,
+and the bits are counted last. Words are short because a day of a store has few ids that lie close together: a row
+costs much the same with one id as with 64. Facts are read once per load; a report over some days reads the rows of these
+days only.
 
 An id is a text and a number without leading zeros ("T0070" is "T00" and 70), which names it fully. An id that does
 not end in such a number, or in one of more than 18 digits, is kept as a text of its own.
@@ -15,9 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwise.sources.linked import union_all
 
 DAY_COUNTS = (
-    "date_key int, store_key bigint, figure string, prefix string, bucket bigint, ids binary, amount decimal(38,2)"
+    "date_key int, store_key bigint, figure string, prefix string, bucket bigint, ids bigint, amount decimal(38,2)"
 )
 DISTINCT = ("completed_pos_sales", "online_orders")
+# ids per word
+WORD = 64
 _NUMBERED = r"^(.*?)([1-9][0-9]{0,17})$"
 
 
@@ -25,13 +29,14 @@ def _ids(df: DataFrame, figure: str, column: str) -> DataFrame:
     digits = F.regexp_extract(column, _NUMBERED, 2)
     number = F.when(digits != "", digits.cast("long"))
     prefix = F.when(number.isNull(), F.col(column)).otherwise(F.regexp_extract(column, _NUMBERED, 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(WORD)).cast("int"))
     return (
         df.where(F.col(column).isNotNull())
         .groupBy(
             "date_key", "store_key", F.lit(figure).alias("figure"), prefix.alias("prefix"),
-            F.bitmap_bucket_number(number).alias("bucket"),
+            F.shiftright(number, WORD.bit_length() - 1).alias("bucket"),
         )
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("ids"))
+        .agg(F.bit_or(bit).alias("ids"))
         .withColumn("amount", F.lit(None).cast("decimal(38,2)"))
     )
 
@@ -39,7 +44,7 @@ def _ids(df: DataFrame, figure: str, column: str) -> DataFrame:
 def _amounts(df: DataFrame, **figures: Column) -> DataFrame:
     summed = df.groupBy("date_key", "store_key").agg(*[c.cast("decimal(38,2)").alias(n) for n, c in figures.items()])
     named = F.explode(F.array(*[F.struct(F.lit(n).alias("figure"), F.col(n).alias("amount")) for n in figures]))
-    nothing = [F.lit(None).cast(kind).alias(n) for n, kind in (("prefix", "string"), ("bucket", "long"), ("ids", "binary"))]
+    nothing = [F.lit(None).cast(kind).alias(n) for n, kind in (("prefix", "string"), ("bucket", "long"), ("ids", "long"))]
     return summed.select("date_key", "store_key", named.alias("f")).select(
         "date_key", "store_key", "f.figure", *nothing, "f.amount"
     )
@@ -59,11 +64,12 @@ def day_counts(pos: DataFrame, orders: DataFrame, reservations: DataFrame) -> Da
 
 
 def merged(days: DataFrame) -> DataFrame:
-    """store_key, figure, value over all given rows."""
+    """store_key, figure, value over all given rows; those that an earlier version published hold bitmaps of 4 KB."""
+    either, bits = (F.bitmap_or_agg, F.bitmap_count) if dict(days.dtypes)["ids"] == "binary" else (F.bit_or, F.bit_count)
     ids = days.where(F.col("figure").isin(*DISTINCT)).groupBy("store_key", "figure", "prefix", "bucket")
     # an id without a number is one
-    number = F.when(F.col("bucket").isNull(), F.lit(1).cast("long")).otherwise(F.bitmap_count("ids"))
-    distinct = ids.agg(F.bitmap_or_agg("ids").alias("ids")).groupBy("store_key", "figure").agg(
+    number = F.when(F.col("bucket").isNull(), F.lit(1).cast("long")).otherwise(bits("ids").cast("long"))
+    distinct = ids.agg(either("ids").alias("ids")).groupBy("store_key", "figure").agg(
         F.sum(number).cast("decimal(38,2)").alias("value")
     )
     amounts = days.where(~F.col("figure").isin(*DISTINCT)).groupBy("store_key", "figure").agg(

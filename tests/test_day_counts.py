@@ -42,3 +42,25 @@ def test_a_load_keeps_counts_of_its_days(spark, tmp_path):
     assert {r.online_orders for r in published.omnichannel(date(2025, 5, 11)).collect()} == {0}
     plan = published.omnichannel(date(2025, 5, 11))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(date_key,20250511)" in plan and "fact_" not in plan
+
+
+def test_scattered_ids_take_a_word_each(spark):
+    # 3,000 sales, one a day and store, far apart: nothing is kept beside them
+    sales = spark.range(3_000).select(
+        F.concat(F.lit("T"), (F.col("id") * 40_000 + 7).cast("string")).alias("transaction_id"), (F.col("id") % 5).alias("store_key"),
+        (F.col("id") + 1).cast("int").alias("date_key"), F.lit(1).cast("decimal(10,2)").alias("line_amount"), F.lit("COMPLETED").alias("transaction_status"),
+    )
+    words = day_counts._ids(sales, "completed_pos_sales", "transaction_id")
+    assert dict(words.dtypes)["ids"] == "bigint" and words.count() == 3_000
+    assert {r.value for r in day_counts.merged(words).collect()} == {600}
+    neighbours = sales.withColumns({"transaction_id": F.concat(F.lit("T"), (F.col("date_key") + 63).cast("string")), "date_key": F.lit(1), "store_key": F.lit(1).cast("long")})
+    packed = day_counts._ids(neighbours, "completed_pos_sales", "transaction_id")
+    assert packed.count() == 47 and [r.value for r in day_counts.merged(packed).collect()] == [3_000]
+
+
+def test_bitmaps_of_an_earlier_version_still_merge(spark):
+    rows = [(day, 1, "online_orders", "O", 1, number) for day in (1, 2) for number in (day, 5, 32_768)] + [(1, 1, "online_orders", "Ox", None, None)]
+    days = spark.createDataFrame(rows, "date_key int, store_key bigint, figure string, prefix string, bucket bigint, number bigint")
+    days = days.groupBy("date_key", "store_key", "figure", "prefix", "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("ids"))
+    days = days.withColumn("amount", F.lit(None).cast("decimal(38,2)"))
+    assert [tuple(r) for r in day_counts.merged(days).collect()] == [(1, "online_orders", Decimal("5.00"))]
