@@ -73,23 +73,30 @@ def _any_null(*columns: str) -> Column:
 
 
 def stock_against_activity(dw: Tables) -> DataFrame:
-    """Latest stock of each pair with the reservations and refused sales booked on it."""
-    active, status = F.col("reservation_status") == "ACTIVE", F.col("transaction_status")
+    """Latest stock of each pair with the reservations and refused sales booked on it; NULL where there are none.
+
+    Rows that count nowhere stay out of the shuffle.
+    """
+    active, cancelled = F.col("reservation_status") == "ACTIVE", F.col("reservation_status") == "CANCELLED"
+    reserved_stock = (F.col("transaction_status") == "BLOCKED") & (F.col("rejection_reason") == "RESERVED_STOCK")
+    out_of_stock = F.col("rejection_reason") == "OUT_OF_STOCK"
     holds = (
         dw["fact_reservation"]
+        .where(active | cancelled)
         .groupBy(*PAIR)
         .agg(
             F.sum(F.when(active, F.col("quantity"))).alias("active_quantity"),
             F.count_if(active).alias("active_holds"),
-            F.count_if(F.col("reservation_status") == "CANCELLED").alias("cancelled_holds"),
+            F.count_if(cancelled).alias("cancelled_holds"),
         )
     )
     refused = (
         dw["fact_pos_activity"]
+        .where(reserved_stock | out_of_stock)
         .groupBy(*PAIR)
         .agg(
-            F.count_if((status == "BLOCKED") & (F.col("rejection_reason") == "RESERVED_STOCK")).alias("blocked_reserved"),
-            F.count_if(F.col("rejection_reason") == "OUT_OF_STOCK").alias("out_of_stock"),
+            F.count_if(reserved_stock).alias("blocked_reserved"),
+            F.count_if(out_of_stock).alias("out_of_stock"),
         )
     )
     return latest_snapshot(dw).join(holds, PAIR, "left").join(refused, PAIR, "left")
@@ -164,6 +171,8 @@ def measures(dw: Tables, linked: Tables) -> DataFrame:
     source = linked["inventory.inventory"].select(
         "product_id", "store_id", "on_hand_quantity", F.col("available_to_sell").alias("source_ats")
     )
+    # two measures need it, and a source may be a view that is dear to compute
+    source = store(source, fresh_folder(source.sparkSession, "qa-inventory"), compression="zstd")
     loaded = (
         latest_snapshot(dw)
         .join(dw["dim_product"].select("product_key", "product_id"), "product_key")

@@ -123,3 +123,24 @@ def test_status_check_reads_only_the_status(spark, tmp_path):
     plan = plan_of(bad_status(tables))
     assert "ReadSchema: struct<order_status:string>" in plan
     assert "ReadSchema: struct<reservation_status:string>" in plan
+
+
+def test_checks_shuffle_what_they_count_and_read_stock_once(spark, tmp_path):
+    from fixtures import faulty_rows, linked
+    from shelfwise.plans.warehouse import Warehouse
+    from test_publish import RUN
+
+    sources = linked(spark, faulty_rows())
+    dw = Warehouse(spark, sources, RUN, str(tmp_path))
+    stock = sources["inventory.inventory"]
+    summed = stock.groupBy("product_id", "store_id").agg(*[F.max_by(c, "updated_at").alias(c) for c in stock.columns if c not in ("product_id", "store_id")])
+    view = {**sources, "inventory.inventory": summed.select(*stock.columns)}
+    checks = quality.qa_checks(dw, view)
+    assert "max_by" not in plan_of(checks)
+    assert sorted(map(tuple, checks.collect())) == sorted(map(tuple, quality.qa_checks(dw, sources).collect()))
+    plan = plan_of(quality.stock_against_activity(dw))
+    assert "(reservation_status" in plan and "Filter" in plan and "CANCELLED)" in plan
+    booked = {(r.product_key, r.store_key): r for r in quality.stock_against_activity(dw).collect()}
+    assert len(booked) == dw["latest_snapshot"].count()
+    assert sum(r.active_holds or 0 for r in booked.values()) == 2 and sum(r.cancelled_holds or 0 for r in booked.values()) == 1
+    assert sum(r.blocked_reserved or 0 for r in booked.values()) == 1 and sum(r.out_of_stock or 0 for r in booked.values()) == 1
