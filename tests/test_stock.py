@@ -311,3 +311,17 @@ def test_repeated_products_stop_the_requests(spark):
     columns = ["request_id", "request_ts", "store_id", "product_id", "quantity"]
     with pytest.raises(ValueError, match="must be unique"):
         stock.attempt_sales(_odd_requests(spark, columns), shop)
+
+
+def test_without_a_ledger_no_prior_columns_travel(spark):
+    requests = spark.createDataFrame([(f"q{i}", START + timedelta(hours=i), SELL, "P001", "S001", 2, f"T{i}") for i in range(4)], REQUEST)
+    inventory = spark.createDataFrame([("P001", "S001", 5, 0, 5)], INVENTORY)
+    decided = stock.adjudicate(requests, inventory)
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert not any(f" AS {name}#" in plan for name in stock.PRIOR)
+    assert [r.success for r in decided.orderBy("request_id").collect()] == [True, True, False, False]
+    import pyarrow as pa
+
+    for column in (pa.array([1, None, 3], pa.int32()), pa.array([1, 2], pa.int64()), pa.array(["a", None]), pa.array([], pa.int32())):
+        assert stock._values(column) == column.to_pylist()
+    assert all(type(v) is int for v in stock._values(pa.array([1, 2], pa.int32())))
