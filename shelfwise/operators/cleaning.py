@@ -130,8 +130,9 @@ def tag_pos_items(staged: DataFrame, products: DataFrame, transactions: DataFram
 def tag_reservations(staged: DataFrame, products: DataFrame, stores: DataFrame, orders: DataFrame) -> DataFrame:
     tagged = staged.withColumn("reservation_status", standard_word("reservation_status"))
     tagged = _look_up(tagged, "product_id", products, "has_product", "product_key")
-    tagged = _look_up(tagged, "store_id", stores, "has_store", "store_key")
     tagged = _look_up(tagged, "order_id", orders, "has_header", "customer_key")
+    # the few stores come last, so that what they bring is in no shuffle
+    tagged = _look_up(tagged, "store_id", stores, "has_store", "store_key")
     return _tag(
         "stg_reservations",
         staged,

@@ -59,6 +59,27 @@ def test_a_hot_product_is_split_while_cleaning(spark, small_shuffles, tmp_path):
     assert "skew=true" in plan_of(tagged)
 
 
+def test_what_stores_bring_to_reservations_is_in_no_shuffle(spark, small_shuffles, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8KB")
+    text = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    known = lambda prefix, rows, key: spark.range(rows).select(text(prefix, F.col("id")).alias("known_id"), F.col("id").alias(key))
+    tables = [("P", 20_000, "product_key"), ("S", 3, "store_key"), ("O", 20_000, "customer_key")]
+    products, stores, orders = (store(known(p, n, k).coalesce(1), f"{tmp_path}/{k}") for p, n, k in tables)
+    holds = spark.range(900).select(
+        text("R", F.col("id")).alias("reservation_id"), text("O", F.col("id") + 19_200).alias("order_id"),
+        text("P", F.col("id") + 19_500).alias("product_id"), text("S", F.col("id") % 4).alias("store_id"),
+        F.lit(" active").alias("reservation_status"),
+    )
+    tagged = cleaning.tag_reservations(holds, products, stores, orders)
+    plan = plan_of(tagged)
+    assert 0 < plan.index("BroadcastHashJoin") < plan.index("SortMergeJoin")
+    for row in tagged.collect():
+        n = int(row.reservation_id[1:])
+        place = "Unknown product_id or store_id" if n >= 500 or n % 4 == 3 else None
+        assert row.reject_reason == (place or ("Parent order missing" if n >= 800 else None))
+        assert row.store_key == (n % 4 if n % 4 < 3 else None) and row.reservation_status == "ACTIVE"
+
+
 def test_latest_snapshot_reads_one_date(spark, tmp_path):
     days = {}
     for day, rows in ((20250101, 10), (20250102, 7), (20250103, 0)):
