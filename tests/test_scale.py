@@ -80,6 +80,10 @@ def test_what_stores_bring_to_reservations_is_in_no_shuffle(spark, small_shuffle
         assert row.store_key == (n % 4 if n % 4 < 3 else None) and row.reservation_status == "ACTIVE"
 
 
+def test_shuffles_are_compressed_with_zstandard(spark):
+    assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"
+
+
 def test_latest_snapshot_reads_one_date(spark, tmp_path):
     days = {}
     for day, rows in ((20250101, 10), (20250102, 7), (20250103, 0)):
