@@ -125,7 +125,8 @@ class TextEncoder:
         cut = pc.split_pattern(texts, " ")
         starts = cut.offsets.to_numpy()
         known = pc.dictionary_encode(cut.flatten())
-        pieces = known.dictionary.to_pylist()
+        # several times as fast as to_pylist
+        pieces = known.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = [self._piece(x) if y is None else y for x, y in zip(pieces, map(self.recent.get, pieces), strict=True)]
         # the first piece of a text has no blank before it
         at = np.array(known.indices, dtype=np.int64)
