@@ -3,9 +3,11 @@
 from datetime import datetime, timedelta
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import stock
+from shelfwise.operators.shelf import Shelf
 from shelfwise.plans.warehouse import Run, Warehouse
 
 START = datetime(2025, 1, 1)
@@ -50,6 +52,33 @@ def test_only_pairs_that_go_on_keep_their_ledger(spark, monkeypatch):
     assert later and all(df.where("product_id = 'P1'").isEmpty() for df in later)
 
 
+@pytest.mark.parametrize("with_ledger", [False, True])
+def test_a_few_short_slices_are_walked_in_one_wave(spark, monkeypatch, with_ledger):
+    """A scarce shelf whose goods come back: every slice depends on the one before."""
+    written, real = [], stock.store
+    monkeypatch.setattr(stock, "store", lambda df, path, *a: written.append(path.rsplit("/", 1)[1]) or real(df, path, *a))
+    requests, inventory = frames(spark, {1: 6, 2: 6, 3: 2})
+    back = requests.where("product_id <> 'P3'").withColumns({
+        "request_id": F.concat(F.lit("L"), "request_id"), "kind": F.lit("RELEASE"),
+        "request_ts": F.col("request_ts") + F.expr("INTERVAL 150 SECONDS"),
+    })
+    inventory = inventory.withColumn("on_hand_quantity", F.lit(2))
+    # what is booked already is neither booked again nor counted twice
+    booked = [("P1", "S001", "ONLINE_RESERVATION", -1, "ECOMMERCE", "R1-1")] if with_ledger else []
+    schema = "product_id string, store_id string, movement_type string, quantity_change int, source_system string, source_reference_id string"
+    ledger = spark.createDataFrame(booked, schema) if with_ledger else None
+    decided = stock.adjudicate(requests.unionByName(back), inventory, ledger, slice_rows=3).collect()
+    assert len(decided) == 26
+    assert [name for name in written if name.startswith("decided-")] == ["decided-0"]
+    shelves, ledgers = {pair: Shelf(2, 0) for pair in ("P1", "P2", "P3")}, {"R1-1": (1, 1, False, None)} if with_ledger else {}
+    for row in sorted(decided, key=lambda r: (r.request_ts, r.request_id)):
+        shelf = shelves[row.product_id]
+        if row.reference in ledgers and row.product_id == "P1":
+            shelf.learn(row.reference, *ledgers[row.reference])
+        expected = shelf.decide(row.kind, row.quantity, row.reference)
+        assert (row.success, row.reason, row.error, row.applied) == (expected.success, expected.reason, expected.error, expected.applied)
+
+
 def test_runs_number_rows_across_batches():
     batch = lambda *pairs: pa.RecordBatch.from_arrays([pa.array([p for p, _ in pairs]), pa.array([s for _, s in pairs])], names=stock.PAIR)
     batches = [batch(("a", "x"), ("a", "x"), ("a", "y")), batch(("a", "y"), ("a", "y")), batch(), batch(("a", "y"), ("b", "y"), ("b", "y"))]
