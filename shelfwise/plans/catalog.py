@@ -392,7 +392,7 @@ QUERIES: dict[str, Query] = {
         )
     ),
     **{f"clean_{name.removeprefix('stg_')}": _tagged(name) for name in STAGED},
-    "reject_log": _on_warehouse(lambda dw: dw.reject_log()),
+    "reject_log": _on_warehouse(lambda dw: dw.reject_log(alone=True)),
     "standardise_status": _on_sources(_standardised),
     "pos_status_map": _on_sources(_pos_words),
     "line_amount": _on_warehouse(_line_amounts),

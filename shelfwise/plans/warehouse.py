@@ -97,11 +97,13 @@ class Warehouse(Mapping):
         """Staged rows with the first cleaning rule each one breaks."""
         label = f"tagged_{name}"
         if label not in self._written:
-            rule, masters = cleaning.RULES[name]
-            tagged = rule(self.staged(name), *[self.known(m) for m in masters])
-            self._write(label, tagged, F.count_if(F.col(cleaning.REASON).isNull()))
+            self._write(label, self._tag(name), F.count_if(F.col(cleaning.REASON).isNull()))
         return self._written[label]
 
+    def _tag(self, name: str) -> DataFrame:
+        rule, masters = cleaning.RULES[name]
+        return rule(self.staged(name), *[self.known(m) for m in masters])
+
     def known(self, name: str) -> DataFrame:
         """One row per id of a cleaned table, with what rows that refer to it need."""
         label = f"known_{name}"
@@ -114,8 +116,16 @@ class Warehouse(Mapping):
                 self._write(label, cleaning.known_master(self[name], self[dimension]))
         return self._written[label]
 
-    def reject_log(self) -> DataFrame:
-        return cleaning.reject_log({name: self.tagged(name) for name in STAGED})
+    def reject_log(self, alone: bool = False) -> DataFrame:
+        """Every rejected row of every staged table.
+
+        Where the log is all that is asked for (``alone``), tables in which nothing else looks ids up are not written
+        for it: of their rows only ids and what the rules look at go through the shuffles. A load takes the written
+        tables, so that log and facts describe the same rows.
+        """
+        needed = {master for _, masters in cleaning.RULES.values() for master in masters}
+        written = lambda name: not alone or name in needed or f"tagged_{name}" in self._written
+        return cleaning.reject_log({name: self.tagged(name) if written(name) else self._tag(name) for name in STAGED})
 
     def _existing(self, name: str) -> DataFrame:
         return self.previous[name] if name in self.previous else dimensions.empty(self.spark, name)

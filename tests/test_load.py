@@ -27,6 +27,21 @@ def test_every_fault_is_logged_once(faulty):
     assert log == sorted(EXPECTED_REJECTS, key=str)
 
 
+def test_a_log_alone_carries_no_more_than_it_needs(spark, tmp_path):
+    dw = Warehouse(spark, linked(spark, faulty_rows()), RUN, str(tmp_path))
+    log = dw.reject_log(alone=True)
+    assert sorted((tuple(r) for r in log.collect()), key=str) == sorted(EXPECTED_REJECTS, key=str)
+    lines = {"tagged_stg_reservations", "tagged_stg_order_items", "tagged_stg_pos_items", "tagged_stg_inventory"}
+    assert lines.isdisjoint(dw._written) and {"tagged_stg_online_orders", "tagged_stg_customers"} <= set(dw._written)
+    steps = log._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    steps = [step for step in steps if "LogicalRDD" not in step and "Relation" not in step]
+    assert any("Join LeftOuter" in step for step in steps)
+    assert not any(column in step for step in steps for column in ("expires_at", "line_amount", "product_key"))
+    # what is written already is what the log describes
+    dw.tagged("stg_reservations")
+    assert "/tagged_stg_reservations" in "".join(dw.reject_log(alone=True).inputFiles())
+
+
 def test_kept_and_rejected_rows_add_up(faulty):
     for name in STAGED:
         rejected = cleaning.rejects(name, faulty.tagged(name)).count()
