@@ -1,11 +1,13 @@
 """Plans that have to hold on large and skewed data."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning, facts
 from shelfwise.plans import quality, reports
-from shelfwise.session import store
+from shelfwise.session import CLEAN_UP, store, store_counted
 
 # Sizes that make a few thousand rows look like a skewed shuffle of a large table.
 SMALL = {
@@ -84,6 +86,27 @@ def test_shuffles_are_compressed_with_zstandard(spark):
     assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"
 
 
+def test_shuffles_behind_a_stored_table_leave_the_disk(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = blocks.getAllFiles()
+        names = {files.apply(i).getName() for i in range(files.size())}
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(CLEAN_UP, None)
+    counts = spark.range(0, 10_000, 1, 4).groupBy((F.col("id") % 100).alias("k")).count()
+    stored, seen = store_counted(counts, f"{tmp_path}/counted", rows=F.count(F.lit(1)))
+    again = store(stored.join(counts.select("k"), "k"), f"{tmp_path}/joined")
+    # Spark removes them in the background
+    for _ in range(100):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and spark.conf.get(CLEAN_UP, None) == setting
+    assert seen == {"rows": 100} and again.count() == 100
+
+
 def test_latest_snapshot_reads_one_date(spark, tmp_path):
     days = {}
     for day, rows in ((20250101, 10), (20250102, 7), (20250103, 0)):
